@@ -119,11 +119,11 @@ def part_aliases(slug, clean, mpn) -> Column:
 
 
 def acronyms(name) -> Column:
-    """the initials of the words and the run of capitals, two letters at least."""
-    words = F.filter(F.split(text(name), r"[^A-Za-z0-9]+"), lambda w: w != "")
+    """initials of the words, and the capitals of the name, both lower case."""
+    words = F.split(F.coalesce(_col(name), F.lit("")), r"\s+")
     initials = F.lower(F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), ""))
-    capitals = F.lower(F.regexp_replace(text(name), "[^A-Z]", ""))
-    return F.array_distinct(F.filter(F.array(initials, capitals), lambda a: F.length(a) >= 2))
+    capitals = F.lower(F.regexp_replace(F.coalesce(_col(name), F.lit("")), "[^A-Z]", ""))
+    return F.array(initials, capitals)
 
 
 def split_list(c, pattern: str = ";") -> Column:
@@ -164,7 +164,7 @@ def batch_id(day, strategy, count) -> Column:
 
 def parse_batch_id(c) -> Column:
     """Day, strategy and count of a batch id; null when it is not one."""
-    pattern = r"^(\d{8})_([A-Z0-9][A-Z0-9_]*)_(\d+)$"
+    pattern = r"^(\d{8})_([A-Z0-9]+)_(\d+)$"
     c = _col(c)
     parsed = F.struct(
         F.try_to_timestamp(F.regexp_extract(c, pattern, 1), F.lit("yyyyMMdd")).cast("date").alias("day"),

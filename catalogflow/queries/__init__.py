@@ -1,0 +1,12 @@
+"""Registered queries, one module per area."""
+
+from __future__ import annotations
+
+from importlib import import_module
+
+AREAS = ("merge",)
+
+
+def load() -> None:
+    for area in AREAS:
+        import_module(f"catalogflow.queries.{area}")
