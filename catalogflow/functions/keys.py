@@ -21,6 +21,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` worked out once, however often ``fn`` mentions it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def nonblank(c) -> Column:
     return F.coalesce(F.trim(_col(c)) != "", F.lit(False))
 

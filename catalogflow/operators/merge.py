@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from catalogflow import rules
 from catalogflow.functions.keys import key_nospace, nonblank, split_multi, text
-from catalogflow.operators.ordering import global_rank
-from catalogflow.schemas import ALTERNATE
+from catalogflow.functions.text import brand_blob, collapse, short_abbreviation
+from catalogflow.operators.ordering import first_occurrence, global_rank
 
 # Columns a later offer may fill when the first one left them blank.
 FILL_COLUMNS = (
@@ -196,35 +196,38 @@ def union_alternates(a, b) -> Column:
 
 # ---- dictionaries -------------------------------------------------------------
 
-def build_dictionary(names: DataFrame, seed: DataFrame, min_alias_length: int = 0) -> tuple[DataFrame, DataFrame]:
+def brand_key(c) -> Column:
+    """Comparison form of a maker's name: lower case, trade mark signs out, single blanks."""
+    return collapse(F.regexp_replace(F.lower(text(c)), "[®™]", ""))
+
+
+def build_dictionary(names: DataFrame, seed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Manufacturer dictionary and alias mapping.
 
-    ``names``: column ``raw`` (any number of rows). ``seed``: ``alias``, ``canonical``.
-    A name matches a seed alias, then a seed canonical name, else it is new. Ids follow the
-    sorted canonical names. Aliases not longer than ``min_alias_length`` are not used.
+    ``names``: ``raw``, ``ord``. ``seed``: ``alias``, ``canonical``, confirmed by people.
+    A name matches a seed alias, then a seed canonical name, else it is new. Descriptions in
+    the name field are left out. Ids follow the sorted canonical names.
     """
-    raw = names.select(F.trim("raw").alias("raw")).where("raw != ''").distinct().withColumn("_k", F.lower("raw"))
-    s_alias = (
-        seed.where(F.length(F.trim("alias")) > min_alias_length)
-        .groupBy(F.lower(F.trim("alias")).alias("_ak")).agg(F.min("canonical").alias("_ac"))
-    )
-    s_canon = seed.groupBy(F.lower(F.trim("canonical")).alias("_ck")).agg(F.min("canonical").alias("_cc"))
+    clean = names.where((text("raw") != "") & ~brand_blob("raw")).withColumn("_k", brand_key("raw"))
+    raw = first_occurrence(clean, ["_k"]).select(F.trim("raw").alias("raw"), "_k")
+    s_alias = seed.groupBy(brand_key("alias").alias("_ak")).agg(F.min(F.trim("canonical")).alias("_ac"))
+    s_canon = seed.groupBy(brand_key("canonical").alias("_ck")).agg(F.min(F.trim("canonical")).alias("_cc"))
     mapped = (
         raw.join(s_alias, F.col("_k") == F.col("_ak"), "left")
         .join(s_canon, F.col("_k") == F.col("_ck"), "left")
         .withColumn("canonical", F.coalesce("_ac", "_cc", "raw"))
-        .withColumn("method", F.when(F.col("_ac").isNotNull(), "alias").when(F.col("_cc").isNotNull(), "canonical").otherwise("new"))
+        .withColumn("method", F.when(F.col("_ac").isNotNull(), "seed_alias")
+                    .when(F.col("_cc").isNotNull(), "seed_canonical").otherwise("new"))
         .select("raw", "canonical", "method")
     )
-    canon = mapped.groupBy("canonical").agg(
-        F.count(F.lit(1)).alias("alias_count"),
-        F.max(F.when(F.col("method") != "new", 1).otherwise(0)).alias("_seeded"),
-    )
-    ranked = global_rank(canon, ["canonical"], "_r")
-    dictionary = ranked.select(
-        F.format_string("MFR-%05d", F.col("_r")).alias("mfr_id"), "canonical", "alias_count",
-        F.when(F.col("_seeded") == 1, "active").otherwise("review").alias("status"),
-        F.when(F.col("_seeded") == 1, "A").otherwise("B").alias("tier"),
+    seeded = seed.select(F.trim("canonical").alias("canonical"), F.lit(1).alias("_seeded"))
+    fresh = mapped.where("method = 'new'").select("canonical", F.lit(0).alias("_seeded"))
+    canon = seeded.unionByName(fresh).groupBy("canonical").agg(F.max("_seeded").alias("_seeded"))
+    short = short_abbreviation("canonical")
+    dictionary = global_rank(canon, ["canonical"], "_r").select(
+        F.format_string("MFR-%05d", F.col("_r")).alias("mfr_id"), "canonical",
+        F.when(F.col("_seeded") == 1, "active").when(short, "review").otherwise("candidate").alias("status"),
+        F.when((F.col("_seeded") == 1) | short, "A").otherwise("B").alias("tier"),
     )
     return dictionary, mapped
 
