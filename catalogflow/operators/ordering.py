@@ -65,12 +65,12 @@ def grouped_rank(
     so the sort work of a large group is shared by many tasks.
     """
     ranked = global_rank(df, [*group, *order], "_g")
-    first = ranked.groupBy(*group).agg(F.min("_g").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    first = ranked.groupBy(*group).agg(F.min("_g").alias("_gfirst"), F.count(F.lit(1)).alias("_gsize"))
     joined = _null_safe_join(ranked, first, group)
-    out = joined.withColumn(name, F.col("_g") - F.col("_first") + 1)
+    out = joined.withColumn(name, F.col("_g") - F.col("_gfirst") + 1)
     if size:
-        out = out.withColumn(size, F.col("_size"))
-    return out.drop("_g", "_first", "_size")
+        out = out.withColumn(size, F.col("_gsize"))
+    return out.drop("_g", "_gfirst", "_gsize")
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
