@@ -315,53 +315,61 @@ def format_temperature(c) -> Column:
 
 # Key suffix and the unit its values already carry.
 _DIRECT_UNITS = (
-    ("_db", " dB"), ("_mm", " mm"), ("_nv", " nV"), ("_uv", " µV"), ("_vus", " V/µs"), ("_v", " V"), ("_volt", " V"),
+    ("_bits", " bit"), ("_db", " dB"), ("_mm", " mm"), ("_nv", " nV"), ("_uv", " µV"), ("_vus", " V/µs"),
+    ("_v", " V"), ("_volt", " V"), ("_pf", " pF"), ("_w", " W"),
 )
-_DIRECT_UNITS_LATE = (("_mohm", " mΩ"),)
 
 
 def format_value(key, value) -> Column:
     """display text of an attribute value, unit chosen by the key."""
-    k, raw = F.lower(text(key)), _col(value)
+    raw = _col(value).cast("string")
     s = text(value)
-    num = F.when(s.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), s.try_cast("double"))
+    facts = F.struct(
+        F.lower(text(key)).alias("k"), s.alias("s"),
+        F.when(s.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), s.try_cast("double")).alias("num"), raw.alias("raw"))
+    return F.when(raw.isNotNull(), F.coalesce(format_temperature(value), let(facts, _by_suffix)))
+
+
+def _by_suffix(x: Column) -> Column:
+    k, s, num, raw = x["k"], x["s"], x["num"], x["raw"]
     bit = r"(?i)^[+]?-?\d+(?:\.\d+)?\s*bit$"
-    bits = F.concat(format_number(F.regexp_extract(s, r"([-\d.]+)", 1).try_cast("double")), F.lit(" bit"))
+    bits = let(F.regexp_extract(s, r"([-\d.]+)", 1).try_cast("double"), lambda n: F.concat(format_number(n), F.lit(" bit")))
 
     steps: list[tuple[Column, Column]] = [
         (k == "data_rate", _scaled(num, ((1e9, 1e9, " Gbps"), (1e6, 1e6, " Mbps"), (1e3, 1e3, " kbps")), " bps")),
         (k.endswith("_bytes"), _scaled(num, ((1024**3, 1024**3, " GB"), (1024**2, 1024**2, " MB"), (1024, 1024, " KB")), " B")),
         (k.endswith("_hz"), _scaled(num, ((1e9, 1e9, " GHz"), (1e6, 1e6, " MHz"), (1e3, 1e3, " kHz")), " Hz")),
         (k.endswith("_ns"), _scaled(num, ((1e6, 1e6, " ms"), (1e3, 1e3, " µs")), " ns")),
-        (k.endswith("_bits"), F.concat(format_number(num), F.lit(" bit"))),
-        (k == "gate_charge_c", F.concat(format_number(num), F.lit(" nC"))),
-        *[(k.endswith(x), F.concat(format_number(num), F.lit(u))) for x, u in _DIRECT_UNITS],
         (k.endswith("_a"), format_ampere(num)),
-        *[(k.endswith(x), F.concat(format_number(num), F.lit(u))) for x, u in _DIRECT_UNITS_LATE],
+        (k.endswith("_mohm"), F.concat(format_number(num), F.lit(" mΩ"))),
         (k.endswith("_ohm"), format_ohm(num)),
-        (k.endswith("_pf"), F.concat(format_number(num), F.lit(" pF"))),
         (k.endswith("_uh"), F.concat(format_number(num), F.lit(" µH"))),
         (k.endswith("_h"), format_henry(num)),
-        (k.endswith("_w"), F.concat(format_number(num), F.lit(" W"))),
-        (k == "tolerance", F.concat(format_number(num), F.lit(" %"))),
     ]
+    # one wording, the unit picked by the suffix
+    unit = reduce(lambda acc, xu: F.when(xu[0], F.lit(xu[1])).otherwise(acc), reversed(
+        [(k == "gate_charge_c", " nC"), (k == "tolerance", " %")] + [(k.endswith(e), u) for e, u in _DIRECT_UNITS]), F.lit(None).cast("string"))
     ladder = reduce(lambda acc, step: F.when(step[0], step[1]).otherwise(acc), reversed(steps), raw)
-    farad = s.try_cast("double")
     return (
-        F.when(raw.isNull(), raw)
-        .when(format_temperature(value).isNotNull(), format_temperature(value))
-        .when((k == "capacitance") | k.endswith("_coss"), F.coalesce(format_farad(farad), raw))
+        F.when((k == "capacitance") | k.endswith("_coss"), F.coalesce(let(s.try_cast("double"), format_farad), raw))
         .when(s.rlike(bit), bits)
         .when(num.isNull(), raw)
+        .when(unit.isNotNull(), F.concat(format_number(num), unit))
         .otherwise(ladder)
     )
 
 
 def title_value(key, value) -> Column:
     """Display value for a title: a bare number gets the unit its key implies."""
-    shown, k = format_value(key, value), F.lower(text(key))
+    facts = F.struct(format_value(key, value).alias("shown"), F.lower(text(key)).alias("k"))
+    return let(facts, lambda x: let(F.struct(
+        x["shown"].alias("shown"), x["k"].alias("k"),
+        F.when(F.trim(x["shown"]).rlike(r"^-?\d+(\.\d+)?$"), F.trim(x["shown"]).try_cast("double")).alias("num")), _implied_unit))
+
+
+def _implied_unit(x: Column) -> Column:
+    shown, k, num = x["shown"], x["k"], x["num"]
     s = F.trim(shown)
-    num = F.when(s.rlike(r"^-?\d+(\.\d+)?$"), s.try_cast("double"))
 
     def any_of(*words):
         return reduce(lambda a, b: a | b, [k.contains(w) for w in words])
