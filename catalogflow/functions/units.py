@@ -237,55 +237,48 @@ def mcu_facts(description) -> Column:
 
 def format_number(x: Column) -> Column:
     """Up to three decimals, no trailing zeros."""
-    decimals = F.regexp_replace(F.regexp_replace(F.format_string("%.3f", x), "0+$", ""), r"\.$", "")
-    return F.when(x == F.floor(x), x.cast("long").cast("string")).otherwise(decimals)
+    return F.regexp_replace(F.format_string("%.3f", x), r"\.?0+$", "")
+
+
+# Smallest number shown in a unit, the number one unit stands for, the unit.
+# The last row of a table is used for everything smaller.
+_SCALES = {
+    "data_rate": ((1e9, 1e9, " Gbps"), (1e6, 1e6, " Mbps"), (1e3, 1e3, " kbps"), (None, 1.0, " bps")),
+    "bytes": ((1024.0**3, 1024.0**3, " GB"), (1024.0**2, 1024.0**2, " MB"), (1024.0, 1024.0, " KB"), (None, 1.0, " B")),
+    "hz": ((1e9, 1e9, " GHz"), (1e6, 1e6, " MHz"), (1e3, 1e3, " kHz"), (None, 1.0, " Hz")),
+    "ns": ((1e6, 1e6, " ms"), (1e3, 1e3, " µs"), (None, 1.0, " ns")),
+    "ohm": ((1e3, 1e3, "kΩ"), (1.0, 1.0, "Ω"), (None, 1e-3, "mΩ")),
+    "ampere": ((1.0, 1.0, " A"), (1e-3, 1e-3, " mA"), (None, 1e-6, " µA")),
+    "henry": ((1.0, 1.0, " H"), (1e-3, 1e-3, " mH"), (1e-6, 1e-6, " µH"), (1e-9, 1e-9, " nH"), (None, 1.0, " H")),
+    "farad": ((1e-3, 1e-3, " mF"), (1e-6, 1e-6, " µF"), (1e-9, 1e-9, " nF"), (None, 1e-12, " pF")),
+    "title_bytes": ((1e6, 1e6, " MB"), (1024.0, 1024.0, " KB"), (None, 1.0, " B")),
+}
+_SIGNED = ("ampere", "henry", "farad")
+_ZERO = {"ampere": "0 A", "henry": "0 µH", "farad": "0 F"}
+_SCALE_TYPE = "struct<one:double,unit:string>"
 
 
-def _scaled(num: Column, steps, last: str) -> Column:
-    """First step whose limit the number reaches; ``steps`` are (limit, divisor, unit)."""
-    out = F.concat(format_number(num), F.lit(last))
-    for limit, divisor, unit in reversed(steps):
-        out = F.when(num >= limit, F.concat(format_number(num / F.lit(float(divisor))), F.lit(unit))).otherwise(out)
-    return out
+def _scale(one: float, unit: str) -> Column:
+    return F.struct(F.lit(float(one)).alias("one"), F.lit(unit).alias("unit"))
 
 
-def format_ohm(num: Column) -> Column:
-    return (
-        F.when(num >= 1000, F.concat(format_number(num / 1000), F.lit("kΩ")))
-        .when(num < 1, F.concat(format_number(num * 1000), F.lit("mΩ")))
-        .otherwise(F.concat(format_number(num), F.lit("Ω")))
-    )
+def _pick_scale(name: str, num: Column) -> Column:
+    """Row of a scale table for a number."""
+    size = F.abs(num) if name in _SIGNED else num
+    *steps, last = _SCALES[name]
+    out = _scale(last[1], last[2])
+    for limit, one, unit in reversed(steps):
+        out = F.when(size >= limit * (1 - 1e-9) if name == "farad" else size >= limit, _scale(one, unit)).otherwise(out)
+    return out
 
 
-def format_farad(num: Column) -> Column:
-    a = F.abs(num)
-    pf = F.concat(format_number(num / F.lit(1e-12)), F.lit(" pF"))
-    out = pf
-    for size, unit in ((1e-9, " nF"), (1e-6, " µF"), (1e-3, " mF")):
-        out = F.when(a / F.lit(size) >= 1.0 - 1e-9, F.concat(format_number(num / F.lit(size)), F.lit(unit))).otherwise(out)
-    return F.when(num == 0, F.lit("0 F")).otherwise(out)
+def _show(num: Column, scale: Column) -> Column:
+    return let(scale, lambda x: F.concat(format_number(num / x["one"]), x["unit"]))
 
 
-def format_ampere(num: Column) -> Column:
-    a = F.abs(num)
-    return (
-        F.when(num == 0, F.lit("0 A"))
-        .when(a < 1e-3, F.concat(format_number(num * 1e6), F.lit(" µA")))
-        .when(a < 1, F.concat(format_number(num * 1e3), F.lit(" mA")))
-        .otherwise(F.concat(format_number(num), F.lit(" A")))
-    )
-
-
-def format_henry(num: Column) -> Column:
-    a = F.abs(num)
-    return (
-        F.when(num == 0, F.lit("0 µH"))
-        .when(a >= 1, F.concat(format_number(num), F.lit(" H")))
-        .when(a >= 1e-3, F.concat(format_number(F.round(num * 1e3, 9)), F.lit(" mH")))
-        .when(a >= 1e-6, F.concat(format_number(F.round(num * 1e6, 6)), F.lit(" µH")))
-        .when(a >= 1e-9, F.concat(format_number(F.round(num * 1e9, 6)), F.lit(" nH")))
-        .otherwise(F.concat(format_number(num), F.lit(" H")))
-    )
+def format_scaled(name: str, num: Column) -> Column:
+    shown = _show(num, _pick_scale(name, num))
+    return F.when(num == 0, F.lit(_ZERO[name])).otherwise(shown) if name in _ZERO else shown
 
 
 def format_temperature(c) -> Column:
@@ -313,11 +306,12 @@ def format_temperature(c) -> Column:
     )
 
 
-# Key suffix and the unit its values already carry.
+# Key suffix and the unit its values already carry, or the scale that picks one.
 _DIRECT_UNITS = (
     ("_bits", " bit"), ("_db", " dB"), ("_mm", " mm"), ("_nv", " nV"), ("_uv", " µV"), ("_vus", " V/µs"),
-    ("_v", " V"), ("_volt", " V"), ("_pf", " pF"), ("_w", " W"),
+    ("_v", " V"), ("_volt", " V"), ("_mohm", " mΩ"), ("_pf", " pF"), ("_uh", " µH"), ("_w", " W"),
 )
+_SUFFIX_SCALES = (("_bytes", "bytes"), ("_hz", "hz"), ("_ns", "ns"), ("_a", "ampere"), ("_ohm", "ohm"), ("_h", "henry"))
 
 
 def format_value(key, value) -> Column:
@@ -325,37 +319,25 @@ def format_value(key, value) -> Column:
     raw = _col(value).cast("string")
     s = text(value)
     facts = F.struct(
-        F.lower(text(key)).alias("k"), s.alias("s"),
-        F.when(s.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), s.try_cast("double")).alias("num"), raw.alias("raw"))
+        F.lower(text(key)).alias("k"), s.alias("s"), raw.alias("raw"),
+        F.when(s.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), s.try_cast("double")).alias("num"))
     return F.when(raw.isNotNull(), F.coalesce(format_temperature(value), let(facts, _by_suffix)))
 
 
 def _by_suffix(x: Column) -> Column:
     k, s, num, raw = x["k"], x["s"], x["num"], x["raw"]
-    bit = r"(?i)^[+]?-?\d+(?:\.\d+)?\s*bit$"
-    bits = let(F.regexp_extract(s, r"([-\d.]+)", 1).try_cast("double"), lambda n: F.concat(format_number(n), F.lit(" bit")))
-
-    steps: list[tuple[Column, Column]] = [
-        (k == "data_rate", _scaled(num, ((1e9, 1e9, " Gbps"), (1e6, 1e6, " Mbps"), (1e3, 1e3, " kbps")), " bps")),
-        (k.endswith("_bytes"), _scaled(num, ((1024**3, 1024**3, " GB"), (1024**2, 1024**2, " MB"), (1024, 1024, " KB")), " B")),
-        (k.endswith("_hz"), _scaled(num, ((1e9, 1e9, " GHz"), (1e6, 1e6, " MHz"), (1e3, 1e3, " kHz")), " Hz")),
-        (k.endswith("_ns"), _scaled(num, ((1e6, 1e6, " ms"), (1e3, 1e3, " µs")), " ns")),
-        (k.endswith("_a"), format_ampere(num)),
-        (k.endswith("_mohm"), F.concat(format_number(num), F.lit(" mΩ"))),
-        (k.endswith("_ohm"), format_ohm(num)),
-        (k.endswith("_uh"), F.concat(format_number(num), F.lit(" µH"))),
-        (k.endswith("_h"), format_henry(num)),
-    ]
-    # one wording, the unit picked by the suffix
-    unit = reduce(lambda acc, xu: F.when(xu[0], F.lit(xu[1])).otherwise(acc), reversed(
-        [(k == "gate_charge_c", " nC"), (k == "tolerance", " %")] + [(k.endswith(e), u) for e, u in _DIRECT_UNITS]), F.lit(None).cast("string"))
-    ladder = reduce(lambda acc, step: F.when(step[0], step[1]).otherwise(acc), reversed(steps), raw)
+    farad = (k == "capacitance") | k.endswith("_coss")
+    rows = [(farad, _pick_scale("farad", num)), (k == "data_rate", _pick_scale("data_rate", num))]
+    rows += [(k == "gate_charge_c", _scale(1, " nC")), (k == "tolerance", _scale(1, " %"))]
+    rows += [(k.endswith(e), _scale(1, u)) for e, u in _DIRECT_UNITS]
+    rows += [(k.endswith(e), _pick_scale(name, num)) for e, name in _SUFFIX_SCALES]
+    scale = reduce(lambda acc, r: F.when(r[0], r[1]).otherwise(acc), reversed(rows), F.lit(None).cast(_SCALE_TYPE))
+    bit = r"(?i)^[+]?(-?\d+(?:\.\d+)?)\s*bit$"
+    zero = F.when(farad, F.lit("0 F")).when(k.endswith("_a"), F.lit("0 A")).when(k.endswith("_h"), F.lit("0 µH"))
     return (
-        F.when((k == "capacitance") | k.endswith("_coss"), F.coalesce(let(s.try_cast("double"), format_farad), raw))
-        .when(s.rlike(bit), bits)
+        F.when(s.rlike(bit), F.concat(format_number(F.regexp_extract(s, bit, 1).try_cast("double")), F.lit(" bit")))
         .when(num.isNull(), raw)
-        .when(unit.isNotNull(), F.concat(format_number(num), unit))
-        .otherwise(ladder)
+        .otherwise(F.coalesce(F.when(num == 0, zero), _show(num, scale), raw))
     )
 
 
@@ -369,23 +351,17 @@ def title_value(key, value) -> Column:
 
 def _implied_unit(x: Column) -> Column:
     shown, k, num = x["shown"], x["k"], x["num"]
-    s = F.trim(shown)
-
-    def any_of(*words):
-        return reduce(lambda a, b: a | b, [k.contains(w) for w in words])
-
-    hertz = _scaled(num, ((1e9, 1e9, " GHz"), (1e6, 1e6, " MHz"), (1e3, 1e3, " kHz")), " Hz")
-    size = _scaled(num, ((1e6, 1e6, " MB"), (1024, 1024, " KB")), " B")
-    return (
-        F.when(num.isNull(), shown)
-        .when(any_of("frequency", "clock", "speed"), hertz)
-        .when(k.contains("memory"), size)
-        .when(any_of("voltage", "vds", "vceo", "vgs", "vrrm", "vreverse", "vforward", "vf") & ~k.contains("current"),
-              F.concat(s, F.lit(" V")))
-        .when(any_of("current", "id_", "ic_", "ib_", "iq_") & ~k.contains("voltage"), F.concat(s, F.lit(" A")))
-        .when(any_of("rds", "resistance", "impedance", "dcr"), format_ohm(num))
-        .when(k.contains("capacitance"), format_farad(num))
-        .when(k.contains("inductance"), F.concat(s, F.lit(" µH")))
-        .when(k.contains("power") | k.endswith("_w"), F.concat(s, F.lit(" W")))
-        .otherwise(shown)
-    )
+    # Words in a key and what a bare number under it is measured in.
+    volt = k.rlike("voltage|vds|vceo|vgs|vrrm|vreverse|vforward|vf") & ~k.contains("current")
+    amp = k.rlike("current|id_|ic_|ib_|iq_") & ~k.contains("voltage")
+    rows = [
+        (k.rlike("frequency|clock|speed"), _pick_scale("hz", num)), (k.contains("memory"), _pick_scale("title_bytes", num)),
+        (volt, F.lit(" V")), (amp, F.lit(" A")), (k.rlike("rds|resistance|impedance|dcr"), _pick_scale("ohm", num)),
+        (k.contains("capacitance"), _pick_scale("farad", num)), (k.contains("inductance"), F.lit(" µH")),
+        (k.contains("power") | k.endswith("_w"), F.lit(" W")),
+    ]
+    plain = {2, 3, 6, 7}
+    out = shown
+    for i, (cond, v) in reversed(list(enumerate(rows))):
+        out = F.when(cond, F.concat(F.trim(shown), v) if i in plain else _show(num, v)).otherwise(out)
+    return F.when(num.isNull(), shown).otherwise(out)

@@ -17,6 +17,8 @@ def get_spark(app: str = "catalogflow", cpus: int = 8, **conf: str) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Expressions here have many nodes; PySpark would record the call site of each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
