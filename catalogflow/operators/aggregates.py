@@ -102,7 +102,8 @@ def catalog_counts(df: DataFrame, top: str = "top", sub: str = "native_l1") -> D
 
 def catalog_rollup(df: DataFrame, top: str = "top", sub: str = "native_l1") -> DataFrame:
     """A13 with subtotals; the flags tell a subtotal from a blank value."""
-    return df.where(F.col(top) != "__UNMAPPED__").rollup(F.col(top).alias("top"), F.col(sub).alias("sub")).agg(
+    named = df.where(F.col(top) != "__UNMAPPED__").select(F.col(top).alias("top"), F.col(sub).alias("sub"))
+    return named.rollup("top", "sub").agg(
         F.count(F.lit(1)).alias("n"), F.grouping("top").alias("is_total"), F.grouping("sub").alias("is_subtotal"))
 
 
