@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from catalogflow import rules
 from catalogflow.functions import units
-from catalogflow.functions.keys import _col, let, text
+from catalogflow.functions.keys import _col, let, literal_map, text
 from catalogflow.functions.text import (
     concept, faq_offbrand, faq_platform, has_cjk, has_illegal_text, half_width, normalize_text, plain_words,
     repair_mojibake, translate_key, translate_value,
@@ -28,10 +28,6 @@ TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 VARIANT_MAP = "map<string,variant>"
 
 
-def _literal_map(pairs) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
-
-
 def json_map(c) -> Column:
     """Attribute JSON as map<string,string>; bad JSON and non-objects give null."""
     return F.from_json(_col(c), TEXT_MAP)
@@ -58,13 +54,13 @@ def is_spec_thin(c, minimum: int = 2) -> Column:
 def unknown_attr_keys(c, allowed: list[str]) -> Column:
     """Keys outside the allow-list, sorted."""
     allow = F.array(*[F.lit(a) for a in allowed]).cast("array<string>")
-    return F.array_sort(F.array_except(F.coalesce(F.map_keys(json_map(c)), F.array().cast("array<string>")), allow))
+    return F.sort_array(F.array_except(F.coalesce(F.map_keys(json_map(c)), F.array().cast("array<string>")), allow))
 
 
 def alias_attribute_keys(c) -> Column:
     """old key names to canonical ones, for validation only. Several old names of one
     key collapse; the last one holds the value."""
-    alias = _literal_map(rules.table("attribute_alias"))
+    alias = literal_map(rules.table("attribute_alias"))
     entries = F.transform(F.map_entries(_col(c)), lambda e: F.struct(
         F.coalesce(alias[F.lower(e["key"])], e["key"]).alias("key"), e["value"].alias("value")))
     return F.map_from_entries(keep_last(entries))
@@ -94,10 +90,10 @@ IDENTITY_KEYS = (
 
 def parameter_entries(params) -> Column:
     """One entry per usable parameter: key, canonical flag, quantity, source name."""
-    english = _literal_map((r[0], r[1]) for r in rules.table("parameter_map"))
-    english_kind = _literal_map((r[0], r[2]) for r in rules.table("parameter_map"))
-    source = _literal_map((r[0], r[1]) for r in rules.table("parameter_map_source_language"))
-    source_kind = _literal_map((r[0], r[2]) for r in rules.table("parameter_map_source_language"))
+    english = literal_map((r[0], r[1]) for r in rules.table("parameter_map"))
+    english_kind = literal_map((r[0], r[2]) for r in rules.table("parameter_map"))
+    source = literal_map((r[0], r[1]) for r in rules.table("parameter_map_source_language"))
+    source_kind = literal_map((r[0], r[2]) for r in rules.table("parameter_map_source_language"))
 
     def entry(p):
         name_en, name = text(p["paramNameEn"]), text(p["paramName"])
@@ -163,7 +159,7 @@ def _forward(canon, taken, unmapped) -> Column:
 def collisions(entries) -> Column:
     """Canonical keys that two parameters of one part claim (checked before the overwrite)."""
     keys = F.transform(F.filter(_col(entries), lambda e: e["mapped"]), lambda e: e["key"])
-    return let(keys, lambda hits: F.array_sort(F.array_distinct(
+    return let(keys, lambda hits: F.sort_array(F.array_distinct(
         F.filter(hits, lambda k, i: F.array_position(hits, k) != i + 1))))
 
 
@@ -244,7 +240,7 @@ def residual_count(attrs) -> Column:
 
 def publish_attributes(c) -> Column:
     """F16: pairs that cannot be shown in English are left out; numbers stay numbers."""
-    exact = _literal_map((r[0], r[1]) for r in rules.table("value_translation") if len(r) > 1 and r[1])
+    exact = literal_map((r[0], r[1]) for r in rules.table("value_translation") if len(r) > 1 and r[1])
     m = variant_map(c)
     entries = F.transform(F.map_entries(m), lambda e: F.struct(
         translate_key(F.trim(e["key"])).alias("key"),
@@ -278,7 +274,7 @@ def key_attributes(params, given=None) -> Column:
         text(p["paramNameEn"]).alias("name"), text(p["paramValueEn"]).alias("value"))),
         lambda p: (p["name"] != "") & ~p["value"].isin("", "-"))
     main = F.filter(usable, lambda p: p["main"])
-    chosen = F.array_sort(F.when(F.size(main) > 0, main).otherwise(usable))
+    chosen = F.sort_array(F.when(F.size(main) > 0, main).otherwise(usable))
     lines = F.transform(keep_first(chosen, lambda p: p["name"]), lambda p: F.concat(p["name"], F.lit(": "), p["value"]))
     built = F.nullif(F.array_join(lines, "\n"), F.lit(""))
     return built if given is None else F.coalesce(F.nullif(text(given), F.lit("")), built)
@@ -307,9 +303,9 @@ def compliance(product) -> Column:
     none = F.array().cast("array<struct<label:string,value:string>>")
     rohs = F.when(product["isRohsCert"], F.array(row(F.lit("RoHS"), F.coalesce(F.nullif(text(product["rohsCertType"]), F.lit("")), F.lit("Compliant")))))
     eccn = F.when(~text(product["eccn"]).isin("", "-"), F.array(row(F.lit("ECCN"), text(product["eccn"]))))
-    rank = _literal_map((c, i) for i, c in enumerate(HTS_ORDER))
+    rank = F.create_map(*[F.lit(x) for i, c in enumerate(HTS_ORDER) for x in (c, i)])
     filled = F.map_entries(F.map_filter(product["htsMap"], lambda k, v: F.coalesce(v, F.lit("")) != ""))
-    ordered = F.array_sort(F.transform(filled, lambda e: F.struct(
+    ordered = F.sort_array(F.transform(filled, lambda e: F.struct(
         F.coalesce(rank[e["key"]], F.lit(len(HTS_ORDER))).alias("o"), e["key"].alias("code"), F.trim(e["value"]).alias("v"))))
     hts = F.transform(ordered, lambda e: row(F.when(e["code"] == "TARIC", F.lit("TARIC")).otherwise(F.concat(e["code"], F.lit("HTS"))), e["v"]))
     return F.concat(F.coalesce(rohs, none), F.coalesce(eccn, none), F.coalesce(hts, none))
@@ -481,7 +477,7 @@ def isolate_keys_deep(c) -> Column:
 def leaked_keys(c, forbidden=FORBIDDEN_KEYS) -> Column:
     """Forbidden keys anywhere in the JSON text, whatever the depth."""
     names = F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), F.lit(1))
-    return F.array_sort(F.array_intersect(F.array_distinct(names), F.array(*[F.lit(k) for k in forbidden])))
+    return F.sort_array(F.array_intersect(F.array_distinct(names), F.array(*[F.lit(k) for k in forbidden])))
 
 
 def split_volatile(c, volatile=VOLATILE_KEYS) -> Column:

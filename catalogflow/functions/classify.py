@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalogflow import rules
 from catalogflow.functions import units
 from catalogflow.functions.attrs import json_map, to_variant
-from catalogflow.functions.keys import _col, let, text
+from catalogflow.functions.keys import _col, let, literal_map, text
 from catalogflow.functions.text import ascii_only, collapse, has_illegal_text, is_ascii, normalize_text
 
 UNCATEGORIZED = "Uncategorized"
@@ -55,7 +55,7 @@ ENUM = {
 
 
 def _map(d: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+    return literal_map(d.items())
 
 
 def first_match(subject: Column, table, test) -> Column:

@@ -26,6 +26,11 @@ def let(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
+def literal_map(pairs) -> Column:
+    """Fixed text-to-text table as one literal; the optimizer evaluates it once per plan."""
+    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in dict(pairs).items())), F.lit("\x01"), F.lit("\x02"))
+
+
 def nonblank(c) -> Column:
     return F.coalesce(F.trim(_col(c)) != "", F.lit(False))
 
@@ -114,7 +119,7 @@ def slug_base(c) -> Column:
 
 def search_keys(c) -> Column:
     """the typed form and the stripped form of a part number."""
-    return F.array_sort(F.array_distinct(F.array(F.lower(text(c)), key_alnum(c))))
+    return F.sort_array(F.array_distinct(F.array(F.lower(text(c)), key_alnum(c))))
 
 
 def part_aliases(slug, clean, mpn) -> Column:

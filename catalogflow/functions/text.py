@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalogflow import rules
-from catalogflow.functions.keys import _col, text
+from catalogflow.functions.keys import _col, literal_map, text
 
 # Symbols kept in otherwise ASCII text.
 LEGAL_SYMBOLS = "±°"
@@ -202,9 +202,9 @@ FAQ_SYNONYMS = {
 
 def question_key(c) -> Column:
     """sorted set of synonym-folded words."""
-    syn = F.create_map(*[F.lit(x) for kv in FAQ_SYNONYMS.items() for x in kv])
+    syn = literal_map(FAQ_SYNONYMS.items())
     words = F.filter(F.split(plain_words(c), " "), lambda w: w != "")
-    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.coalesce(syn[w], w))))
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.coalesce(syn[w], w))))
 
 
 def same_question(a, b) -> Column:
@@ -336,7 +336,7 @@ def human_label(c) -> Column:
     """mapped label, else prose in title case with abbreviations left as they are,
     else the key with underscores as blanks in title case."""
     k = text(c)
-    labels = F.create_map(*[F.lit(x) for r in rules.table("attribute_label") for x in r])
+    labels = literal_map(rules.table("attribute_label"))
     return (
         F.when(k == "", k)
         .otherwise(F.coalesce(
@@ -363,5 +363,5 @@ def translate_value(c) -> Column:
 
 def translate_key(c) -> Column:
     """curated dictionary, unknown names unchanged."""
-    d = F.create_map(*[F.lit(x) for r in rules.table("attribute_dictionary") for x in r])
+    d = literal_map(rules.table("attribute_dictionary"))
     return F.coalesce(d[_col(c)], _col(c))

@@ -49,11 +49,11 @@ def _measurements(s: Column, sep: str) -> Column:
 
 def is_multi_value(c) -> Column:
     """two or more measurements. Thousands separators and fractional watts do not count."""
-    t = F.regexp_replace(text(c), r"(?<=\d),(?=\d{3}(?!\d))", "")
-    no_fraction = F.regexp_replace(t, r"(?i)\d+\s*/\s*\d+\s*W(?![A-Za-z])", "")
-    return (t != "") & (
-        (_measurements(t, ";") >= 2) | (_measurements(t, ",") >= 2) | (_measurements(no_fraction, "/") >= 2)
-    )
+    s = text(c)
+    # Most values hold no separator at all; they are settled by this one test.
+    return s.rlike("[;,/]") & let(F.regexp_replace(s, r"(?<=\d),(?=\d{3}(?!\d))", ""), lambda t: (
+        (_measurements(t, ";") >= 2) | (_measurements(t, ",") >= 2)
+        | (_measurements(F.regexp_replace(t, r"(?i)\d+\s*/\s*\d+\s*W(?![A-Za-z])", ""), "/") >= 2)))
 
 
 def _mean(values: Column) -> Column:
@@ -80,16 +80,16 @@ def _parse(s: Column, units: dict[str, float]) -> Column:
         lambda n, u: n.try_cast("double") * factor[F.lower(u)],
     )
     loose = F.transform(F.regexp_extract_all(s, F.lit(r"([\d.]+)"), F.lit(1)), lambda n: n.try_cast("double"))
-    number = (
-        F.when(F.size(scaled) > 0, _mean(scaled))
-        .when(s.rlike(f"(?iu){alt}") & (F.size(loose) > 0), _mean(loose))
+    number = let(scaled, lambda xs: (
+        F.when(F.size(xs) > 0, _mean(xs))
+        .when(s.rlike(f"(?iu){alt}"), let(loose, lambda ys: F.when(F.size(ys) > 0, _mean(ys))))
         .when(s.rlike(r"^\s*[\d.]+\s*$"), s.try_cast("double"))
-    )
+    ))
     return (
         F.when(s == "", _nothing())
-        .when(canon.rlike(span), _quantity("range", txt=F.concat(lo, lo_unit, F.lit("~"), hi, hi_unit)))
+        .when(s.rlike("[~–—-]") & canon.rlike(span), _quantity("range", txt=F.concat(lo, lo_unit, F.lit("~"), hi, hi_unit)))
         .when(is_multi_value(s), _quantity("multi", txt=s))
-        .when(number.isNotNull(), _quantity("single", num=number))
+        .otherwise(let(number, lambda n: F.when(n.isNotNull(), _quantity("single", num=n))))
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow import rules
-from catalogflow.functions.keys import _col, nonblank, slug_category, text
+from catalogflow.functions.keys import _col, literal_map, nonblank, slug_category, text
 from catalogflow.operators.ordering import first_occurrence, last_occurrence, top_per_group
 
 # Parts of one category name from which a unit stands on its own, or is merged.
@@ -39,8 +39,8 @@ def fine_units(parts: DataFrame, review: DataFrame | None = None) -> tuple[DataF
     units = classed.groupBy("l1", "cat").agg(F.count(F.lit(1)).alias("sku"), F.min("ord").alias("first"), F.max("cls").alias("cls"))
 
     key = F.concat_ws("\t", "l1", "cat")
-    merge = F.create_map(*[F.lit(x) for r in rules.table("merge_target") if r[2] != "NO_SAFE_TARGET" for x in (f"{r[0]}\t{r[1]}", r[2])])
-    larger = F.create_map(*[F.lit(x) for r in rules.table("candidate_merge_target") for x in (f"{r[0]}\t{r[1]}", r[2])])
+    merge = literal_map((f"{r[0]}\t{r[1]}", r[2]) for r in rules.table("merge_target") if r[2] != "NO_SAFE_TARGET")
+    larger = literal_map((f"{r[0]}\t{r[1]}", r[2]) for r in rules.table("candidate_merge_target"))
     target = F.when(F.col("cls").isin("DIRECT", "REVIEW"), larger[key]).when(F.col("cls") == "MERGE", merge[key])
     units = units.withColumn("target", target).withColumn("action", F.when(F.col("target").isNotNull(), "MERGE").otherwise("BUILD"))
     units = _unit_slugs(units)
@@ -112,7 +112,7 @@ def facet_counts(df: DataFrame, top: str = "top", sub: str = "sub", maker: str =
     makers = df.groupBy(F.col(maker).alias("name")).agg(F.count(F.lit(1)).alias("n"))
     subs = df.groupBy(F.col(top).alias("top"), F.col(sub).alias("sub")).agg(F.count(F.lit(1)).alias("n"))
     tops = subs.groupBy("top").agg(
-        F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct(F.lower("sub").alias("o"), F.col("sub").alias("name"), F.col("n").alias("n")))).alias("s"))
+        F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct(F.lower("sub").alias("o"), F.col("sub").alias("name"), F.col("n").alias("n")))).alias("s"))
     return makers, tops.select("top", "n", F.transform("s", lambda x: F.struct(x["name"].alias("name"), x["n"].alias("n"))).alias("subcategories"))
 
 
@@ -264,7 +264,7 @@ def group_fingerprint(df: DataFrame, group: Sequence[str], cols: Sequence[str],
     """
     rows = df.select(*group, F.col(ord).alias("_o"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).alias("_t"))
     return rows.groupBy(*group).agg(
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_t"))), lambda x: x["_t"]), "\n"), 256).alias("fingerprint"))
+        F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_o", "_t"))), lambda x: x["_t"]), "\n"), 256).alias("fingerprint"))
 
 
 def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

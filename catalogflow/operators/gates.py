@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.functions.attrs import replay_alternates, spec_count
-from catalogflow.functions.keys import _col, key_alnum, key_nospace, key_upper, nonblank, text, url_host
+from catalogflow.functions.keys import _col, key_alnum, key_nospace, key_upper, literal_map, nonblank, text, url_host
 from catalogflow.functions.text import has_illegal_text
 from catalogflow.operators.identity import lookup_with_fallback
 from catalogflow.schemas import MASTER_COLUMNS, REQUIRED_COLUMNS
@@ -62,7 +62,7 @@ MASS_FAILURE_RATE = 0.10
 def exceptions(df: DataFrame, code, message, mpn="mpn", severity=None) -> DataFrame:
     """Rows of ``df`` as exception records."""
     code = F.lit(code) if isinstance(code, str) else code
-    sev = severity if severity is not None else F.create_map(*[F.lit(x) for kv in SEVERITY.items() for x in kv])[code]
+    sev = severity if severity is not None else literal_map(SEVERITY.items())[code]
     return df.select(
         code.alias("code"), (F.lit(sev) if isinstance(sev, str) else sev).alias("severity"),
         _col(mpn).cast("string").alias("mpn"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
@@ -415,7 +415,7 @@ def dead_links(links: DataFrame, pages: DataFrame, site: str = "") -> DataFrame:
 # ---- batch decisions (A19, A20, A22-A24, P28) ------------------------------------------------
 
 def with_severity(exc: DataFrame) -> DataFrame:
-    sev = F.create_map(*[F.lit(x) for kv in SEVERITY.items() for x in kv])
+    sev = literal_map(SEVERITY.items())
     return exc.withColumn("severity", F.coalesce("severity", sev[F.col("code")])) if "severity" in exc.columns else exc.withColumn("severity", sev[F.col("code")])
 
 

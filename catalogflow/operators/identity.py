@@ -317,7 +317,7 @@ def duplicate_mpns(df: DataFrame, mpn: str = "mpn", line: str = "line", heads: i
     w = Window.partitionBy("key").orderBy("line")
     lines = (
         keyed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= heads)
-        .groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x.cast("string")), ",").alias("lines"))
+        .groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list("line")), lambda x: x.cast("string")), ",").alias("lines"))
     )
     return counts.join(lines, "key")
 
@@ -338,9 +338,9 @@ def clone_index(raw: DataFrame, mpn: str = "mpn", brand: str = "manufacturer", c
     keyed = raw.select(key_alnum(mpn).alias("key"), key_alnum(brand).alias("maker"), text(code).alias("code")).where("key <> ''").distinct()
     per_maker = keyed.groupBy("key", "maker").agg(F.count(F.lit(1)).alias("codes"), F.min("code").alias("first_code"))
     return per_maker.groupBy("key").agg(
-        F.array_sort(F.collect_set(F.nullif("maker", F.lit("")))).alias("makers"),
+        F.sort_array(F.collect_set(F.nullif("maker", F.lit("")))).alias("makers"),
         F.sum("codes").alias("codes"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("maker", "first_code")))).alias("code_by_maker"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("maker", "first_code")))).alias("code_by_maker"),
     )
 
 
@@ -456,7 +456,7 @@ def _numbered_bases(rows: DataFrame, ord: str) -> DataFrame | None:
         if level.isEmpty():
             break
         fold = level.groupBy("parent").agg(
-            F.first("_own").alias("_own"), F.array_sort(F.collect_list(F.struct("num", "before", "child"))).alias("xs"))
+            F.first("_own").alias("_own"), F.sort_array(F.collect_list(F.struct("num", "before", "child"))).alias("xs"))
         reserved = F.aggregate(
             F.col("xs"), F.array().cast("array<bigint>"),
             lambda acc, x: F.when(x["before"] - F.col("_own") < x["num"] - 1 - F.size(acc), F.array_append(acc, x["num"])).otherwise(acc))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow import rules
-from catalogflow.functions.keys import key_nospace, nonblank, split_multi, text
+from catalogflow.functions.keys import key_nospace, literal_map, nonblank, split_multi, text
 from catalogflow.functions.text import brand_blob, collapse, short_abbreviation
 from catalogflow.operators.ordering import first_occurrence, global_rank
 
@@ -42,10 +42,6 @@ class Merged:
     review: DataFrame
 
 
-def _first_filled(col: str) -> Column:
-    return F.min_by(F.col(col), F.when(nonblank(col), F.col("ord")))
-
-
 def _ordered_values(rows: DataFrame, value: str) -> DataFrame:
     """Distinct values per key in order of first appearance, as one array.
 
@@ -54,7 +50,7 @@ def _ordered_values(rows: DataFrame, value: str) -> DataFrame:
     """
     firsts = rows.groupBy("_brand", "_mpn", value).agg(F.min("_at").alias("_at"))
     return firsts.groupBy("_brand", "_mpn").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_at", value))), lambda x: x[value]).alias("_values")
+        F.transform(F.sort_array(F.collect_list(F.struct("_at", value))), lambda x: x[value]).alias("_values")
     )
 
 
@@ -64,9 +60,7 @@ def merge_offers(
     """A1: collapse offers by (canonical brand, part number without spaces).
 
     The first offer is the base row; blank columns are filled by the first offer that has
-    them; alternates and sources are unions in order of appearance. Offers of one part are
-    first reduced per (part, source), so a part with very many offers is spread over its
-    sources and only one partial row per source meets in the final step.
+    them; alternates and sources are unions in order of appearance.
     """
     rows = canonicalize_brand(df.where(nonblank("mpn")), alias)
     if ord != "ord":
@@ -78,26 +72,22 @@ def merge_offers(
     base_cols = [c for c in df.columns if c not in fills and c not in ("ord", ord, source)]
     base = F.struct(*[F.col(c) for c in base_cols], F.col("brand_matched"), (text("manufacturer") == "").alias("brand_missing"))
 
-    per_source = rows.groupBy("_brand", "_mpn", "_source").agg(
-        F.min("ord").alias("_ord"),
+    # Partial minima are taken inside the map tasks, so a part with very many offers sends one
+    # row per task; its sources are reduced apart, per (part, source).
+    groups = rows.groupBy("_brand", "_mpn").agg(
+        F.min("ord").alias("ord"),
         F.min_by(base, F.col("ord")).alias("_base"),
-        F.count(F.lit(1)).alias("_n"),
+        F.count(F.lit(1)).alias("offers"),
         *[F.min(F.when(nonblank(c), F.struct(F.col("ord").alias("o"), F.col(c).alias("v")))).alias(f"_f_{c}") for c in fills],
     )
-    groups = per_source.groupBy("_brand", "_mpn").agg(
-        F.min("_ord").alias("ord"),
-        F.min_by("_base", "_ord").alias("_base"),
-        F.sum("_n").alias("offers"),
-        F.array_sort(F.collect_list(F.when(F.col("_source") != "", F.struct("_ord", "_source")))).alias("_src"),
-        *[F.min(f"_f_{c}").alias(f"_f_{c}") for c in fills],
-    )
-    out = groups.select(
+    sources = _ordered_values(rows.where("_source <> ''").select("_brand", "_mpn", "_source", F.col("ord").alias("_at")), "_source")
+    out = groups.join(sources, ["_brand", "_mpn"], "left").select(
         "_brand", "_mpn", "ord", "offers",
         *[F.col(f"_base.{c}").alias(c) for c in base_cols if c not in ("manufacturer", "brand")],
         F.col("_brand").alias("manufacturer"),
         F.col("_brand").alias("brand"),
         *[F.col(f"_f_{c}.v").alias(c) for c in fills],
-        F.transform("_src", lambda x: x["_source"]).alias("sources"),
+        F.coalesce("_values", F.array().cast("array<string>")).alias("sources"),
         F.col("_base.brand_matched").alias("brand_matched"),
         F.col("_base.brand_missing").alias("brand_missing"),
     )
@@ -130,7 +120,7 @@ def merge_offers(
     unknown_stats = None
     if "attributes_json" in df.columns:
         unknown, malformed = _attribute_review(rows, allowed_keys)
-        per_group = unknown.groupBy("_brand", "_mpn").agg(F.array_sort(F.collect_set("key")).alias("unknown_attr"))
+        per_group = unknown.groupBy("_brand", "_mpn").agg(F.sort_array(F.collect_set("key")).alias("unknown_attr"))
         bad = malformed.groupBy("_brand", "_mpn").agg(F.lit(True).alias("malformed_attributes"))
         out = (
             out.join(per_group, ["_brand", "_mpn"], "left").join(bad, ["_brand", "_mpn"], "left")
@@ -180,7 +170,7 @@ def _attribute_review(rows: DataFrame, allowed: DataFrame | None) -> tuple[DataF
         "_kind", F.schema_of_variant("_v"))
     malformed = parsed.where(F.col("_v").isNotNull() & ~F.col("_kind").startswith("OBJECT")).select("_brand", "_mpn", "mpn")
     alias = rules.mapping("attribute_alias")
-    alias_map = F.create_map(*[F.lit(x) for kv in alias.items() for x in kv])
+    alias_map = literal_map(alias.items())
     keys = rows.select("_brand", "_mpn", "mpn", F.explode(F.json_object_keys("attributes_json")).alias("_raw"))
     keys = keys.select("_brand", "_mpn", "mpn", F.coalesce(alias_map[F.lower("_raw")], F.col("_raw")).alias("key")).distinct()
     if allowed is None:

@@ -212,7 +212,7 @@ def first_reports(df: DataFrame, by: Sequence[str], value: str, n: int) -> DataF
     heads = (
         top_per_group(df.select(*by, value).distinct(), by, [value], n)
         .groupBy(*by)
-        .agg(F.array_join(F.array_sort(F.collect_list(value)), ", ").alias("examples"))
+        .agg(F.array_join(F.sort_array(F.collect_list(value)), ", ").alias("examples"))
     )
     return counts.join(heads, list(by))
 
@@ -220,24 +220,21 @@ def first_reports(df: DataFrame, by: Sequence[str], value: str, n: int) -> DataF
 # ---- logs ---------------------------------------------------------------------
 
 def carry_parent(df: DataFrame, ord: str = "ord", level: str = "level", id: str = "id") -> DataFrame:
-    """Stamp the last seen level-1 and level-2 node on the rows that follow.
+    """Stamp the last seen level-1 and level-2 node on the rows that follow; a level-1 node
+    resets level 2.
 
-    Without one global window: rows are ranked once, each level-1 node opens a block that
-    ends before the next one, and level 2 restarts in every block. The block of a row is
-    found with an interval-to-point expansion on ranks over the (small) set of nodes, then
-    checked by rank, so no task sees the whole table.
+    No window runs over the whole table: rows get a global position and fall into buckets of
+    4,096; inside a bucket a running maximum finds the ancestor, and the last ancestor of each
+    bucket is carried to the buckets after it.
     """
     ranked = global_rank(df, [ord], "_r")
     size = 4096
-    # Rows meet the ancestors of their own rank bucket; the last ancestor of every bucket is
-    # carried to the next one with a window over one row per bucket.
     ranked = ranked.withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(size)).cast("long"))
     in_bucket = Window.partitionBy("_b").orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
     l1 = F.when(F.col(level) == 1, F.struct(F.col("_r").alias("r"), F.col(id).alias("id")))
     l2 = F.when(F.col(level) == 2, F.struct(F.col("_r").alias("r"), F.col(id).alias("id")))
     local = ranked.withColumn("_p1", F.max(l1).over(in_bucket)).withColumn("_p2", F.max(l2).over(in_bucket))
     ends = local.groupBy("_b").agg(F.max("_p1").alias("_e1"), F.max("_p2").alias("_e2"))
-    # one row per 4,096 input rows, ranked in blocks the same way when it is large itself
     carried = _carry_ends(ends)
     out = local.join(carried, "_b", "left")
     p1 = F.coalesce(F.col("_p1"), F.col("_c1"))
@@ -265,16 +262,24 @@ def _carry_ends(ends: DataFrame) -> DataFrame:
 
 def unique_seo_slugs(df: DataFrame, base: str = "base", id: str = "id", ord: str = "ord") -> DataFrame:
     """The first use keeps the base, later uses append their id; an id used again under
-    the same base takes the next counter, starting at 3."""
+    the same base takes the next counter from 3 on, past numbers that are ids of that base."""
     ranked = grouped_rank(df, [base], [ord], "_n")
     later = grouped_rank(ranked.where("_n > 1"), [base, id], [ord], "_m")
-    counted = grouped_rank(later.where("_m > 1"), [base], [ord], "_k")
+    counted = grouped_rank(later.where("_m > 1"), [base], [ord], "_k", "_repeats")
+    # Only ids that the counters can reach matter: at most the repeats plus the ids before.
+    need = counted.groupBy(F.col(base).alias("_nb")).agg(F.max("_repeats").alias("_most"))
+    number = F.col(id).cast("string").try_cast("long")
+    ids = later.where("_m = 1").join(need, F.col(base) == F.col("_nb")).select("_nb", number.alias("_id"), "_most").where("_id >= 3")
+    w = Window.partitionBy("_nb").orderBy("_id")
+    near = ids.withColumn("_i", F.row_number().over(w)).where("_id <= 2 + _most + _i")
+    held = near.groupBy("_nb").agg(F.sort_array(F.collect_list("_id")).alias("_held"))
+    counted = counted.join(held, F.col(base) == F.col("_nb"), "left")
+    counter = F.aggregate(F.coalesce("_held", F.array().cast("array<bigint>")), F.col("_k") + 2, lambda acc, x: F.when(x <= acc, acc + 1).otherwise(acc))
     with_id = F.concat_ws("-", F.col(base), F.col(id).cast("string"))
-    with_counter = F.concat_ws("-", F.col(base), (F.col("_k") + 2).cast("string"))
     parts = [
         ranked.where("_n = 1").withColumn("seo_slug", F.col(base)),
         later.where("_m = 1").withColumn("seo_slug", with_id).drop("_m"),
-        counted.withColumn("seo_slug", with_counter).drop("_m", "_k"),
+        counted.withColumn("seo_slug", F.concat_ws("-", F.col(base), counter.cast("string"))).drop("_m", "_k", "_repeats", "_nb", "_held"),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("_n")
 

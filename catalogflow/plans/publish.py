@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalogflow import rules
 from catalogflow.functions import attrs, text as tx, units
-from catalogflow.functions.keys import key_upper, nonblank, search_keys, slug_hyphen, text
+from catalogflow.functions.keys import key_upper, literal_map, nonblank, search_keys, slug_hyphen, text
 from catalogflow.operators import aggregates, gates, identity, merge
 from catalogflow.operators.ordering import paginate
 from catalogflow.session import cut
@@ -172,7 +172,7 @@ def publish_normalize(df: DataFrame, votes: DataFrame, value_votes: DataFrame |
     ``votes`` (key, value) is the majority translation of source names (A12), ``value_votes`` that
     of whole values. Returns (long table key, name, value, tiers; per-tier counts).
     """
-    d = F.create_map(*[F.lit(x) for r in rules.table("attribute_dictionary") for x in r])
+    d = literal_map(rules.table("attribute_dictionary"))
     pairs = df.select(F.col(key).alias("row"), F.explode(F.map_entries(attrs.json_map(attributes))).alias("e")).select(
         "row", F.col("e.key").alias("src"), F.col("e.value").alias("raw"))
     v = votes.select(F.col("key").alias("_vk"), F.col("value").alias("_vv"))
@@ -218,7 +218,7 @@ def subcategory_pages(parts: DataFrame, tops: DataFrame, allow: Sequence[str] =
 # ---- page records (B18) ------------------------------------------------------------------------------
 
 def title_family(l1, subcategory) -> Column:
-    family = F.create_map(*[F.lit(x) for r in rules.table("title_family") for x in r])
+    family = literal_map(rules.table("title_family"))
     return F.when(F.lower(text(subcategory)).contains("mosfet"), "MOSFET").otherwise(F.coalesce(family[F.lower(text(l1))], F.lit("Other")))
 
 
