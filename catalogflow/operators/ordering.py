@@ -23,20 +23,19 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def global_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence, name: str = "rank", partitions: int | None = None) -> DataFrame:
     """W7r: 1-based position of every row in the order of ``order``.
 
     ``order`` must identify a row (end it with ``ord``), which also makes the range
     partitions even when a leading column repeats. The sorted rows are checkpointed once,
     so positions cannot move when a lost executor makes Spark compute a partition again.
-    Only one row per partition goes into the running total.
+    Only one row per partition goes into the running total. Without ``partitions`` Spark sizes
+    the ranges from the data at run time.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [_c(o) for o in order]
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     placed = cut(
-        df.repartitionByRange(parts, *cols)
-        .sortWithinPartitions(*cols)
+        ranged.sortWithinPartitions(*cols)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     pid = F.shiftrightunsigned(F.col("_mid"), _ROW_BITS)
@@ -57,14 +56,15 @@ def global_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame
 
 
 def grouped_rank(
-    df: DataFrame, group: Sequence[str], order: Sequence, name: str = "rank", size: str | None = None
+    df: DataFrame, group: Sequence[str], order: Sequence, name: str = "rank", size: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """1-based position inside each group, and the group size if ``size`` names a column.
 
     The position is the global position less the first global position of the group,
     so the sort work of a large group is shared by many tasks.
     """
-    ranked = global_rank(df, [*group, *order], "_g")
+    ranked = global_rank(df, [*group, *order], "_g", partitions)
     first = ranked.groupBy(*group).agg(F.min("_g").alias("_gfirst"), F.count(F.lit(1)).alias("_gsize"))
     joined = _null_safe_join(ranked, first, group)
     out = joined.withColumn(name, F.col("_g") - F.col("_gfirst") + 1)

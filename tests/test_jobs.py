@@ -157,7 +157,9 @@ def test_ranks_and_slices(spark):
     df = spark.range(5000).withColumn("ord", F.col("id")).withColumn("mpn", F.concat(F.lit("P"), F.col("id").cast("string"))).withColumn("k", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("mpn")))
     sizes = ordering.slice_manifest(ordering.plan_slices(df)).collect()
     assert len(sizes) == 10 and {r["n"] for r in sizes} == {500}
-    r = ordering.grouped_rank(df, ["k"], ["ord"], "r", "n").where("k = 'hot'").agg(F.max("r"), F.countDistinct("r"), F.max("n")).first()
+    spread = ordering.global_rank(df.repartition(5), ["ord"], "r", partitions=7)
+    assert spread.where("r <> ord + 1").count() == 0 and spread.count() == 5000
+    r = ordering.grouped_rank(df, ["k"], ["ord"], "r", "n", partitions=7).where("k = 'hot'").agg(F.max("r"), F.countDistinct("r"), F.max("n")).first()
     assert tuple(r) == (1667, 1667, 1667)
     tree = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (3, 3, "c"), (4, 1, "d"), (5, 3, "e")], "ord long, level int, id string")
     assert [(x["l1_id"], x["l2_id"]) for x in ordering.carry_parent(tree).orderBy("ord").collect()] == [("a", None), ("a", "b"), ("a", "b"), ("d", None), ("d", None)]
