@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.functions.attrs import replay_alternates, spec_count
-from catalogflow.functions.keys import _col, key_alnum, key_nospace, key_upper, literal_map, nonblank, text, url_host
+from catalogflow.functions.keys import _col, key_alnum, key_nospace, key_upper, let, literal_map, nonblank, text, url_host
 from catalogflow.functions.text import has_illegal_text
 from catalogflow.operators.identity import lookup_with_fallback
 from catalogflow.schemas import MASTER_COLUMNS, REQUIRED_COLUMNS
@@ -184,20 +184,22 @@ def qualify(df: DataFrame, known_brands: DataFrame | None = None, attributes: st
 
 def host_matches(host: Column, names: Sequence[str]) -> Column:
     """The host itself or a subdomain; ``notti.com`` is not ``ti.com``."""
-    return reduce(lambda a, b: a | b, [(host == n.lower()) | host.endswith("." + n.lower()) for n in names])
+    return host.rlike(r"(?i)(^|\.)(" + "|".join(n.replace(".", r"\.") for n in names) + ")$")
 
 
 def classify_host(url, storage=STORAGE_HOSTS, supplier=SUPPLIER_HOSTS, oem=OEM_HOSTS) -> Column:
     """struct<verdict, host>. The host decides first; a bad shape narrows every verdict
     except a supplier's, which is the more useful finding."""
-    u = text(url)
-    host = url_host(u)
-    verdict = (
-        F.when(host_matches(host, storage), "OK_STORAGE").when(host_matches(host, supplier), "BAD_SUPPLIER")
-        .when(host_matches(host, oem), "OK_OEM").otherwise("BAD_UNKNOWN"))
-    shape = u.rlike(BROKEN_URL) | ~F.lower(u).startswith("https://")
-    final = F.when(u == "", "").when((verdict != "BAD_SUPPLIER") & shape, "BAD_SHAPE").otherwise(verdict)
-    return F.struct(final.alias("verdict"), host.alias("host"))
+    def verdict(x):
+        u, host = x["url"], x["host"]
+        by_host = (
+            F.when(host_matches(host, storage), "OK_STORAGE").when(host_matches(host, supplier), "BAD_SUPPLIER")
+            .when(host_matches(host, oem), "OK_OEM").otherwise("BAD_UNKNOWN"))
+        shape = u.rlike(BROKEN_URL) | ~F.lower(u).startswith("https://")
+        return let(by_host, lambda v: F.struct(
+            F.when(u == "", "").when((v != "BAD_SUPPLIER") & shape, "BAD_SHAPE").otherwise(v).alias("verdict"), host.alias("host")))
+
+    return let(F.struct(text(url).alias("url"), url_host(url).alias("host")), verdict)
 
 
 def supplier_document_url(raw, supplier=SUPPLIER_HOSTS) -> Column:

@@ -158,7 +158,7 @@ def plan_release(
     found.append(findings(good.where(specs < 2), "qualification", "WARN", "SPEC_THIN", specs.cast("string")))
 
     guard = identity.dedup_guard(good.select(*candidates.columns), master)
-    d = guard.decision
+    d = cut(guard.decision)  # one row, used three times
     found.append(findings(
         d.where("stop and not (stop_code = 'MASS_DUPLICATE' and new = 0)"), "dedup", "STOP", F.col("stop_code"),
         F.concat_ws("/", F.col("duplicates").cast("string"), F.col("total").cast("string")), mpn=F.lit(None)))
