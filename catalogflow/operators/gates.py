@@ -70,10 +70,11 @@ def exceptions(df: DataFrame, code, message, mpn="mpn", severity=None) -> DataFr
 
 # ---- projection and intake (P1, P2) ---------------------------------------------
 
-def project_master(df: DataFrame, columns: Sequence[str] = MASTER_COLUMNS) -> DataFrame:
-    """Exactly the MASTER columns, missing ones blank."""
-    return df.select(*[
-        (F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in columns])
+def project_master(df: DataFrame, columns: Sequence[str] = MASTER_COLUMNS, keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly the MASTER columns, missing ones blank; ``keep`` names working columns beside them."""
+    have = set(df.columns)
+    return df.select(*keep, *[
+        (F.coalesce(F.col(c).cast("string"), F.lit("")) if c in have else F.lit("")).alias(c) for c in columns])
 
 
 def intake_filter(

@@ -93,16 +93,12 @@ def _candidates(spark, sf):
     rows = b.batch(spark, sf)
     l1 = F.when(F.col("category") == "SMALL", "").otherwise(F.lower("category"))
     link = F.when(F.col("category") == "PROMO", F.concat(F.lit("https://datasheet.lcsc.com/"), F.col("supplier_reference"))).otherwise("")
-    out = gates.project_master(rows.withColumn("native_l1", l1).withColumn("datasheet_url", link).withColumn("attributes_json", F.lit('{"a":1,"b":2}')))
-    # MASTER columns come as text; ord and counts stay beside them
-    tagged = rows.select("ord", F.col("supplier_reference").alias("_sr"))
-    return out.join(tagged, F.col("supplier_reference") == F.col("_sr")).drop("_sr").withColumn("spec_keys", F.lit(2))
+    full = rows.withColumns({"native_l1": l1, "datasheet_url": link, "attributes_json": F.lit('{"a":1,"b":2}')})
+    return gates.project_master(full, keep=("ord",)).withColumn("spec_keys", F.lit(2))
 
 
 def _master_rows(spark, sf):
-    rows = b.master(spark, sf)
-    out = gates.project_master(rows.withColumn("native_l1", F.lower("category")))
-    return out.join(rows.select("ord", F.col("supplier_reference").alias("_sr")), F.col("supplier_reference") == F.col("_sr")).drop("_sr")
+    return gates.project_master(b.master(spark, sf).withColumn("native_l1", F.lower("category")), keep=("ord",))
 
 
 @query(b.sql("""WITH c AS (SELECT *, category='SMALL' AS unmapped FROM batch_v), good AS (SELECT * FROM c WHERE NOT unmapped),
