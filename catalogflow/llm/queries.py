@@ -12,6 +12,8 @@ from catalogflow.llm.common import table
 from catalogflow.llm.html import extract_main_text
 from catalogflow.llm.packing import pack_documents
 from catalogflow.llm.pii import KINDS, pii_spans
+from catalogflow.llm.quality import judge
+from catalogflow.llm.toxicity import in_fold, toxicity_score, train
 from catalogflow.llm.warc import round_trip
 
 
@@ -24,6 +26,19 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("s")).alias("spans"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(in_fold("doc_id") == 0, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity_score(model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).select(
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", F.col("digest_so_far").alias("payload_digest"), "record_type",
@@ -45,7 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op6_warc, op7_html, op9_packing, op10_token_counts)
+    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op6_warc, op7_html, op9_packing, op10_token_counts)
 }
 
 # The article element of the test pages, its tags and references resolved by text functions.
