@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.llm.attribution import section_tokens
 from catalogflow.llm.common import table
+from catalogflow.llm.decontaminate import find_items
 from catalogflow.llm.html import extract_main_text
 from catalogflow.llm.packing import pack_documents
 from catalogflow.llm.pii import KINDS, pii_spans
@@ -39,6 +40,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).select(
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", F.col("digest_so_far").alias("payload_digest"), "record_type",
@@ -60,7 +65,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op6_warc, op7_html, op9_packing, op10_token_counts)
+    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op4_decontamination, op6_warc, op7_html, op9_packing, op10_token_counts)
 }
 
 # The article element of the test pages, its tags and references resolved by text functions.
@@ -69,4 +74,13 @@ _OP7_SQL = r"""WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html,''),
  c AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM b)
  SELECT page_id, url, text, length(text) AS n_chars FROM c"""
 
-ORACLES: dict[str, str] = {"op7_html": _OP7_SQL}
+_WORDS_SQL = r"list_filter(regexp_split_to_array(lower(coalesce(text,'')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+_SHINGLES_SQL = """SELECT DISTINCT id, unnest(list_transform(range(1, len(w)-3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM
+ (SELECT {id} AS id, {words} AS w FROM {table}) WHERE len(w) >= 5"""
+_OP4_SQL = f"""WITH d AS ({_SHINGLES_SQL.format(id="doc_id", words=_WORDS_SQL, table="documents")}),
+ b AS ({_SHINGLES_SQL.format(id="item_id", words=_WORDS_SQL, table="benchmark")}),
+ n AS (SELECT id, count(*) AS n FROM b GROUP BY id),
+ f AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_found FROM d JOIN b USING (s) GROUP BY 1, 2)
+ SELECT doc_id, item_id, n AS n_shingles, n_found, n_found / n AS containment FROM f JOIN n ON n.id = item_id WHERE n_found >= 0.75 * n"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": _OP4_SQL, "op7_html": _OP7_SQL}
