@@ -85,14 +85,19 @@ def find_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     """
     index = index_items(items, item_id, item_text, share)
     sketch, every = _bit_array(index.where("in_sketch").select("h")), _bit_array(index.select("h"))
-    texts = docs.select(F.col(doc_id).alias("doc_id"), _words(text).alias("words"))
-    hashed = texts.select("doc_id", "words", _hashes(F.col("words")).alias("hashes"), sketch.alias("sketch"))
-    candidates = hashed.where(F.exists("hashes", lambda h: _in_bits(F.col("sketch"), h))).select("doc_id", "words", "hashes", every.alias("every"))
-    known = F.filter(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))), lambda x: _in_bits(F.col("every"), x["h"]))
-    texts_of = F.transform(known, lambda x: F.struct(x["h"].alias("h"), _shingle(F.col("words"), x["i"]).alias("shingle")))
-    met = candidates.select("doc_id", F.size("hashes").alias("_size"), F.explode(F.array_distinct(texts_of)).alias("s")).select("doc_id", "_size", "s.h", "s.shingle")
+
+    def shared(words: Column, hashes: Column) -> Column:
+        """Shingles of a candidate that some item has too, with the number of all its shingles."""
+        known = F.filter(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))), lambda x: _in_bits(F.col("every"), x["h"]))
+        texts = F.transform(known, lambda x: F.struct(x["h"].alias("h"), _shingle(words, x["i"]).alias("shingle"), F.size(hashes).alias("size")))
+        return F.when(F.exists(hashes, lambda h: _in_bits(F.col("sketch"), h)), F.array_distinct(texts))
+
+    # one expression, and an outer explode, so that Spark cannot move a part of it into a filter and work it out twice
+    met = _let(_words(text), lambda words: _let(_hashes(words), lambda hashes: shared(words, hashes)))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias(text), sketch.alias("sketch"), every.alias("every"))
+    shingles = texts.select("doc_id", F.explode_outer(met).alias("s")).select("doc_id", "s.*").where("h IS NOT NULL")
     # a document with fewer shingles than the share of a size class needs cannot hold its items
-    pairs = met.join(index, ["h", "shingle"]).where(F.col("_size") >= F.lit(share) * F.col("size_class"))
+    pairs = shingles.join(index, ["h", "shingle"]).where(F.col("size") >= F.lit(share) * F.col("size_class"))
     # no more shingles than the item has
     found = pairs.groupBy("doc_id", "item_id", "n_shingles").agg(F.size(F.collect_set("shingle")).cast("bigint").alias("n_found"), F.bool_or("in_sketch").alias("_candidate"))
     enough = found.where(F.col("_candidate") & (F.col("n_found") >= F.lit(share) * F.col("n_shingles")))
