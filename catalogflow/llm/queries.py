@@ -11,6 +11,7 @@ from catalogflow.llm.attribution import section_tokens
 from catalogflow.llm.common import table
 from catalogflow.llm.decontaminate import find_items
 from catalogflow.llm.html import extract_main_text
+from catalogflow.llm.near import link_near
 from catalogflow.llm.packing import pack_documents
 from catalogflow.llm.pii import KINDS, pii_spans
 from catalogflow.llm.quality import judge
@@ -44,6 +45,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_near(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).select(
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", F.col("digest_so_far").alias("payload_digest"), "record_type",
@@ -65,7 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op4_decontamination, op6_warc, op7_html, op9_packing, op10_token_counts)
+    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op4_decontamination, op5_ngram_jaccard, op6_warc, op7_html, op9_packing, op10_token_counts)
 }
 
 # The article element of the test pages, its tags and references resolved by text functions.
