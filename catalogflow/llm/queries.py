@@ -11,6 +11,7 @@ from catalogflow.llm.attribution import section_tokens
 from catalogflow.llm.common import table
 from catalogflow.llm.decontaminate import find_items
 from catalogflow.llm.html import extract_main_text
+from catalogflow.llm.licences import licence_lines
 from catalogflow.llm.near import link_near
 from catalogflow.llm.packing import pack_documents
 from catalogflow.llm.pii import KINDS, pii_spans
@@ -61,6 +62,10 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_lines(table(spark, sf_dir, "documents")).select("doc_id", "line", "family", "confirmed")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -70,7 +75,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op4_decontamination, op5_ngram_jaccard, op6_warc, op7_html, op9_packing, op10_token_counts)
+    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op4_decontamination, op5_ngram_jaccard, op6_warc, op7_html, op8_licences, op9_packing, op10_token_counts)
 }
 
 # The article element of the test pages, its tags and references resolved by text functions.
@@ -88,4 +93,10 @@ _OP4_SQL = f"""WITH d AS ({_SHINGLES_SQL.format(id="doc_id", words=_WORDS_SQL, t
  f AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_found FROM d JOIN b USING (s) GROUP BY 1, 2)
  SELECT doc_id, item_id, n AS n_shingles, n_found, n_found / n AS containment FROM f JOIN n ON n.id = item_id WHERE n_found >= 0.75 * n"""
 
-ORACLES: dict[str, str] = {"op4_decontamination": _OP4_SQL, "op7_html": _OP7_SQL}
+# The statements of the test documents, by their wording.
+_OP8_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents)
+ SELECT doc_id, CAST(line AS INTEGER) AS line, CASE p WHEN 'Released under the MIT License.' THEN 'MIT' WHEN 'Licensed under the Apache License, Version 2.0.' THEN 'Apache-2.0'
+ WHEN 'This work is licensed under the GNU General Public License, version 3.' THEN 'GPL' WHEN 'Licensed under CC BY-NC 4.0.' THEN 'CC-BY-NC' WHEN 'All rights reserved.' THEN 'proprietary' END AS family, true AS confirmed
+ FROM l WHERE regexp_matches(p, '^(Released under the MIT License|Licensed under the Apache License, Version 2.0|This work is licensed under the GNU General Public License, version 3|Licensed under CC BY-NC 4.0|All rights reserved)[.]$')"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": _OP4_SQL, "op7_html": _OP7_SQL, "op8_licences": _OP8_SQL}
