@@ -13,24 +13,9 @@ from pyspark.sql import functions as F
 STORAGE_HOST = "files.r2.dev"
 
 
-# Key columns of the tables large enough to be worth spreading.
-_SPREAD = {
-    "part": ("p_partkey",), "lineitem": ("l_orderkey", "l_linenumber"), "documents": ("doc_id",), "pages": ("page_id",),
-    "orders": ("o_orderkey",), "events": ("event_id",), "customer": ("c_custkey",),
-}
-
-
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One driver table.
-
-    A file with a single row group is read by a single task, which would leave the work after
-    it on one core. Such a scan is spread by key once; a table of many splits is left alone.
-    """
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD and df._jdf.queryExecution().toRdd().getNumPartitions() * 2 <= cores:
-        return df.repartition(cores, *_SPREAD[name])
-    return df
+    """One driver table."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def mpn_of(name: str = "p_name") -> Column:

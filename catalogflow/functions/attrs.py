@@ -11,7 +11,7 @@ import json
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -467,11 +467,16 @@ def _isolate_json(texts: pd.Series) -> pd.DataFrame:
 def isolate_keys_deep(c) -> Column:
     """P20, any depth: JSON text without internal keys, and what was taken out with its path.
 
-    Texts that do not name any of the keys skip Python altogether.
+    Every text goes through Python; ``isolate_keys_in`` sends only those that name a key.
     """
-    suspect = _col(c).rlike('"(' + "|".join(INTERNAL_KEYS) + r')"\s*:')
-    clean = F.struct(_col(c).alias("public"), F.array().cast("array<struct<path:string,key:string,value:string>>").alias("isolated"))
-    return F.when(suspect, _isolate_json(F.when(suspect, _col(c)))).otherwise(clean)
+    return _isolate_json(_col(c))
+
+
+def isolate_keys_in(df: DataFrame, c: str, out: str) -> DataFrame:
+    """P20 over a table: rows whose text names an internal key pass through Python, the others do not."""
+    suspect = F.coalesce(F.col(c).rlike('"(' + "|".join(INTERNAL_KEYS) + r')"\s*:'), F.lit(False))
+    clean = F.struct(F.col(c).alias("public"), F.array().cast("array<struct<path:string,key:string,value:string>>").alias("isolated"))
+    return df.where(~suspect).withColumn(out, clean).unionByName(df.where(suspect).withColumn(out, isolate_keys_deep(c)))
 
 
 def leaked_keys(c, forbidden=FORBIDDEN_KEYS) -> Column:

@@ -103,7 +103,7 @@ def detect_family(parent_catalog, catalog_name, category, description, attribute
         F.when(by_parent.isNotNull(), found(by_parent, "L0_parentCatalogName", raw(parent_catalog), "high"))
         .when(by_catalog.isNotNull(), found(by_catalog, "L1_catalogName", raw(catalog_name), "high"))
         .when(by_category.isNotNull(), found(by_category, "L2_category", raw(category), "high"))
-        .when(by_text.isNotNull(), found(by_text, "L3_description", F.substring(raw(description), 1, 60), "medium"))
+        .when(by_text.isNotNull(), found(by_text, "L3_description", raw(description), "medium"))
         .when(by_key.isNotNull(), found(by_key, "L4_attributes", hit_key, "medium"))
         .otherwise(unknown)
     )

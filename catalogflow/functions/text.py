@@ -312,7 +312,7 @@ _SMALL_WORDS = ("a", "an", "as", "at", "and", "by", "de", "for", "from", "in", "
 
 
 def _capital(w: Column) -> Column:
-    return F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20))
+    return F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))
 
 
 def _title(c: Column) -> Column:

@@ -23,9 +23,11 @@ def fine_units(parts: DataFrame, review: DataFrame | None = None) -> tuple[DataF
 
     ``parts``: ``sr``, ``native_l1``, ``category``, ``parent``, ``ord``. ``review``: ``category``,
     ``parent``, ``native_l1`` for names that occur under several level-1 slugs. Returns
-    (units, part map). Counts are partial sums; a unit is one row however many parts it has.
+    (units, part map). Of several rows of a code (``sr``) the last counts, in the place of the first. Counts are
+    partial sums; a unit is one row however many parts it has.
     """
-    known = parts.where(nonblank("category")).select("sr", text("native_l1").alias("own_l1"), F.col("category").alias("cat"), F.col("parent").alias("par"), "ord")
+    per_code = parts.groupBy(text("sr").alias("sr")).agg(F.max_by(F.struct("native_l1", "category", "parent"), "ord").alias("x"), F.min("ord").alias("ord"))
+    known = per_code.where(nonblank("x.category")).select("sr", text("x.native_l1").alias("own_l1"), F.col("x.category").alias("cat"), F.col("x.parent").alias("par"), "ord")
     per_cat = known.groupBy("cat").agg(F.count(F.lit(1)).alias("n"), F.min("own_l1").alias("_lo"), F.max("own_l1").alias("_hi"))
     cls = F.when(F.col("_lo") != F.col("_hi"), "REVIEW").when(F.col("n") >= DIRECT_MIN, "DIRECT").when(F.col("n") >= MERGE_MIN, "MERGE").otherwise("EXCLUDE")
     classed = known.join(per_cat.withColumn("cls", cls).select("cat", "cls"), "cat")
@@ -66,25 +68,30 @@ def fine_units(parts: DataFrame, review: DataFrame | None = None) -> tuple[DataF
 
 
 def _unit_slugs(units: DataFrame) -> DataFrame:
-    """Slug of a unit: its name; name and level-1 slug when an earlier unit has the name; then a
-    number. Units are few (one per category name), their order is (level-1 slug, name)."""
-    plain = slug_category("cat")
-    both = slug_category(F.concat_ws(" ", "cat", "l1"))
-    named = units.withColumn("_s", plain).withColumn("_b", both)
-    w = Window.partitionBy("_s").orderBy("l1", "cat")
-    named = named.withColumn("_n", F.row_number().over(w))
-    wb = Window.partitionBy("_b").orderBy("l1", "cat")
-    named = named.withColumn("_nb", F.row_number().over(wb))
-    slug = F.when(F.col("_n") == 1, F.col("_s")).when(F.col("_nb") == 1, F.col("_b")).otherwise(
-        F.concat_ws("-", "_s", F.col("_n").cast("string")))
-    return named.withColumn("slug", slug).drop("_s", "_b", "_n", "_nb")
+    """Slug of a unit: its name; name and level-1 slug when an earlier unit has that slug; else the name with the
+    number of slugs so far and one.
+
+    Each slug depends on all before it in the order of (level-1 slug, name), so the units are walked in one
+    row. There is one per category name and level-1 slug: their number is that of the taxonomy, not of the parts.
+    """
+    keys = units.select("l1", "cat", slug_category("cat").alias("s"), slug_category(F.concat_ws(" ", "cat", "l1")).alias("b"))
+    listed = keys.agg(F.array_sort(F.collect_list(F.struct("l1", "cat", "s", "b"))).alias("all"))
+    start = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, u):
+        numbered = F.concat_ws("-", u["s"], (F.size(acc["seen"]) + 1).cast("string"))
+        slug = F.when(~F.array_contains(acc["seen"], u["s"]), u["s"]).when(~F.array_contains(acc["seen"], u["b"]), u["b"]).otherwise(numbered)
+        return F.transform(F.array(slug), lambda x: F.struct(F.array_union(acc["seen"], F.array(x)).alias("seen"), F.array_append(acc["out"], x).alias("out")))[0]
+
+    walked = listed.select("all", F.aggregate("all", start, step, lambda acc: acc["out"]).alias("slugs"))
+    slugs = walked.select(F.explode(F.arrays_zip("all", "slugs")).alias("z")).select(F.col("z.all.l1").alias("_l"), F.col("z.all.cat").alias("_c"), F.col("z.slugs").alias("slug"))
+    return units.join(slugs, (F.col("l1") == F.col("_l")) & (F.col("cat") == F.col("_c"))).drop("_l", "_c")
 
 
 def final_map(parts: DataFrame, mapping: DataFrame, mpn: str = "mpn", sr: str = "sr", ord: str = "ord") -> DataFrame:
     """Final fields per part number; the last row of a part number decides."""
-    last = last_occurrence(parts.where(nonblank(mpn)), [mpn], ord).select(F.col(mpn).alias("mpn"), F.col(sr).alias("sr"))
-    uniq = mapping.dropDuplicates(["sr"])
-    return last.join(uniq, "sr").where("final_subcategory is not null").select("mpn", "final_subcategory", "final_native_l1", "final_slug")
+    last = last_occurrence(parts.where(nonblank(mpn)), [mpn], ord).select(F.col(mpn).alias("mpn"), text(sr).alias("sr"))
+    return last.join(mapping, "sr").where("final_subcategory is not null").select("mpn", "final_subcategory", "final_native_l1", "final_slug")
 
 
 def attach_final(df: DataFrame, final: DataFrame, mpn: str = "mpn") -> DataFrame:
@@ -260,9 +267,9 @@ def row_fingerprint(cols: Sequence, sep: str = "|") -> Column:
 def group_fingerprint(df: DataFrame, group: Sequence[str], cols: Sequence[str], ord: str) -> DataFrame:
     """A26 over the rows of small groups in order (a page's neighbours, a few rows each).
 
-    Rows are hashed before they are collected, so a group holds 32-byte hashes only.
+    Rows are hashed before they are collected, so a group holds hashes only.
     """
-    rows = df.select(*group, F.col(ord).alias("_o"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).alias("_t"))
+    rows = df.select(*group, F.col(ord).alias("_o"), row_fingerprint(cols).alias("_t"))
     return rows.groupBy(*group).agg(
         F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_o", "_t"))), lambda x: x["_t"]), "\n"), 256).alias("fingerprint"))
 

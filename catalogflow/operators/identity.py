@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow.functions.keys import (
-    KEY_MODES, identity_columns, key_alnum, key_nospace, key_nospace_nohyphen, key_noparen, key_upper, nonblank,
+    KEY_MODES, identity_columns, key_alnum, key_filesafe, key_nospace, key_nospace_nohyphen, key_noparen, key_upper, nonblank,
     object_name, slug_alnum, slug_base, slug_hyphen, text,
 )
-from catalogflow.operators.ordering import first_occurrence, grouped_rank
+from catalogflow.operators.ordering import first_occurrence, grouped_rank, last_occurrence
 from catalogflow.session import cut
 
 # Share and count of known candidates that stop a batch.
@@ -22,9 +22,10 @@ MASS_DUPLICATE_MIN = 5
 
 # ---- lookups -------------------------------------------------------------------
 
-def enrich_by_code(df: DataFrame, raw: DataFrame, code: str, raw_code: str, cols: Sequence[str]) -> DataFrame:
-    """Attach source facts by supplier code only; a part number may belong to clones."""
-    right = first_occurrence(raw.where(nonblank(raw_code)), [key_upper(raw_code)], raw_code).select(
+def enrich_by_code(df: DataFrame, raw: DataFrame, code: str, raw_code: str, cols: Sequence[str], ord: str = "ord") -> DataFrame:
+    """Attach source facts by supplier code only; a part number may belong to clones. Of several
+    source rows of a code the first by ``ord`` counts."""
+    right = first_occurrence(raw.where(nonblank(raw_code)), [key_upper(raw_code)], ord).select(
         key_upper(raw_code).alias("_code"), *cols)
     return df.withColumn("_c", key_upper(code)).join(right, F.col("_c") == F.col("_code"), "left").drop("_c", "_code")
 
@@ -34,11 +35,11 @@ def lookup_with_fallback(
 ) -> DataFrame:
     """Exact code, else part number. ``<out>_path`` reports which key answered.
 
-    ``by_code`` and ``by_mpn`` have ``key`` and ``value``, one row per key. A key that is
-    present with a blank value still answers ("covered but blank").
+    ``by_code`` and ``by_mpn`` have ``key`` and ``value``; of several rows of a key the smallest value
+    counts. A key that is present with a blank value still answers ("covered but blank").
     """
-    c = by_code.select(F.col("key").alias("_ck"), F.coalesce("value", F.lit("")).alias("_cv"))
-    m = by_mpn.select(F.col("key").alias("_mk"), F.coalesce("value", F.lit("")).alias("_mv"))
+    c = by_code.groupBy(F.col("key").alias("_ck")).agg(F.coalesce(F.min("value"), F.lit("")).alias("_cv"))
+    m = by_mpn.groupBy(F.col("key").alias("_mk")).agg(F.coalesce(F.min("value"), F.lit("")).alias("_mv"))
     joined = df.join(c, key_upper(code) == F.col("_ck"), "left").join(m, key_upper(mpn) == F.col("_mk"), "left")
     order = [("mpn", "_mv"), ("code", "_cv")] if mpn_first else [("code", "_cv"), ("mpn", "_mv")]
     value = F.coalesce(*[F.col(v) for _, v in order])
@@ -85,12 +86,12 @@ def resolve_code(mpns: DataFrame, master: DataFrame, mpn: str = "mpn", code: str
     )
 
 
-def own_introduction(df: DataFrame, raw: DataFrame, code: str, mpn: str) -> DataFrame:
-    """Introduction from the part's own envelope (code, else part number as key); dropped
-    when CJK remains after repair."""
+def own_introduction(df: DataFrame, raw: DataFrame, code: str, mpn: str, ord: str = "ord") -> DataFrame:
+    """Introduction from the part's own envelope (code, else part number as key), the last one of a
+    key by ``ord``; dropped when CJK remains after repair."""
     from catalogflow.functions.text import has_cjk, repair_mojibake
 
-    right = raw.select(key_upper("key").alias("_rk"), text("introduction").alias("_intro")).where("_rk <> ''")
+    right = last_occurrence(raw.where(nonblank("key")), [key_upper("key")], ord).select(key_upper("key").alias("_rk"), text("introduction").alias("_intro"))
     own = F.when(text(code) != "", key_upper(code)).otherwise(key_upper(mpn))
     fixed = repair_mojibake(F.col("_intro"), colon=False)
     return (
@@ -109,8 +110,8 @@ def carry_forward(new: DataFrame, old: DataFrame, key: str, col: str) -> DataFra
 
 
 def override(df: DataFrame, frozen: DataFrame, key: str, col: str) -> DataFrame:
-    """The frozen table always wins. ``frozen`` has one row per ``key``."""
-    f = frozen.select(F.col(key).alias("_fk"), F.col(col).alias("_fv"))
+    """The frozen table always wins; of several rows of a key its smallest value."""
+    f = frozen.groupBy(F.col(key).alias("_fk")).agg(F.min(col).alias("_fv"))
     return df.join(f, F.col(key) == F.col("_fk"), "left").withColumn(col, F.coalesce("_fv", col)).drop("_fk", "_fv")
 
 
@@ -179,14 +180,14 @@ def alternate_edges(parts: DataFrame, targets: DataFrame) -> DataFrame:
     return hit.where("target is not null and target <> source").select("source", "target").distinct()
 
 
-def related_neighbours(df: DataFrame, group: str, slug: str, ord: str = "ord", k: int = 6) -> DataFrame:
+def related_neighbours(df: DataFrame, group: str, slug: str, ord: str = "ord", k: int = 6, mpn: str = "mpn") -> DataFrame:
     """The next ``k`` parts of the same group in cyclic order, own slug passed over.
 
     Positions inside the group make this an equality join on (group, position): a part meets
     at most a handful of positions, never its whole group. In small groups the walk wraps and
     repeats neighbours; only the first row of a slug is reported on.
     """
-    pool = grouped_rank(df.select(F.col(group).alias("g"), F.col(slug).alias("slug"), F.col(ord).alias("o")), ["g"], ["o"], "pos", "n")
+    pool = grouped_rank(df.select(F.col(group).alias("g"), F.col(slug).alias("slug"), F.col(mpn).alias("mpn"), F.col(ord).alias("o")), ["g"], ["o"], "pos", "n")
     pool = cut(pool.withColumn("pos", F.col("pos") - 1))
     same = pool.groupBy("g", "slug").agg(F.count(F.lit(1)).alias("c"), F.min("pos").alias("first"), F.min("n").alias("n"))
     # A slug in several groups is reported in the group that starts first.
@@ -197,21 +198,19 @@ def related_neighbours(df: DataFrame, group: str, slug: str, ord: str = "ord", k
     # A row of another slug is found within c further steps of every lap.
     last = F.when(F.col("n") - F.col("c") >= k, F.col("c") + k).otherwise(F.col("n") + k)
     own = same.select("g", F.col("slug").alias("own"), "first", "n", last.alias("last"))
-    block = 8192
-    near = own.where(F.col("last") <= block).withColumn("step", F.explode(F.sequence(F.lit(1).cast("long"), F.col("last"))))
     # A slug that repeats very often walks in blocks, spread over the tasks.
-    far = (
-        own.where(F.col("last") > block)
-        .withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("last") - 1) / block).cast("long"))))
+    block = 8192
+    steps = (
+        own.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("last") - 1) / block).cast("long"))))
         .repartition("g", "own", "b")
         .withColumn("step", F.explode(F.sequence(F.col("b") * block + 1, F.least((F.col("b") + 1) * block, F.col("last")))))
         .drop("b")
     )
-    steps = near.unionByName(far).withColumn("at", (F.col("first") + F.col("step")) % F.col("n"))
-    met = steps.join(pool.select("g", F.col("pos").alias("at"), "slug"), ["g", "at"]).where("slug <> own")
+    steps = steps.withColumn("at", (F.col("first") + F.col("step")) % F.col("n"))
+    met = steps.join(pool.select("g", F.col("pos").alias("at"), "slug", "mpn"), ["g", "at"]).where("slug <> own")
     w = Window.partitionBy("g", "own").orderBy("step")
     return met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
-        F.col("g").alias("group"), F.col("own").alias("slug"), "rank", F.col("slug").alias("neighbour"))
+        F.col("g").alias("group"), F.col("own").alias("slug"), "rank", F.col("slug").alias("neighbour"), F.col("mpn").alias("neighbour_mpn"))
 
 
 def canonical_href(df: DataFrame, pages: DataFrame, model: str, prefix: str, fallback: str) -> DataFrame:
@@ -307,19 +306,15 @@ def dedup_guard(
     return Guard(rows, exceptions, decision)
 
 
-def duplicate_mpns(df: DataFrame, mpn: str = "mpn", line: str = "line", heads: int = 25) -> DataFrame:
-    """A4: part numbers that occur more than once, with their count and first lines.
+def duplicate_mpns(df: DataFrame, mpn: str = "mpn", line: str = "line") -> DataFrame:
+    """A4: every row of the part numbers that occur more than once: normalised key, raw part number
+    and line, the key's number of rows, and whether the row repeats an earlier line.
 
-    All lines of a key are available by joining back; the list here is the report's head.
+    The number of duplicates of a table is the count of ``duplicate``.
     """
-    keyed = df.select(key_nospace(mpn).alias("key"), F.col(line).alias("line")).where("key <> ''")
-    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    w = Window.partitionBy("key").orderBy("line")
-    lines = (
-        keyed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= heads)
-        .groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list("line")), lambda x: x.cast("string")), ",").alias("lines"))
-    )
-    return counts.join(lines, "key")
+    keyed = df.select(key_nospace(mpn).alias("key"), F.trim(mpn).alias("mpn"), F.col(line).alias("line")).where("key <> ''")
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("_first")).where("n > 1")
+    return keyed.join(counts, "key").select("key", "mpn", "line", "n", (F.col("line") != F.col("_first")).alias("duplicate"))
 
 
 def slug_collisions(df: DataFrame, mpn: str = "mpn", slug: str = "slug") -> DataFrame:
@@ -346,22 +341,28 @@ def clone_index(raw: DataFrame, mpn: str = "mpn", brand: str = "manufacturer", c
 
 def clone_key_flag(df: DataFrame, index: DataFrame, oem_hosts: Sequence[str], mpn: str = "mpn", url: str = "datasheet_url") -> DataFrame:
     """``clone_stop`` is true when several makers share the part number and the document is
-    stored under the bare part number, unless a maker's own host serves it."""
+    stored under the file name made from the part number, unless a maker's own host serves it."""
     from catalogflow.functions.keys import url_host
     from catalogflow.operators.gates import host_matches
 
     idx = index.select(F.col("key").alias("_ik"), F.size("makers").alias("_makers"))
     joined = df.join(idx, key_alnum(mpn) == F.col("_ik"), "left")
-    by_mpn = key_alnum(object_name(url)) == key_alnum(mpn)
+    by_mpn = _named_after(url, mpn)
     stop = (F.coalesce(F.col("_makers"), F.lit(0)) > 1) & nonblank(url) & by_mpn & ~host_matches(url_host(url), oem_hosts)
     return joined.withColumn("clone_makers", F.coalesce("_makers", F.lit(0))).withColumn("clone_stop", stop).drop("_ik", "_makers")
 
 
-def scrub_clone_keys(df: DataFrame, index: DataFrame, oem_hosts: Sequence[str], url: str = "datasheet_url") -> DataFrame:
-    """Blank those document links."""
-    flagged = clone_key_flag(df, index, oem_hosts, url=url)
-    return flagged.withColumn(url, F.when(F.col("clone_stop"), F.lit("")).otherwise(F.col(url))).withColumn(
-        "scrubbed", F.col("clone_stop")).drop("clone_stop", "clone_makers")
+def _named_after(url: str, mpn: str) -> Column:
+    return F.trim(object_name(url)) == key_filesafe(F.trim(mpn))
+
+
+def scrub_clone_keys(
+    df: DataFrame, index: DataFrame, oem_hosts: Sequence[str], url: str = "datasheet_url", others: Sequence[str] = (), mpn: str = "mpn"
+) -> DataFrame:
+    """Blank those document links, and in the same rows those of the columns ``others`` that have the same file name."""
+    flagged = clone_key_flag(df, index, oem_hosts, mpn, url)
+    blanked = {c: F.when(F.col("clone_stop") & _named_after(c, mpn), F.lit("")).otherwise(F.col(c)) for c in others}
+    return flagged.withColumns({url: F.when(F.col("clone_stop"), F.lit("")).otherwise(F.col(url)), **blanked, "scrubbed": F.col("clone_stop")}).drop("clone_stop", "clone_makers")
 
 
 def duplicate_primary(df: DataFrame, mpn: str = "mpn", slug: str = "slug", ord: str = "ord") -> DataFrame:

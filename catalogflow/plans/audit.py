@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalogflow.functions import attrs, classify, markup, text as tx
 from catalogflow.functions.keys import key_alnum, key_exact, merge_semicolon, nonblank, slug_hyphen, text
 from catalogflow.operators import aggregates, gates, identity
-from catalogflow.operators.ordering import carry_parent, first_reports, global_rank, unique_seo_slugs
+from catalogflow.operators.ordering import carry_parent, global_rank, unique_seo_slugs
 
 # Tokens a published text may not hold.
 TOKENS = (
@@ -52,7 +52,7 @@ def classification_consistency(
 
 
 def catalog_audit(records: DataFrame, pages: DataFrame, page_keys: DataFrame, exemptions: DataFrame | None = None, known_brand: str = "manufacturer") -> tuple[DataFrame, DataFrame]:
-    """(checks, offenders). Synthetic rows, forbidden tokens, records without page (FAIL) and
+    """(checks, all offenders; ``first_reports`` gives their heads). Synthetic rows, forbidden tokens, records without page (FAIL) and
     pages without record (WARN), JSON-LD, CJK outside the masked parts, document hosts."""
     exempt = gates.numeric_mpn_exempt("build", known_brand)
     synthetic = records.withColumn("reason", gates.synthetic_reason(F.trim("mpn"), known_brand, exempt)).where("reason <> ''")
@@ -73,7 +73,7 @@ def catalog_audit(records: DataFrame, pages: DataFrame, page_keys: DataFrame, ex
     offenders = reduce(DataFrame.unionByName, [
         off(synthetic, "synthetic", F.col("mpn")), off(tokens, "tokens", F.col("key")), off(no_page, "records_without_page", F.col("k")),
         off(orphan, "pages_without_record", F.col("k")), off(cjk, "cjk", F.col("page_id")), off(hosts, "document_hosts", F.col("mpn"))])
-    return checks, first_reports(offenders, ["check"], "what", 10)
+    return checks, offenders
 
 
 def audit_verdict(checks: DataFrame) -> DataFrame:
@@ -96,17 +96,19 @@ def batch_report(before: DataFrame, after: DataFrame, key: str = "ord", label: s
 
 # ---- enrichment from pages (B13) -----------------------------------------------------------
 
-def page_facts(pages: DataFrame, code: str = "code", mpn: str = "mpn", html: str = "html") -> DataFrame:
+def page_facts(pages: DataFrame, code: str = "code", mpn: str = "mpn", html: str = "html", ord: str = "ord") -> DataFrame:
     """F62-F63 per page."""
     return pages.select(
+        F.col(ord).alias("ord"),
         F.col(code).alias("code"), F.col(mpn).alias("mpn"), markup.property_pairs(html).alias("pairs"), markup.page_description(html).alias("description"),
         markup.page_faq(html).alias("faqs"), markup.page_brand(html).alias("page_brand"), markup.list_after_heading(html).alias("applications"),
         markup.alternate_anchors(html, F.col(code), F.col(mpn)).alias("alternates"))
 
 
 def enrich(master: DataFrame, pages: DataFrame, code: str = "supplier_reference") -> DataFrame:
-    """Patch rows: page facts merged into the curated columns, one per MASTER row with a page."""
-    facts = page_facts(pages).groupBy("code").agg(F.min_by(F.struct("pairs", "description", "faqs", "applications", "alternates"), "mpn").alias("f"))
+    """Patch rows: page facts merged into the curated columns, one per MASTER row with a page. Of
+    several pages of a code the first by ``ord`` counts."""
+    facts = page_facts(pages).groupBy("code").agg(F.min_by(F.struct("pairs", "description", "faqs", "applications", "alternates"), "ord").alias("f"))
     rows = master.where(gates.valid_code(code)).join(facts, text(code) == F.col("code"))
     fresh = F.map_from_entries(F.transform("f.pairs", lambda p: F.struct(p["name"].alias("key"), p["value"].alias("value"))))
     curated = F.coalesce(attrs.json_map("attributes_json"), attrs.empty_text_map())

@@ -32,7 +32,7 @@ def build_keys(
         F.lit(template).alias("template_v"), F.lit(asset).alias("asset_v"))
     if neighbours is None:
         return rows.withColumn("dependency_fp", F.lit(""))
-    dep = aggregates.group_fingerprint(neighbours, ["slug"], ["neighbour"], "rank").withColumnRenamed("fingerprint", "dependency_fp")
+    dep = aggregates.group_fingerprint(neighbours, ["slug"], ["neighbour_mpn", "neighbour"], "rank").withColumnRenamed("fingerprint", "dependency_fp")
     return rows.join(dep, "slug", "left").withColumn("dependency_fp", F.coalesce("dependency_fp", F.lit("")))
 
 
@@ -243,10 +243,10 @@ def page_records(parts: DataFrame, raw: DataFrame, overrides: DataFrame | None =
     compliance, introduction, title.
 
     ``parts``: mpn, manufacturer, supplier_reference, url_slug, attributes_json, native_l1,
-    subcategory, alternative_parts_detail, datasheet_url. ``raw``: code, product (struct),
-    introduction, applications, features. Source facts attach by code only.
+    subcategory, alternative_parts_detail, datasheet_url. ``raw``: ord, code, product (struct),
+    introduction, applications, features. Source facts attach by code only, the first row of a code counts.
     """
-    right = raw.groupBy(key_upper("code").alias("_code")).agg(F.min_by(F.struct("product", "introduction", "applications", "features"), "code").alias("r"))
+    right = raw.groupBy(key_upper("code").alias("_code")).agg(F.min_by(F.struct("product", "introduction", "applications", "features"), "ord").alias("r"))
     rows = parts.withColumn("_c", key_upper("supplier_reference")).join(right, F.col("_c") == F.col("_code"), "left")
     text_attrs = F.coalesce(attrs.attributes_from_any("attributes_json"), attrs.empty_text_map())
     specs = F.transform(F.map_entries(text_attrs), lambda e: F.struct(tx.human_label(e["key"]).alias("label"), units.format_value(e["key"], e["value"]).alias("value")))

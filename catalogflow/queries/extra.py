@@ -22,7 +22,9 @@ def faq_provenance(spark, sf):
 def alternates_as_is(spark, sf):
     alt = lambda m: F.struct(m.alias("productModel"), F.lit("").alias("brandNameEn"), F.lit("").alias("productCode"), F.lit("").alias("type"), F.lit("").alias("encapStandard"))
     p = b.parts(spark, sf).withColumn("supplier_reference", F.col("cid"))
-    raw = p.where("category <> 'SMALL'").select(F.col("cid").alias("code"), F.array(alt(F.col("mpn")), alt(F.lit(" ")), alt(F.col("description"))).alias("alternates"))
+    raw = p.where("category <> 'SMALL'").select("ord", F.col("cid").alias("code"), F.array(alt(F.col("mpn")), alt(F.lit(" ")), alt(F.col("description"))).alias("alternates"))
+    # an earlier row of each code in the other letter case does not count
+    raw = raw.unionByName(raw.select((-F.col("ord")).alias("ord"), F.lower("code").alias("code"), F.array(alt(F.lit("old"))).alias("alternates")))
     listed = F.when(F.col("category") == "LARGE", F.col("mpn")).otherwise(F.concat_ws("; ", "mpn", "description"))
     return gates.alternates_as_is(p.withColumn("alternative_parts", listed), raw).select("ord", "alternates_status")
 
@@ -31,7 +33,9 @@ def alternates_as_is(spark, sf):
 def own_introduction(spark, sf):
     p = b.parts(spark, sf)
     words = F.when(F.col("size") > 25, F.concat(F.lit("About "), F.col("description"))).otherwise(F.concat(F.lit("关于 "), F.col("description")))
-    return identity.own_introduction(p, p.select(F.col("cid").alias("key"), words.alias("introduction")), "cid", "mpn").select("ord", "introduction")
+    raw = p.select("ord", F.col("cid").alias("key"), words.alias("introduction"))
+    raw = raw.unionByName(raw.select((-F.col("ord")).alias("ord"), F.lower("key").alias("key"), F.lit("Old").alias("introduction")))
+    return identity.own_introduction(p, raw, "cid", "mpn").select("ord", "introduction")
 
 
 @query("""SELECT event_id AS ord, CASE event_type WHEN 'error' THEN 'DISCOVERED' WHEN 'click' THEN 'VERIFIED' ELSE 'VERIFIED' END AS status, CASE WHEN event_type IN ('error','click') THEN 0 ELSE 3 END AS retry_count FROM events""")
@@ -60,8 +64,8 @@ def commercial_keys(spark, sf):
     body = F.when(F.col("size") > 25, F.concat(F.lit('{"a":1,"x":{"cost":'), n, F.lit(',"costPrice":'), n, F.lit("}}"))).otherwise('{"a":1}')
     p = b.parts(spark, sf).withColumn("j", body)
     split = attrs.split_volatile(F.create_map(F.lit("a"), n, F.lit("stockNumber"), n))
-    deep = attrs.isolate_keys_deep("j")
-    return p.select("ord", F.array_join(attrs.leaked_keys("j"), ",").alias("leaked"), F.array_join(F.transform(deep["isolated"], lambda x: x["path"]), ",").alias("isolated"),
+    deep = F.col("deep")
+    return attrs.isolate_keys_in(p, "j", "deep").select("ord", F.array_join(attrs.leaked_keys("j"), ",").alias("leaked"), F.array_join(F.transform(deep["isolated"], lambda x: x["path"]), ",").alias("isolated"),
                     F.array_join(F.map_keys(split["stable"]), ",").alias("stable"), F.array_join(F.map_keys(split["volatile"]), ",").alias("volatile"))
 
 

@@ -197,6 +197,45 @@ def fine_units(spark, sf):
     return u.select("l1", "cat", "sku", "cls", "slug", "page_sku")
 
 
+# Every class, action and kind of target: units of one row, of two to four and of more, names under several level-1
+# slugs, targets in the same level-1 slug, in another and nowhere, and slugs that collide plain and combined.
+_MIXED_SQL = """mixed AS (SELECT p_partkey AS k, 'C'||p_partkey AS sr, upper(replace(p_name,' ','-'))||'-'||p_partkey AS mpn, CASE WHEN p_partkey=1 THEN 'a' WHEN p_partkey<=4 THEN 'circuit-protection' WHEN p_partkey<=7 THEN 'sensors'
+   WHEN p_partkey<=9 THEN 'relays' ELSE ['circuit-protection','interface-ics','a','b','a','b','logic-ics','memory'][p_size%8+1] END AS l1,
+  CASE WHEN p_partkey=1 THEN 'Lonely' WHEN p_partkey<=4 THEN 'Fuseholders' WHEN p_partkey<=7 THEN 'Distance Measuring' WHEN p_partkey<=9 THEN 'Signal Relays, Up to 2 Amps'
+   ELSE ['PTC Resettable Fuses','Analog and Digital Output','X','X','X b','X b','Analog Switches, Multiplexers, Demultiplexers',''][p_size%8+1] END AS cat FROM part),
+ u AS (SELECT l1, cat, count(*) AS sku, CASE WHEN cat IN ('X','X b') THEN 'REVIEW' WHEN count(*)>=5 THEN 'DIRECT' WHEN count(*)>=2 THEN 'MERGE' ELSE 'EXCLUDE' END AS cls,
+   CASE cat WHEN 'Fuseholders' THEN 'PTC Resettable Fuses' WHEN 'Distance Measuring' THEN 'Analog and Digital Output' WHEN 'Analog Switches, Multiplexers, Demultiplexers' THEN 'Signal Switches, Multiplexers, Decoders' END AS target,
+   CASE WHEN l1='b' AND cat='X' THEN 'x-4' WHEN l1='b' AND cat='X b' THEN 'x-b-b' ELSE trim(regexp_replace(lower(cat),'[^a-z0-9]+','-','g'),'-') END AS slug FROM mixed WHERE cat<>'' GROUP BY 1,2)"""
+
+
+def _mixed(spark, sf):
+    k, turn = F.col("p_partkey"), F.col("p_size") % 8
+    pick = lambda first, rest: (F.when(k == 1, first[0]).when(k <= 4, first[1]).when(k <= 7, first[2]).when(k <= 9, first[3])
+                                .otherwise(F.element_at(F.array(*map(F.lit, rest)), turn.cast("int") + 1)))
+    rows = b.read(spark, sf, "part").select(
+        F.concat(F.lit("C"), k.cast("string")).alias("sr"), F.concat(F.upper(F.replace("p_name", F.lit(" "), F.lit("-"))), F.lit("-"), k.cast("string")).alias("mpn"),
+        pick(("a", "circuit-protection", "sensors", "relays"), ("circuit-protection", "interface-ics", "a", "b", "a", "b", "logic-ics", "memory")).alias("native_l1"),
+        pick(("Lonely", "Fuseholders", "Distance Measuring", "Signal Relays, Up to 2 Amps"),
+             ("PTC Resettable Fuses", "Analog and Digital Output", "X", "X", "X b", "X b", "Analog Switches, Multiplexers, Demultiplexers", "")).alias("category"),
+        F.lit("p").alias("parent"), k.alias("ord"))
+    # an earlier row of each code, which does not count
+    return rows.unionByName(rows.withColumns({"ord": F.col("ord") - 10**9, "category": F.lit("Old"), "native_l1": F.lit("old")}))
+
+
+@query(f"""WITH {_MIXED_SQL} SELECT l1, cat, cls, CASE WHEN target IS NULL THEN 'BUILD' ELSE 'MERGE' END AS action, target, slug, sku,
+  sku + CASE cat WHEN 'PTC Resettable Fuses' THEN (SELECT sku FROM u WHERE cat='Fuseholders') WHEN 'Analog and Digital Output' THEN (SELECT sku FROM u WHERE cat='Distance Measuring') ELSE 0 END AS page_sku FROM u""")
+def fine_units_mixed(spark, sf):
+    u, _ = aggregates.fine_units(_mixed(spark, sf))
+    return u.select("l1", "cat", "cls", "action", "target", "slug", "sku", "page_sku")
+
+
+@query(f"""WITH {_MIXED_SQL} SELECT mpn, coalesce(u.target, u.cat) AS final_subcategory, CASE WHEN u.target IS NULL THEN u.slug ELSE t.slug END AS final_slug, coalesce(t.l1, u.l1) AS final_native_l1
+  FROM mixed m JOIN u ON u.l1=m.l1 AND u.cat=m.cat LEFT JOIN u t ON t.cat=u.target""")
+def final_map_mixed(spark, sf):
+    rows = _mixed(spark, sf)
+    return aggregates.final_map(rows, aggregates.fine_units(rows)[1])
+
+
 def _classified(spark, sf):
     return b.parts(spark, sf).select(
         F.col("cid").alias("sr"), "mpn", classify.native_l1("parent_catalog", "catalog_name").alias("native_l1"),

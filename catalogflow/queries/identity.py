@@ -34,8 +34,8 @@ def dedup_decision(spark, sf):
     return identity.dedup_guard(b.batch(spark, sf), b.master(spark, sf)).decision
 
 
-@query(b.sql("""SELECT lower(mpn) AS key, count(*) AS n, array_to_string(list_slice(list(CAST(ord+2 AS VARCHAR) ORDER BY ord),1,25),',') AS lines
-  FROM parts_v GROUP BY 1 HAVING count(*)>1""", "parts_v"))
+@query(b.sql("""SELECT lower(mpn) AS key, mpn, ord+2 AS line, count(*) OVER k AS n, ord > min(ord) OVER k AS duplicate
+  FROM parts_v WINDOW k AS (PARTITION BY mpn) QUALIFY n > 1""", "parts_v"))
 def duplicate_mpns(spark, sf):
     return identity.duplicate_mpns(b.parts(spark, sf).withColumn("line", F.col("ord") + 2))
 
@@ -83,6 +83,7 @@ def _linked(spark, sf):
         F.when(F.col("category") == "PROMO", F.concat(F.lit("https://www.ti.com/"), F.lower("mpn"), F.lit(".pdf")))
         .when(F.col("category") == "ECONOMY", F.concat(F.lit("https://datasheet.lcsc.com/"), F.col("cid"), F.lit(".pdf")))
         .when(F.col("category") == "LARGE", F.lit(""))
+        .when((F.col("category") == "SMALL") & (F.col("size") > 25), F.concat(F.lit("https://files.r2.dev/d/"), F.replace(F.lower("mpn"), F.lit("-"), F.lit("_")), F.lit(".pdf")))
         .when(F.col("category") == "SMALL", F.concat(F.lit("https://files.r2.dev/d/"), F.lower("mpn"), F.lit(".pdf")))
         .when(F.col("category") == "MEDIUM", F.concat(F.lit("http://mirror.notti.com/"), F.col("cid"), F.lit(".pdf")))
         .otherwise(F.concat(F.lit("https://files.r2.dev/d/"), F.col("cid"), F.lit(".pdf"))))
@@ -90,24 +91,25 @@ def _linked(spark, sf):
 
 
 _LINKED = """linked AS (SELECT *, cid AS supplier_reference, CASE category WHEN 'PROMO' THEN 'https://www.ti.com/'||lower(mpn)||'.pdf'
- WHEN 'ECONOMY' THEN 'https://datasheet.lcsc.com/'||cid||'.pdf' WHEN 'LARGE' THEN '' WHEN 'SMALL' THEN 'https://files.r2.dev/d/'||lower(mpn)||'.pdf'
+ WHEN 'ECONOMY' THEN 'https://datasheet.lcsc.com/'||cid||'.pdf' WHEN 'LARGE' THEN '' WHEN 'SMALL' THEN 'https://files.r2.dev/d/'||CASE WHEN size>25 THEN replace(lower(mpn),'-','_') ELSE lower(mpn) END||'.pdf'
  WHEN 'MEDIUM' THEN 'http://mirror.notti.com/'||cid||'.pdf' ELSE 'https://files.r2.dev/d/'||cid||'.pdf' END AS datasheet_url FROM parts_v),
  hosted AS (SELECT *, CASE category WHEN 'PROMO' THEN 'OK_OEM' WHEN 'ECONOMY' THEN 'BAD_SUPPLIER' WHEN 'LARGE' THEN '' WHEN 'MEDIUM' THEN 'BAD_SHAPE' ELSE 'OK_STORAGE' END AS verdict,
   CASE category WHEN 'PROMO' THEN 'www.ti.com' WHEN 'ECONOMY' THEN 'datasheet.lcsc.com' WHEN 'LARGE' THEN '' WHEN 'MEDIUM' THEN 'mirror.notti.com' ELSE 'files.r2.dev' END AS host FROM linked)"""
 
 
-@query(b.sql(f"""WITH {_LINKED} SELECT ord, mpn, n AS clone_makers, n>1 AND category='SMALL' AS clone_stop
+@query(b.sql(f"""WITH {_LINKED} SELECT ord, mpn, n AS clone_makers, n>1 AND category='SMALL' AND size<=25 AS clone_stop
   FROM linked JOIN (SELECT mpn AS m, count(DISTINCT manufacturer) AS n FROM parts_v GROUP BY 1) ON m=mpn""", "parts_v"))
 def clone_gate(spark, sf):
     idx = identity.clone_index(b.parts(spark, sf))
     return identity.clone_key_flag(_linked(spark, sf), idx, gates.OEM_HOSTS).select("ord", "mpn", "clone_makers", "clone_stop")
 
 
-@query(b.sql(f"""WITH {_LINKED} SELECT ord, CASE WHEN n>1 AND category='SMALL' THEN '' ELSE datasheet_url END AS datasheet_url, n>1 AND category='SMALL' AS scrubbed
+@query(b.sql(f"""WITH {_LINKED} SELECT ord, CASE WHEN n>1 AND category='SMALL' AND size<=25 THEN '' ELSE datasheet_url END AS datasheet_url, CASE WHEN n>1 AND category='SMALL' AND size<=25 AND size%2=0 THEN '' WHEN size%2=0 THEN datasheet_url ELSE 'other.pdf' END AS document, n>1 AND category='SMALL' AND size<=25 AS scrubbed
   FROM linked JOIN (SELECT mpn AS m, count(DISTINCT manufacturer) AS n FROM parts_v GROUP BY 1) ON m=mpn""", "parts_v"))
 def clone_keys_scrubbed(spark, sf):
     idx = identity.clone_index(b.parts(spark, sf))
-    return identity.scrub_clone_keys(_linked(spark, sf), idx, gates.OEM_HOSTS).select("ord", "datasheet_url", "scrubbed")
+    rows = _linked(spark, sf).withColumn("document", F.when(F.col("size") % 2 == 0, F.col("datasheet_url")).otherwise("other.pdf"))
+    return identity.scrub_clone_keys(rows, idx, gates.OEM_HOSTS, others=["document"]).select("ord", "datasheet_url", "document", "scrubbed")
 
 
 @query(b.sql(f"""WITH {_LINKED}, d AS (SELECT DISTINCT lower(mpn) AS mpn, lower(regexp_replace(manufacturer,'[^A-Za-z0-9]','','g')) AS maker, datasheet_url AS ref FROM linked),
@@ -244,7 +246,9 @@ def lookup_with_fallback(spark, sf):
 
 @query(b.sql("SELECT b.ord, m.lines AS known_lines FROM batch_v b LEFT JOIN master_v m ON m.supplier_reference=b.supplier_reference", "batch_v", "master_v"))
 def enrich_by_code(spark, sf):
-    raw = b.master(spark, sf).select(F.col("supplier_reference").alias("rc"), F.col("lines").alias("known_lines"))
+    raw = b.master(spark, sf).select("ord", F.col("supplier_reference").alias("rc"), F.col("lines").alias("known_lines"))
+    # each code twice, in the other letter case and later with another count
+    raw = raw.unionByName(raw.select(F.col("ord") + 10**12, F.lower("rc"), F.col("known_lines") + 1).toDF("ord", "rc", "known_lines"))
     return identity.enrich_by_code(b.batch(spark, sf), raw, "supplier_reference", "rc", ["known_lines"]).select("ord", "known_lines")
 
 
@@ -261,8 +265,8 @@ def alternate_edges(spark, sf):
     return identity.alternate_edges(p.withColumn("alternates", F.array("mpn", F.lit("NO SUCH PART"))), p)
 
 
-@query(b.sql("""WITH pool AS (SELECT category AS g, 's'||ord AS slug, row_number() OVER (PARTITION BY category ORDER BY ord)-1 AS pos, count(*) OVER (PARTITION BY category) AS n FROM parts_v)
-  SELECT a.g AS "group", a.slug, o.step AS rank, c.slug AS neighbour FROM pool a, (SELECT unnest(range(1,7)) AS step) o JOIN pool c ON c.g=a.g AND c.pos=(a.pos+o.step)%a.n""", "parts_v"))
+@query(b.sql("""WITH pool AS (SELECT category AS g, mpn, 's'||ord AS slug, row_number() OVER (PARTITION BY category ORDER BY ord)-1 AS pos, count(*) OVER (PARTITION BY category) AS n FROM parts_v)
+  SELECT a.g AS "group", a.slug, o.step AS rank, c.slug AS neighbour, c.mpn AS neighbour_mpn FROM pool a, (SELECT unnest(range(1,7)) AS step) o JOIN pool c ON c.g=a.g AND c.pos=(a.pos+o.step)%a.n""", "parts_v"))
 def related_neighbours(spark, sf):
     p = b.parts(spark, sf).withColumn("slug", F.concat(F.lit("s"), F.col("ord").cast("string")))
     return identity.related_neighbours(p, "category", "slug")

@@ -319,7 +319,7 @@ def page_records(spark, sf):
         (F.col("size") > 25).alias("isRohsCert"), F.lit("RoHS3").alias("rohsCertType"), F.lit("EAR99").alias("eccn"), F.lit(True).alias("isAsianBrand"),
         F.create_map(F.lit("US"), F.lit("8541"), F.lit("CN"), F.lit("8542")).alias("htsMap"),
         F.array(F.struct(F.lit("What is it?").alias("question"), F.col("description").alias("answer"))).alias("faqs"))
-    raw = p.select(F.col("cid").alias("code"), product.alias("product"), F.concat(F.lit("About "), F.col("description")).alias("introduction"),
+    raw = p.select("ord", F.col("cid").alias("code"), product.alias("product"), F.concat(F.lit("About "), F.col("description")).alias("introduction"),
                    F.lit("• Motors\n- Lamps").alias("applications"), F.lit("* Fast\n* Small").alias("features"))
     parts = p.select(
         "mpn", "manufacturer", F.col("cid").alias("supplier_reference"), F.lower("cid").alias("url_slug"),
@@ -604,7 +604,7 @@ def catalog_audit(spark, sf):
 @query()
 def page_enrichment(spark, sf):
     """Facts out of whole pages: description, lists, questions, anchors."""
-    p = b.read(spark, sf, "pages").select(F.concat(F.lit("C"), F.col("page_id").cast("string")).alias("code"), F.col("url").alias("mpn"), "html")
+    p = b.read(spark, sf, "pages").select(F.col("page_id").alias("ord"), F.concat(F.lit("C"), F.col("page_id").cast("string")).alias("code"), F.col("url").alias("mpn"), "html")
     f = audit.page_facts(p)
     return f.select("code", "description", F.size("pairs").alias("pairs"), F.size("faqs").alias("faqs"), F.array_join("applications", "|").alias("applications"), F.size("alternates").alias("alternates"))
 
