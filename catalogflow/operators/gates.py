@@ -16,7 +16,7 @@ from catalogflow.functions.attrs import replay_alternates, spec_count
 from catalogflow.functions.keys import _col, key_alnum, key_nospace, key_upper, let, literal_map, nonblank, text, url_host
 from catalogflow.functions.text import has_illegal_text
 from catalogflow.operators.identity import lookup_with_fallback
-from catalogflow.operators.ordering import last_occurrence
+from catalogflow.operators.ordering import last_occurrence, with_order
 from catalogflow.schemas import MASTER_COLUMNS, REQUIRED_COLUMNS
 
 # Part numbers that are test or placeholder data; the first hit is the reason.
@@ -292,7 +292,7 @@ def alternates_as_is(df: DataFrame, raw: DataFrame, ord: str = "ord") -> DataFra
 
     Of several source rows of a code the last by ``ord`` counts.
     """
-    want = last_occurrence(raw.where(nonblank("code")), [key_upper("code")], ord).select(
+    want = last_occurrence(with_order(raw, ord).where(nonblank("code")), [key_upper("code")], ord).select(
         key_upper("code").alias("_rc"), F.array_join(F.transform(replay_alternates("alternates"), lambda a: a["mpn"]), "; ").alias("_want"))
     rows = df.join(want, key_upper("supplier_reference") == F.col("_rc"), "left")
     status = (

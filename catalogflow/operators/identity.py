@@ -12,7 +12,7 @@ from catalogflow.functions.keys import (
     KEY_MODES, identity_columns, key_alnum, key_filesafe, key_nospace, key_nospace_nohyphen, key_noparen, key_upper, nonblank,
     object_name, slug_alnum, slug_base, slug_hyphen, text,
 )
-from catalogflow.operators.ordering import first_occurrence, grouped_rank, last_occurrence
+from catalogflow.operators.ordering import first_occurrence, grouped_rank, last_occurrence, skip_taken, with_order
 from catalogflow.session import cut
 
 # Share and count of known candidates that stop a batch.
@@ -25,7 +25,7 @@ MASS_DUPLICATE_MIN = 5
 def enrich_by_code(df: DataFrame, raw: DataFrame, code: str, raw_code: str, cols: Sequence[str], ord: str = "ord") -> DataFrame:
     """Attach source facts by supplier code only; a part number may belong to clones. Of several
     source rows of a code the first by ``ord`` counts."""
-    right = first_occurrence(raw.where(nonblank(raw_code)), [key_upper(raw_code)], ord).select(
+    right = first_occurrence(with_order(raw, ord).where(nonblank(raw_code)), [key_upper(raw_code)], ord).select(
         key_upper(raw_code).alias("_code"), *cols)
     return df.withColumn("_c", key_upper(code)).join(right, F.col("_c") == F.col("_code"), "left").drop("_c", "_code")
 
@@ -91,7 +91,7 @@ def own_introduction(df: DataFrame, raw: DataFrame, code: str, mpn: str, ord: st
     key by ``ord``; dropped when CJK remains after repair."""
     from catalogflow.functions.text import has_cjk, repair_mojibake
 
-    right = last_occurrence(raw.where(nonblank("key")), [key_upper("key")], ord).select(key_upper("key").alias("_rk"), text("introduction").alias("_intro"))
+    right = last_occurrence(with_order(raw, ord).where(nonblank("key")), [key_upper("key")], ord).select(key_upper("key").alias("_rk"), text("introduction").alias("_intro"))
     own = F.when(text(code) != "", key_upper(code)).otherwise(key_upper(mpn))
     fixed = repair_mojibake(F.col("_intro"), colon=False)
     return (
@@ -187,7 +187,7 @@ def related_neighbours(df: DataFrame, group: str, slug: str, ord: str = "ord", k
     at most a handful of positions, never its whole group. In small groups the walk wraps and
     repeats neighbours; only the first row of a slug is reported on.
     """
-    pool = grouped_rank(df.select(F.col(group).alias("g"), F.col(slug).alias("slug"), F.col(mpn).alias("mpn"), F.col(ord).alias("o")), ["g"], ["o"], "pos", "n")
+    pool = grouped_rank(df.select(F.col(group).alias("g"), F.col(slug).alias("slug"), F.col(mpn if mpn in df.columns else slug).alias("mpn"), F.col(ord).alias("o")), ["g"], ["o"], "pos", "n")
     pool = cut(pool.withColumn("pos", F.col("pos") - 1))
     same = pool.groupBy("g", "slug").agg(F.count(F.lit(1)).alias("c"), F.min("pos").alias("first"), F.min("n").alias("n"))
     # A slug in several groups is reported in the group that starts first.
@@ -410,13 +410,15 @@ def assign_slugs(df: DataFrame, base: str, ord: str = "ord", name: str = "url_sl
         slug = F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", F.col("_n").cast("string")))
         done = rows.withColumn(name, slug)
     else:
-        none = F.array().cast("array<bigint>")
-        joined = rows.join(facts, "_base", "left")
-        own = F.coalesce("_own", F.lit(1))
-        number = F.aggregate(
-            F.coalesce("_reserved", none), F.col("_n") - own + 1, lambda acc, r: F.when(r <= acc, acc + 1).otherwise(acc))
-        slug = F.when((own == 1) & (F.col("_n") == 1), F.col("_base")).otherwise(F.concat_ws("-", "_base", number.cast("string")))
-        done = joined.withColumn(name, slug).drop("_own", "_reserved")
+        own = facts.select("_base", "_own")
+        joined = rows.join(own, "_base", "left").withColumn("_own", F.coalesce("_own", F.lit(1)))
+        plain = (F.col("_own") == 1) & (F.col("_n") == 1)
+        # the others take the numbers from 2 on that no numbered base holds
+        numbered = joined.where(~plain).withColumn("_d", (F.col("_n") - F.col("_own")).cast("long"))
+        taken = facts.where("_reserved is not null").select("_base", F.explode("_reserved").alias("_number"))
+        numbered = skip_taken(numbered, taken, "_base", "_d", "_number", 2, "_given")
+        named = numbered.withColumn(name, F.concat_ws("-", "_base", F.col("_given").cast("string"))).drop("_d", "_given")
+        done = joined.where(plain).withColumn(name, F.col("_base")).unionByName(named).drop("_own")
     return done.drop("_base", "_n", "_size").unionByName(blank)
 
 

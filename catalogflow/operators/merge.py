@@ -72,22 +72,29 @@ def merge_offers(
     base_cols = [c for c in df.columns if c not in fills and c not in ("ord", ord, source)]
     base = F.struct(*[F.col(c) for c in base_cols], F.col("brand_matched"), (text("manufacturer") == "").alias("brand_missing"))
 
-    # Partial minima are taken inside the map tasks, so a part with very many offers sends one
-    # row per task; its sources are reduced apart, per (part, source).
-    groups = rows.groupBy("_brand", "_mpn").agg(
+    # One pass: per (part, source) first, then per part. Partial minima are taken inside the map tasks, so a part with
+    # very many offers sends a row per source and task.
+    per_source = rows.groupBy("_brand", "_mpn", "_source").agg(
         F.min("ord").alias("ord"),
         F.min_by(base, F.col("ord")).alias("_base"),
         F.count(F.lit(1)).alias("offers"),
         *[F.min(F.when(nonblank(c), F.struct(F.col("ord").alias("o"), F.col(c).alias("v")))).alias(f"_f_{c}") for c in fills],
     )
-    sources = _ordered_values(rows.where("_source <> ''").select("_brand", "_mpn", "_source", F.col("ord").alias("_at")), "_source")
-    out = groups.join(sources, ["_brand", "_mpn"], "left").select(
+    named = F.collect_list(F.when(F.col("_source") != "", F.struct(F.col("ord").alias("_at"), "_source")))
+    groups = per_source.groupBy("_brand", "_mpn").agg(
+        F.min("ord").alias("ord"),
+        F.min_by("_base", "ord").alias("_base"),
+        F.sum("offers").alias("offers"),
+        *[F.min(f"_f_{c}").alias(f"_f_{c}") for c in fills],
+        F.transform(F.sort_array(named), lambda x: x["_source"]).alias("_values"),
+    )
+    out = groups.select(
         "_brand", "_mpn", "ord", "offers",
         *[F.col(f"_base.{c}").alias(c) for c in base_cols if c not in ("manufacturer", "brand")],
         F.col("_brand").alias("manufacturer"),
         F.col("_brand").alias("brand"),
         *[F.col(f"_f_{c}.v").alias(c) for c in fills],
-        F.coalesce("_values", F.array().cast("array<string>")).alias("sources"),
+        F.col("_values").alias("sources"),
         F.col("_base.brand_matched").alias("brand_matched"),
         F.col("_base.brand_missing").alias("brand_missing"),
     )

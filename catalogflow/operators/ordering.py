@@ -91,6 +91,11 @@ def _pick(df: DataFrame, keys: Sequence, order: Column) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def with_order(df: DataFrame, ord: str = "ord") -> DataFrame:
+    """``df`` with an order column: where the caller has none, the content of the rows, so that the pick is at least always the same."""
+    return df if ord in df.columns else df.withColumn(ord, F.to_json(F.struct(*df.columns)))
+
+
 def first_occurrence(df: DataFrame, keys: Sequence, ord: str = "ord") -> DataFrame:
     """The first row of every key."""
     return _pick(df, keys, F.col(ord).asc())
@@ -260,26 +265,33 @@ def _carry_ends(ends: DataFrame) -> DataFrame:
     )
 
 
+def skip_taken(rows: DataFrame, taken: DataFrame, key: str, rank: str, number: str, first: int, name: str) -> DataFrame:
+    """The ``rank``-th number from ``first`` on that is not ``taken`` under the same key.
+
+    ``rows`` have ranks 1, 2, … per key, ``taken`` distinct numbers of at least ``first``. Before the i-th taken number
+    lie ``number - first - (i - 1)`` free ones, so the rows that pass it are those of a higher rank: both are
+    put on one line per key and ranked together, which spreads a key with very many of either over many tasks.
+    """
+    placed = grouped_rank(taken, [key], [number], "_i").select(key, (F.col(number) - first - F.col("_i") + 2).alias("_at"), F.lit(0).alias("_kind"), F.col(number).alias("_tie"))
+    line = placed.unionByName(rows.select(key, F.col(rank).cast("long").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_tie")))
+    passed = grouped_rank(line, [key], ["_at", "_kind", "_tie"], "_r").where("_kind = 1").select(key, F.col("_at").alias(rank), (F.col("_r") + first - 1).alias(name))
+    return rows.join(passed, [key, rank])
+
+
 def unique_seo_slugs(df: DataFrame, base: str = "base", id: str = "id", ord: str = "ord") -> DataFrame:
     """The first use keeps the base, later uses append their id; an id used again under
     the same base takes the next counter from 3 on, past numbers that are ids of that base."""
     ranked = grouped_rank(df, [base], [ord], "_n")
     later = grouped_rank(ranked.where("_n > 1"), [base, id], [ord], "_m")
     counted = grouped_rank(later.where("_m > 1"), [base], [ord], "_k", "_repeats")
-    # Only ids that the counters can reach matter: at most the repeats plus the ids before.
-    need = counted.groupBy(F.col(base).alias("_nb")).agg(F.max("_repeats").alias("_most"))
     number = F.col(id).cast("string").try_cast("long")
-    ids = later.where("_m = 1").join(need, F.col(base) == F.col("_nb")).select("_nb", number.alias("_id"), "_most").where("_id >= 3")
-    w = Window.partitionBy("_nb").orderBy("_id")
-    near = ids.withColumn("_i", F.row_number().over(w)).where("_id <= 2 + _most + _i")
-    held = near.groupBy("_nb").agg(F.sort_array(F.collect_list("_id")).alias("_held"))
-    counted = counted.join(held, F.col(base) == F.col("_nb"), "left")
-    counter = F.aggregate(F.coalesce("_held", F.array().cast("array<bigint>")), F.col("_k") + 2, lambda acc, x: F.when(x <= acc, acc + 1).otherwise(acc))
+    taken = later.where("_m = 1").join(counted.select(base).distinct(), base, "left_semi").select(F.col(base), number.alias("_id")).where("_id >= 3")
+    counted = skip_taken(counted, taken, base, "_k", "_id", 3, "_counter")
     with_id = F.concat_ws("-", F.col(base), F.col(id).cast("string"))
     parts = [
         ranked.where("_n = 1").withColumn("seo_slug", F.col(base)),
         later.where("_m = 1").withColumn("seo_slug", with_id).drop("_m"),
-        counted.withColumn("seo_slug", F.concat_ws("-", F.col(base), counter.cast("string"))).drop("_m", "_k", "_repeats", "_nb", "_held"),
+        counted.withColumn("seo_slug", F.concat_ws("-", F.col(base), F.col("_counter").cast("string"))).drop("_m", "_k", "_repeats", "_counter"),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("_n")
 

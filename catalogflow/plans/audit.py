@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalogflow.functions import attrs, classify, markup, text as tx
 from catalogflow.functions.keys import key_alnum, key_exact, merge_semicolon, nonblank, slug_hyphen, text
 from catalogflow.operators import aggregates, gates, identity
-from catalogflow.operators.ordering import carry_parent, global_rank, unique_seo_slugs
+from catalogflow.operators.ordering import carry_parent, global_rank, unique_seo_slugs, with_order
 
 # Tokens a published text may not hold.
 TOKENS = (
@@ -98,7 +98,7 @@ def batch_report(before: DataFrame, after: DataFrame, key: str = "ord", label: s
 
 def page_facts(pages: DataFrame, code: str = "code", mpn: str = "mpn", html: str = "html", ord: str = "ord") -> DataFrame:
     """F62-F63 per page."""
-    return pages.select(
+    return with_order(pages, ord).select(
         F.col(ord).alias("ord"),
         F.col(code).alias("code"), F.col(mpn).alias("mpn"), markup.property_pairs(html).alias("pairs"), markup.page_description(html).alias("description"),
         markup.page_faq(html).alias("faqs"), markup.page_brand(html).alias("page_brand"), markup.list_after_heading(html).alias("applications"),

@@ -12,7 +12,7 @@ from catalogflow import rules
 from catalogflow.functions import attrs, text as tx, units
 from catalogflow.functions.keys import key_upper, literal_map, nonblank, search_keys, slug_hyphen, text
 from catalogflow.operators import aggregates, gates, identity, merge
-from catalogflow.operators.ordering import paginate
+from catalogflow.operators.ordering import paginate, with_order
 from catalogflow.session import cut
 
 FINGERPRINTS = ("renderer_v", "data_fp", "enrich_fp", "template_v", "asset_v", "dependency_fp")
@@ -246,7 +246,7 @@ def page_records(parts: DataFrame, raw: DataFrame, overrides: DataFrame | None =
     subcategory, alternative_parts_detail, datasheet_url. ``raw``: ord, code, product (struct),
     introduction, applications, features. Source facts attach by code only, the first row of a code counts.
     """
-    right = raw.groupBy(key_upper("code").alias("_code")).agg(F.min_by(F.struct("product", "introduction", "applications", "features"), "ord").alias("r"))
+    right = with_order(raw).groupBy(key_upper("code").alias("_code")).agg(F.min_by(F.struct("product", "introduction", "applications", "features"), "ord").alias("r"))
     rows = parts.withColumn("_c", key_upper("supplier_reference")).join(right, F.col("_c") == F.col("_code"), "left")
     text_attrs = F.coalesce(attrs.attributes_from_any("attributes_json"), attrs.empty_text_map())
     specs = F.transform(F.map_entries(text_attrs), lambda e: F.struct(tx.human_label(e["key"]).alias("label"), units.format_value(e["key"], e["value"]).alias("value")))
