@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catalogflow.session import shared_dir
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SLICE = 256  # rows that are Python objects at the same time
 
 
@@ -26,10 +27,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Later stages read the files, so a lost executor costs no recomputation, and Spark knows the
-    table's size when it chooses a join.
+    table's size when it chooses a join. The shuffle files of the write are of no use once it has ended, so
+    Spark is told to remove them then, and a job of many steps holds those of one step at a time.
     """
-    path = folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    path, conf = folder(df.sparkSession, purpose), df.sparkSession.conf
+    before = conf.get(_CLEAN_UP)
+    conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

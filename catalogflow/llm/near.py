@@ -17,90 +17,92 @@ Shingles are compared by hashes of 64 bits.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogflow.llm.common import by_batch, folder, stored
+from catalogflow.llm.common import by_batch, stored
 from catalogflow.llm.components import components
 
 WORDS = 5
 SHARE = (3, 4)  # least Jaccard similarity, as a fraction
-_COUNTERS = 1 << 18  # of the count sketch
+_COUNTERS = 1 << 19  # of the count sketch
 _BLOCK = 1 << 12  # counters, or bytes of a bit array, in a row while they are added up
 _MOST_BITS = 1 << 30
 _NO_ID = -(1 << 63)  # stands for a null id
 
-_SETS = "doc_id bigint, n int, set binary, group bigint, prefix array<bigint>"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set", pa.binary()), ("group", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+_SETS = "doc_id bigint, n int, set binary, key bigint, bits binary, group bigint, prefix array<bigint>"
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set", pa.binary()), ("key", pa.int64()), ("bits", pa.binary()), ("group", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 _BLOCKS = "block int, data binary"
 _BLOCKS_ARROW = pa.schema([("block", pa.int32()), ("data", pa.binary())])
 
 
-class Hasher:
-    """Shingle hashes of texts; word hashes are kept up to ``limit`` words."""
+_STEP = 0x9E3779B97F4A7C15  # base of the polynomial over the bytes of a word, odd and so with an inverse
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
-    def __init__(self, limit: int = 500_000):
-        self._known: dict[bytes, int] = {}
-        self._limit = limit
 
-    def shingles(self, text: str | None) -> np.ndarray:
-        """Sorted distinct hashes. Fewer than five words make one shingle, no words none."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z and ASCII white space
-        if not words:
-            return np.zeros(0, np.uint64)
-        known = self._known
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > self._limit:
-            known.clear()
-            new = list(set(words))
-        known.update(zip(new, map(xxhash.xxh3_64_intdigest, new)))
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        size = min(WORDS, len(words))
-        mixed = np.full(len(h) - size + 1, size, np.uint64)
-        for k in range(size):
-            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - size + 1 + k]
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        return np.unique(mixed)
+@functools.lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    of = lambda x: np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, x, np.uint64)]), dtype=np.uint64)
+    return of(np.uint64(_STEP)), of(np.uint64(pow(_STEP, -1, 1 << 64)))
 
 
-_HASHER: list[Hasher] = []
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
 
 
-def _hasher() -> Hasher:
-    if not _HASHER:
-        _HASHER.append(Hasher())
-    return _HASHER[0]
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted distinct shingle hashes. Fewer than five words make one shingle, no words none.
 
-
-def _summed(blocks: DataFrame, kind: str) -> dict[int, np.ndarray]:
-    """Blocks of one number added up; the result has a fixed size, so it may go to the driver."""
+    The hash of a word is that of the bytes between its ends, by differences of running sums over the
+    text, so no word becomes a Python object.
+    """
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)  # bytes: only A-Z
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _WHITE[raw], [True]])))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    forth, back = _powers(1 << max(12, len(raw).bit_length()))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * forth[: len(raw)], out=sums[1:])
+    h = _mixed((sums[ends] - sums[starts]) * back[starts])
+    size = min(WORDS, len(h))
+    out = np.full(len(h) - size + 1, size, np.uint64)
+    for k in range(size):
+        out = out * np.uint64(_STEP) + h[k : len(h) - size + 1 + k]
+    return np.unique(_mixed(out))
+
+
+def _summed(blocks: DataFrame, *kind: str) -> dict[int, np.ndarray]:
+    """Blocks of one number added up (bits: or-ed), of the first kind to the second; the result has a fixed size, so it may go to the driver."""
 
     def add(rows: Iterator[tuple]) -> Iterator[tuple]:
         now, total = None, None
         for block, data in rows:
-            part = np.frombuffer(zlib.decompress(data), kind)
+            part = np.frombuffer(zlib.decompress(data), kind[0])
             if block != now:
                 if now is not None:
                     yield now, zlib.compress(total.tobytes(), 1)
-                now, total = block, part.copy()
+                now, total = block, part.astype(kind[1])
             else:
-                total = total | part if kind == "u1" else total + part
+                total = total | part if kind[1] == "u1" else total + part
         if now is not None:
             yield now, zlib.compress(total.tobytes(), 1)
 
     dealt = blocks.repartition(16, "block").sortWithinPartitions("block")
     found = by_batch(dealt, _BLOCKS, _BLOCKS_ARROW, add).collect()
-    return {r["block"]: np.frombuffer(zlib.decompress(r["data"]), kind) for r in found}
+    return {r["block"]: np.frombuffer(zlib.decompress(r["data"]), kind[1]) for r in found}
 
 
 def shingle_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -109,14 +111,14 @@ def shingle_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     def count(rows: Iterator[tuple]) -> Iterator[tuple]:
         counters = np.zeros(_COUNTERS, np.uint32)
         for (words,) in rows:
-            np.add.at(counters, (_hasher().shingles(words) & np.uint64(_COUNTERS - 1)).astype(np.int64), np.uint32(1))
+            np.add.at(counters, (shingles(words) & np.uint64(_COUNTERS - 1)).astype(np.int64), np.uint32(1))
         for block in range(_COUNTERS // _BLOCK):
-            part = counters[block * _BLOCK : (block + 1) * _BLOCK].astype(np.uint64)
+            part = counters[block * _BLOCK : (block + 1) * _BLOCK]
             if part.any():
                 yield block, zlib.compress(part.tobytes(), 1)
 
     total = np.zeros(_COUNTERS, np.uint64)
-    for block, part in _summed(by_batch(docs.select(text), _BLOCKS, _BLOCKS_ARROW, count), "u8").items():
+    for block, part in _summed(by_batch(docs.select(text), _BLOCKS, _BLOCKS_ARROW, count), "u4", "u8").items():
         total[block * _BLOCK : (block + 1) * _BLOCK] = part
     return total
 
@@ -131,17 +133,30 @@ def _index_size(n: Column) -> Column:
     return n - F.ceil(F.lit(2 * SHARE[0]) * n / (SHARE[0] + SHARE[1])) + 1
 
 
+def _long(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def _digest(h: np.ndarray) -> bytes:
+    return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+
+
+def _key(doc: int, digest: bytes) -> int:
+    """Names a text of a document; rows that repeat an id with another text have another key."""
+    return _long(doc.to_bytes(8, "little", signed=True) + digest)
+
+
 def document_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Per row: the size of its set, digests of the set and of its prefix, and the prefix."""
+    """Per row: the size of its set, digests of the set, of id and set, and of the prefix, the set's parity bits, and the prefix."""
     counts = shingle_counts(docs, text)
 
     def sets(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc, words in rows:
-            h = _hasher().shingles(words)
+            h = shingles(words)
             n = len(h)
             first = h[np.lexsort((h, counts[(h & np.uint64(_COUNTERS - 1)).astype(np.int64)]))[: _prefix_size(n) if n else 0]]
-            group = hashlib.blake2b(n.to_bytes(8, "little") + first.tobytes(), digest_size=8).digest()
-            yield doc, n, hashlib.blake2b(h.tobytes(), digest_size=16).digest(), int.from_bytes(group, "little", signed=True), first.view(np.int64)
+            digest = _digest(h)
+            yield doc, n, digest, _key(doc, digest), _parity(h), _long(n.to_bytes(8, "little") + first.tobytes()), first.view(np.int64)
 
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
     return stored(by_batch(docs.select(key, text), _SETS, _SETS_ARROW, sets), "sets")
@@ -165,7 +180,7 @@ def _bit_array(rows: DataFrame, key) -> np.ndarray:
             yield block, zlib.compress(data.tobytes(), 1)
 
     total = np.zeros(size // 8, np.uint8)
-    for block, part in _summed(by_batch(rows, _BLOCKS, _BLOCKS_ARROW, fill), "u1").items():
+    for block, part in _summed(by_batch(rows, _BLOCKS, _BLOCKS_ARROW, fill), "u1", "u1").items():
         total[block * _BLOCK : (block + 1) * _BLOCK] = part
     return total
 
@@ -205,51 +220,43 @@ def _side(entries: DataFrame, name: str) -> DataFrame:
     return entries.select(*[F.col(c).alias(c if c == "h" else f"{name}_{c}") for c in entries.columns])
 
 
-def _set_key(class_: int, digest: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(class_.to_bytes(8, "little", signed=True) + digest)
-
-
 class _Verifier:
-    """Checks pairs of classes on their whole sets.
+    """Checks pairs of classes, by their parity bits and then on their whole sets.
 
-    The sets of the classes that have a partner in the index are worked out again from the texts and
-    written once, as a table in buckets by class, so that a check shuffles pairs but not all sets. Which rows are
-    wanted is told by a bit array where the texts are, so no text is shuffled.
+    The whole sets of the classes that pass the first test are worked out again from the texts. Which rows
+    are wanted is told by a bit array where the texts are, so neither texts nor sets of others are shuffled.
     """
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, entries: DataFrame, doc_id: str, text: str):
-        spark = docs.sparkSession
-        wanted = stored(classes.join(entries.select("group").distinct(), "group").select("class", "set"), "wanted")
-        bits = _bit_array(wanted, _set_key)
+    def __init__(self, docs: DataFrame, classes: DataFrame, doc_id: str, text: str):
+        self._docs = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)), text)
+        self._bits = classes.select("class", F.col("bits").alias("data"))
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets are similar."""
+        near = stored(_with_data(pairs, self._bits).where(_parity_passes("a_data", "b_data")).select("a", "b"), "near")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        if near.isEmpty():
+            return near
+        bits = _bit_array(wanted, lambda c: c)
         size = 8 * len(bits)
 
         def sets(rows: Iterator[tuple]) -> Iterator[tuple]:
             for id_, words in rows:
-                h = _hasher().shingles(words)
-                digest = hashlib.blake2b(h.tobytes(), digest_size=16).digest()
-                at = _set_key(id_, digest) & (size - 1)
+                h = shingles(words)
+                class_ = _key(id_, _digest(h))
+                at = class_ & (size - 1)
                 if bits[at >> 3] >> (at & 7) & 1:
-                    yield id_, digest, _parity(h), h.tobytes()
-
-        arrow = pa.schema([("class", pa.int64()), ("set", pa.binary()), ("bits", pa.binary()), ("hashes", pa.binary())])
-        own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)), text)
-        found = by_batch(own, "class bigint, set binary, bits binary, hashes binary", arrow, sets)
-        buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), folder(spark, "whole")
-        name = f"whole_{path[-32:]}"
-        # rows that repeat an id or that the bit array lets through by chance go here
-        true = found.join(wanted, ["class", "set"], "left_semi").dropDuplicates(["class"])
-        true.repartition(buckets, "class").write.bucketBy(buckets, "class").option("path", path).saveAsTable(name)
-        self._whole = spark.table(name)
+                    yield class_, h.tobytes()
+
+        arrow = pa.schema([("class", pa.int64()), ("data", pa.binary())])
+        whole = stored(by_batch(self._docs, "class bigint, data binary", arrow, sets), "whole")
+        return stored(_with_data(near, whole).where(_similar("a_data", "b_data")).select("a", "b").distinct(), "similar")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar."""
-        near = self._joined(stored(pairs, "pairs"), "bits").where(_parity_passes("a_data", "b_data")).select("a", "b")
-        return self._joined(stored(near, "near"), "hashes").where(_similar("a_data", "b_data")).select("a", "b")
 
-    def _joined(self, pairs: DataFrame, column: str) -> DataFrame:
-        for end in ("b", "a"):
-            pairs = pairs.join(self._whole.select(F.col("class").alias(end), F.col(column).alias(f"{end}_data")), end)
-        return pairs
+def _with_data(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    for end in ("b", "a"):
+        pairs = pairs.join(of.select(F.col("class").alias(end), F.col("data").alias(f"{end}_data")), end)
+    return pairs
 
 
 def _parity(h: np.ndarray) -> bytes:
@@ -287,8 +294,9 @@ def _similar(x: pa.Array, y: pa.Array) -> pa.Array:
 
 
 def _members(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(set, n, group, class): the classes, each named by its smallest document; and (group, first): the first class of each group."""
-    classes = stored(sets.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("class"), F.min("n").alias("n"), F.min("group").alias("group")), "classes")
+    """(set, n, group, class, doc, bits): the classes, each named by the key of its smallest document; and (group, first): a class of each group."""
+    of = sets.where("n > 0").groupBy("set")
+    classes = stored(of.agg(F.min_by("key", "doc_id").alias("class"), F.min("doc_id").alias("doc"), F.min("n").alias("n"), F.min("group").alias("group"), F.first("bits").alias("bits")), "classes")
     return classes, classes.groupBy("group").agg(F.min("class").alias("first"))
 
 
@@ -303,7 +311,7 @@ def _star(entries: DataFrame, key: str, by: Column) -> DataFrame:
 def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     """``classes`` with ``component``, of those that are linked and of the others."""
     joined = components(links)
-    linked = classes.join(joined.withColumnRenamed("node", "class"), "class", "left")
+    linked = classes.drop("bits").join(joined.withColumnRenamed("node", "class"), "class", "left")
     return stored(linked.withColumn("component", F.coalesce("component", "class")), "labels")
 
 
@@ -339,11 +347,11 @@ def link_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     sets = document_sets(docs, doc_id, text)
     classes, firsts = _members(sets)
     entries = _index(sets)
-    verify = _Verifier(docs, classes, entries, doc_id, text)
+    verify = _Verifier(docs, classes, doc_id, text)
     named = firsts.select(F.col("group").alias("a"), F.col("first").alias("x"))
     hubs = _star(entries, "group", F.col("group"))
     pairs = hubs.join(named, "a").join(named.select(F.col("a").alias("b"), F.col("x").alias("y")), "b")
-    links = stored(verify.links(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))), "found")
+    links = verify.links(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     labels = _labelled(classes, links)
     for by in (F.struct(F.col("n") * -1, "class"), F.struct("at", F.xxhash64("class"))):
         apart = _apart(entries, labels)
@@ -351,13 +359,15 @@ def link_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         tried = _star(apart, "class", by)
         own = labels.select(F.col("class").alias("_c"), component)
         fresh = tried.join(own.toDF("a", "ca"), "a").join(own.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
-        links = stored(links.unionByName(verify.links(fresh)), "found")
+        links = links.unionByName(verify.links(fresh))
         labels = _labelled(classes, links)
-    links = stored(links.unionByName(verify.links(_all_pairs(_apart(entries, labels)))), "found")
+    links = links.unionByName(verify.links(_all_pairs(_apart(entries, labels))))
     labels = _labelled(classes, links)
-    found = sets.select("doc_id", "n", "set").join(labels.select("set", "component"), "set", "left")
+    smallest = labels.groupBy("component").agg(F.min("doc").alias("least"))
+    named = stored(labels.join(smallest, "component").select("set", "least"), "labels")
+    found = sets.select("doc_id", "n", "set").join(named, "set", "left")
     real = lambda c: F.when(c != _NO_ID, c)
-    return found.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real(F.coalesce("component", "doc_id")).alias("component_id"))
+    return found.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real(F.coalesce("least", "doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
