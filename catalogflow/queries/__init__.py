@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("merge", "identity", "functions", "jobs", "extra")
+AREAS = ("merge", "identity", "functions", "jobs", "extra", "files")
 
 
 def load() -> None:
