@@ -199,15 +199,20 @@ def clamp_page(page: Column, pages: Column) -> Column:
 
 # ---- samples ------------------------------------------------------------------
 
+def _draw(key: str, seed: int) -> Column:
+    """A number per key that any engine works out alike."""
+    return F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256)
+
+
 def spot_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """The same ``n`` rows on every run, spread over the data (a sampling operator)."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = _draw(key, seed)
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
 def stratified_sample(df: DataFrame, by: Sequence[str], key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` repeatable rows per stratum."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = _draw(key, seed)
     return top_per_group(df, by, [h, F.col(key)], n, "_pos").drop("_pos")
 
 

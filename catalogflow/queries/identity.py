@@ -303,11 +303,11 @@ def streamed_limit(spark, sf):
     return ordering.streamed_limit(b.parts(spark, sf), ["mpn"], 50).select("ord", "mpn")
 
 
-@query()
+@query(b.sql("SELECT cid, mpn FROM parts_v ORDER BY sha256('42:'||cid), cid LIMIT 30", "parts_v"))
 def spot_sample(spark, sf):
     return ordering.spot_sample(b.parts(spark, sf), "cid", 30).select("cid", "mpn")
 
 
-@query()
+@query(b.sql("SELECT category, cid FROM parts_v QUALIFY row_number() OVER (PARTITION BY category ORDER BY sha256('42:'||cid), cid) <= 5", "parts_v"))
 def stratified(spark, sf):
     return ordering.stratified_sample(b.parts(spark, sf), ["category"], "cid", 5).select("category", "cid")

@@ -171,9 +171,18 @@ def row_fingerprints(spark, sf):
     return b.snapshot_new(spark, sf).select("ord", aggregates.row_fingerprint(_DATA).alias("fingerprint"))
 
 
-@query()
+@query("SELECT count(*) AS rows, true AS same_in_other_order, false AS same_after_a_change, false AS same_with_a_row_twice FROM lineitem")
 def table_fingerprint(spark, sf):
-    return aggregates.table_fingerprint(b.read(spark, sf, "lineitem"))
+    """A fingerprint against those of the same rows in another order, with one value changed, and with one row more."""
+    li = b.read(spark, sf, "lineitem")
+    first = li.agg(F.min(F.struct("l_orderkey", "l_linenumber")).alias("x")).select("x.*").toDF("_o", "_n")
+    marked = li.join(F.broadcast(first), (F.col("l_orderkey") == F.col("_o")) & (F.col("l_linenumber") == F.col("_n")), "left")  # one row on the right
+    changed = marked.withColumn("l_quantity", F.when(F.col("_o").isNotNull(), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))).drop("_o", "_n")
+    twice = li.unionByName(marked.where("_o is not null").drop("_o", "_n"))
+    a, other, new, more = (aggregates.table_fingerprint(d).select(F.struct("*").alias(n)) for d, n in (
+        (li, "a"), (li.repartition(5, "l_partkey"), "other"), (changed, "new"), (twice, "more")))
+    both = a.crossJoin(other).crossJoin(new).crossJoin(more)  # one row each
+    return both.select("a.rows", (F.col("a") == F.col("other")).alias("same_in_other_order"), (F.col("a") == F.col("new")).alias("same_after_a_change"), (F.col("a") == F.col("more")).alias("same_with_a_row_twice"))
 
 
 # ---- policy, URLs, facets, pages ------------------------------------------------------------
@@ -592,11 +601,19 @@ def classification_consistency(spark, sf):
     return audit.classification_consistency(p, p.where("size > 10"), links, site, l1)
 
 
-@query()
+@query(b.sql(f"""WITH {_LINKED}, t AS (SELECT 'synthetic' AS "check", 0 AS n, 'FAIL' AS bad UNION ALL SELECT 'tokens', 0, 'FAIL'
+  UNION ALL SELECT 'records_without_page', count(DISTINCT regexp_replace(lower(mpn||'-'||ord),'[^a-z0-9]','','g')), 'FAIL' FROM linked WHERE size<=5
+  UNION ALL SELECT 'pages_without_record', count(*), 'WARN' FROM nation UNION ALL SELECT 'json_ld_errors', count(*), 'FAIL' FROM pages WHERE page_id%5=0
+  UNION ALL SELECT 'cjk', count(*), 'FAIL' FROM pages WHERE page_id%3=0 UNION ALL SELECT 'document_hosts', count(*), 'FAIL' FROM hosted WHERE verdict LIKE 'BAD%')
+  SELECT "check", n, CASE WHEN n=0 THEN 'PASS' ELSE bad END AS status FROM t""", "parts_v"))
 def catalog_audit(spark, sf):
-    p = _linked(spark, sf)
-    pages = b.read(spark, sf, "pages")
-    page_keys = p.where("size > 5").select(F.col("mpn").alias("key"))
+    """Records without a page, pages without a record, damaged JSON-LD, visible CJK text and unsuitable hosts all occur."""
+    p = _linked(spark, sf).withColumn("mpn", F.concat_ws("-", "mpn", F.col("ord").cast("string")))
+    broken = F.when(F.col("page_id") % 5 == 0, '<script type="application/ld+json">{"@type":</script>').otherwise("")
+    cjk = F.when(F.col("page_id") % 3 == 0, "<p>温度</p>").otherwise("")
+    pages = b.read(spark, sf, "pages").withColumn("html", F.concat("html", broken, cjk))
+    orphans = b.read(spark, sf, "nation").select(F.concat(F.lit("orphan "), "n_name").alias("key"))
+    page_keys = p.where("size > 5").select(F.col("mpn").alias("key")).unionByName(orphans)
     checks, _ = audit.catalog_audit(p, pages, page_keys)
     return checks
 
