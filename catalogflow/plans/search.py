@@ -43,25 +43,28 @@ def search(entries: DataFrame, queries: DataFrame) -> DataFrame:
     entry, a query looks entries up by a piece of itself: its rarest run of three characters
     (or the whole query when shorter) for exact, prefix and substring matches, and by acronym
     prefixes. Every pair found is then scored exactly, so the result is that of a full scan.
+
+    Pairs are scored where they are found, and the two look-ups have no pair in common: one keeps pairs whose
+    names contain the query, the other those whose names do not. So nothing is shuffled by entry, and
+    ``rank_matches`` cuts to the first few of a query inside the tasks.
     """
     q = queries.select(F.lower(text("query")).alias("q")).where("q <> ''").distinct()
     names = entries.withColumn("names", F.concat(F.array("label"), F.coalesce("aliases", F.array().cast("array<string>"))))
+    fields = ["entry_id", "type", "label", "url", "names"]
 
     pieces = q.select("q", F.explode(F.when(F.length("q") >= GRAM, F.array_distinct(_grams(F.col("q"), GRAM))).otherwise(F.array("q"))).alias("g"))
-    wanted = pieces.select("g").distinct()
-    sizes = [1, 2, GRAM]
-    entry_grams = F.array_distinct(F.flatten(F.transform("names", lambda x: F.concat(*[_grams(x, n) for n in sizes]))))
-    index = names.select("entry_id", F.explode(entry_grams).alias("g")).join(wanted, "g", "left_semi")
-    frequency = index.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    rarest = pieces.join(frequency, "g", "left").groupBy("q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("g").alias("g"))).alias("x"))
-    by_text = rarest.select("q", F.col("x.g").alias("g")).join(index, "g").select("q", "entry_id")
+    entry_grams = F.array_distinct(F.flatten(F.transform("names", lambda x: F.concat(*[_grams(x, n) for n in (1, 2, GRAM)]))))
+    frequency = names.select(F.explode(entry_grams).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    rarest = pieces.join(frequency, "g", "left").groupBy("q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("x"))
+    by_text = names.select(*fields, F.explode(entry_grams).alias("g")).join(rarest.select("q", F.col("x.g").alias("g")), "g")
 
     heads = F.array_distinct(F.flatten(F.transform("names", lambda x: F.flatten(F.transform(
         F.filter(acronyms(x), lambda a: a != ""), lambda a: F.transform(F.sequence(F.lit(1), F.length(a)), lambda i: a.substr(F.lit(1), i)))))))
-    by_acronym = names.select("entry_id", F.explode(heads).alias("q")).join(q, "q").select("q", "entry_id")
+    by_acronym = names.select(*fields, F.explode(heads).alias("q")).join(q, "q")
 
-    pairs = by_text.unionByName(by_acronym).distinct()
-    scored = pairs.join(names, "entry_id").withColumn("score", best_score(F.col("q"), F.col("names")))
+    contains = F.exists("names", lambda x: F.lower(text(x)).contains(F.col("q")))
+    pairs = by_text.where(contains).select("q", *fields).unionByName(by_acronym.where(~contains).select("q", *fields))
+    scored = pairs.withColumn("score", best_score(F.col("q"), F.col("names")))
     return scored.where("score is not null").select(F.col("q").alias("query"), "entry_id", "type", "label", "url", "score")
 
 
