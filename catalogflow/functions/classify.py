@@ -263,23 +263,24 @@ CORES = (
 )
 
 
+# Further core names; ``%s`` stands for the width. The last ones are asked for after the maker's part numbers.
+CORE_FAMILIES = (
+    ("avr", "%s-bit AVR MCU"), ("stm8", "8-bit STM8 MCU"), ("msp430", "16-bit MSP430 MCU"), ("c28x", "32-bit C28x DSC"), ("c2000", "32-bit C28x DSC"),
+    ("pic", "%s-bit PIC MCU"), ("8051", "8-bit 8051 MCU"),
+)
+CORE_PART_PREFIX = (("TMS320", "32-bit C28x DSC"),)
+OLD_CORES = (("arm926", "32-bit ARM926EJ-S MPU"), ("arm7tdmi", "32-bit ARM7TDMI MCU"))
+CORE_DEFAULT, CORE_WIDTH_ONLY, CORE_WIDTH = "Microcontroller", "%s-bit MCU", "8"
+
+
 def core_subcategory(core, bits, mpn) -> Column:
-    c = F.lower(F.coalesce(_col(core), F.lit("")))
-    n = F.nullif(_col(bits).cast("string"), F.lit("0"))
-    n8 = F.coalesce(n, F.lit("8"))
-    return F.coalesce(
-        first_match(c, CORES, lambda s, p: s.contains(p)),
-        F.when(c.contains("avr"), F.concat(n8, F.lit("-bit AVR MCU")))
-        .when(c.contains("stm8"), F.lit("8-bit STM8 MCU"))
-        .when(c.contains("msp430"), F.lit("16-bit MSP430 MCU"))
-        .when(c.contains("c28x") | c.contains("c2000"), F.lit("32-bit C28x DSC"))
-        .when(c.contains("pic"), F.concat(n8, F.lit("-bit PIC MCU")))
-        .when(c.contains("8051"), F.lit("8-bit 8051 MCU"))
-        .when(F.upper(text(mpn)).startswith("TMS320"), F.lit("32-bit C28x DSC"))
-        .when(c.contains("arm926"), F.lit("32-bit ARM926EJ-S MPU"))
-        .when(c.contains("arm7tdmi"), F.lit("32-bit ARM7TDMI MCU"))
-        .when(n.isNotNull(), F.concat(n, F.lit("-bit MCU")))
-        .otherwise(F.lit("Microcontroller")))
+    """the first table that names the core or part decides."""
+    name, part = F.lower(F.coalesce(_col(core), F.lit(""))), F.upper(text(mpn))
+    width = F.nullif(_col(bits).cast("string"), F.lit("0"))
+    sized = lambda template, w: F.replace(template, F.lit("%s"), w)
+    holds = lambda s, p: s.contains(p)
+    named = F.coalesce(first_match(name, CORES + CORE_FAMILIES, holds), first_match(part, CORE_PART_PREFIX, lambda s, p: s.startswith(p)), first_match(name, OLD_CORES, holds))
+    return F.coalesce(sized(named, F.coalesce(width, F.lit(CORE_WIDTH))), sized(F.lit(CORE_WIDTH_ONLY), width), F.lit(CORE_DEFAULT))
 
 
 # Per family the key of the subcategory, its wording, its default, and the
