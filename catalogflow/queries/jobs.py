@@ -446,9 +446,10 @@ def pool_stats(spark, sf):
 
 
 @query(b.sql(f"""WITH {_LINKED}, docs AS (SELECT regexp_extract(datasheet_url,'([^/]+)\\.pdf$',1) AS stem FROM linked WHERE datasheet_url<>''), k AS (SELECT DISTINCT lower(stem) AS k FROM docs),
-  m AS (SELECT CASE WHEN lower(cid) IN (SELECT k FROM k) THEN 'cid' WHEN lower(mpn) IN (SELECT k FROM k) THEN 'mpn' ELSE 'missing' END AS method FROM parts_v)
+  m AS (SELECT CASE WHEN lower(cid) IN (SELECT k FROM k) THEN 'cid' WHEN lower(mpn) IN (SELECT k FROM k) THEN 'mpn'
+   WHEN regexp_replace(lower(mpn),'[^a-z0-9]','','g') IN (SELECT regexp_replace(k,'[^a-z0-9]','','g') FROM k) THEN 'alnum_mpn' ELSE 'missing' END AS method FROM parts_v)
   SELECT count(*) AS total, 0 AS preserved, count(*) FILTER (WHERE method<>'missing') AS mapped, count(*) FILTER (WHERE method='missing') AS missing, count(*) FILTER (WHERE method='cid') AS by_cid,
-  count(*) FILTER (WHERE method='mpn') AS by_mpn, 0 AS by_alnum_mpn, 0 AS by_clean_mpn, round(100.0*count(*) FILTER (WHERE method<>'missing')/count(*),1) AS coverage_pct FROM m""", "parts_v"))
+  count(*) FILTER (WHERE method='mpn') AS by_mpn, count(*) FILTER (WHERE method='alnum_mpn') AS by_alnum_mpn, 0 AS by_clean_mpn, round(100.0*count(*) FILTER (WHERE method<>'missing')/count(*),1) AS coverage_pct FROM m""", "parts_v"))
 def document_coverage(spark, sf):
     linked = _linked(spark, sf)
     docs = linked.where("datasheet_url <> ''").select(F.col("datasheet_url").alias("path"), F.regexp_replace(F.substring_index("datasheet_url", "/", -1), r"\.pdf$", "").alias("stem"))
