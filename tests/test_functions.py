@@ -165,3 +165,17 @@ def test_forbidden_tokens_keep_close_hits(spark):
     assert sorted(h["token"] for h in hits) == ["PLACEHOLDER", "TEST", "TEST"]
     exempt = spark.createDataFrame([("a", "t", "placeholder")], "key string, field string, token string")
     assert gates.forbidden_tokens(df, "k", ["t"], rules, exempt).count() == 2
+
+
+def test_temperature_shapes(spark):
+    cases = {"-40degC ~ +85degC;-55degC~125degC@(TA)": "-40°C ~ +85°C; -55°C ~ 125°C @(TA)", "-;-40degC~85degC": "-40°C ~ 85°C", "-40degC~85degC;-": "-40°C ~ 85°C",
+             "a 1@2degC b 3@4degC": "a 1 @ 2°C b 3 @ 4°C", "25degC": "25°C", "x degC": None, "25 °C": None, "volts": None}
+    assert [t for (t,) in column(spark, list(cases), units.format_temperature("s"))] == list(cases.values())
+
+
+def test_core_names(spark):
+    rows = [("ARM Cortex-M3", "32", "x", "32-bit ARM Cortex-M3 MCU"), ("AVR", None, "x", "8-bit AVR MCU"), ("PIC", "16", "x", "16-bit PIC MCU"), ("arm926", "32", "TMS320F", "32-bit C28x DSC"),
+            ("arm926", "32", "x", "32-bit ARM926EJ-S MPU"), ("other", "16", "x", "16-bit MCU"), (None, "0", None, "Microcontroller")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, core string, bits string, mpn string, want string")
+    got = df.select("i", "want", classify.core_subcategory("core", "bits", "mpn").alias("got")).orderBy("i").collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogflow.operators.identity import assign_slugs, assign_stable_slugs
+from catalogflow.operators.ordering import skip_taken
 
 
 def sequential(bases):
@@ -49,3 +50,20 @@ def test_order_is_explicit(spark):
     one = assign_slugs(df.repartition(1), "base").orderBy("ord").select("url_slug").collect()
     two = assign_slugs(df.orderBy(F.rand(3)).repartition(7), "base").orderBy("ord").select("url_slug").collect()
     assert one == two
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_numbers_past_those_taken(spark, seed):
+    rng = random.Random(seed)
+    taken = {k: sorted(rng.sample(range(2, 40), rng.randrange(0, 25))) for k in "abc"}
+    rows = [(k, i) for k in "abcd" for i in range(1, rng.randrange(2, 30))]
+    held = spark.createDataFrame([(k, n) for k, ns in taken.items() for n in ns], "k string, n bigint").repartition(3)
+    got = {(r["k"], r["d"]): r["x"] for r in skip_taken(spark.createDataFrame(rows, "k string, d bigint"), held, "k", "d", "n", 2, "x").collect()}
+    free = {k: [n for n in range(2, 100) if n not in taken.get(k, ())] for k in "abcd"}
+    assert got == {(k, i): free[k][i - 1] for k, i in rows}
+
+
+def test_base_with_many_numbered_ones(spark):
+    bases = ["a"] * 120 + [f"a-{i}" for i in range(2, 200, 3)] + ["a"] * 120
+    df = spark.createDataFrame(list(enumerate(bases)), "ord long, base string").repartition(5)
+    assert [r["url_slug"] for r in assign_slugs(df, "base").orderBy("ord").collect()] == sequential(bases)
