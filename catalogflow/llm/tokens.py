@@ -45,7 +45,7 @@ class Encoder:
     ``limit`` bounds the cache.
     """
 
-    def __init__(self, vocabulary: str | None = None, ranks: str | None = None, limit: int = 1_000_000):
+    def __init__(self, vocabulary: str | None = None, ranks: str | None = None, limit: int = 300_000):
         import public_tokenizers as public
 
         self._slow = Tokenizer.from_file(vocabulary or public.path("byte_bpe_50k.json"))

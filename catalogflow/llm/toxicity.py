@@ -51,7 +51,7 @@ def word_rows(word: str) -> tuple[int, ...]:
 class Words:
     """Numbers the words that it meets, with the table rows and the language of each; bounded."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         self._limit = limit
         self._clear()
 
