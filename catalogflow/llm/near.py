@@ -5,8 +5,8 @@ sets that are similar enough must share a shingle among the first of each (the p
 sets form a class, classes with equal prefix and size a group, and the index holds each group once:
 
 1. A count sketch of fixed size over all documents gives the order.
-2. The prefixes are dealt out by shingle. Those that one group alone has are told apart by a bit
-   array of fixed size and dropped.
+2. The prefixes are dealt out by shingle. Those that one set alone has are told apart by a bit
+   array of fixed size and dropped. Different sets of one group share their whole prefix.
 3. Of the groups that share a shingle, first only one is compared with all others; this joins most
    of a large set of near copies without forming its pairs.
 4. The rest is exact: of the classes that share a shingle but are not yet joined, every pair that passes
@@ -112,7 +112,7 @@ def shingle_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         counters = np.zeros(_COUNTERS, np.uint32)
         for (words,) in rows:
             np.add.at(counters, (shingles(words) & np.uint64(_COUNTERS - 1)).astype(np.int64), np.uint32(1))
-        for block in range(_COUNTERS // _BLOCK):
+        for block in range(-(-_COUNTERS // _BLOCK)):
             part = counters[block * _BLOCK : (block + 1) * _BLOCK]
             if part.any():
                 yield block, zlib.compress(part.tobytes(), 1)
@@ -186,24 +186,25 @@ def _bit_array(rows: DataFrame, key) -> np.ndarray:
 
 
 def _index(sets: DataFrame) -> DataFrame:
-    """(h, group, n, at): the prefix shingles that several groups have, with their place in each."""
-    spread = sets.where("n > 0").select("group", F.explode("prefix").alias("h"))
-    shared = stored(spread.groupBy("h").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("h"), "shared")
+    """(h, group, n, at): the prefix shingles that several different sets have, with their place in each group."""
+    marked = sets.where("n > 0").select("group", "n", "prefix", F.xxhash64("set").alias("mark"))
+    spread = marked.select("mark", F.explode("prefix").alias("h"))
+    shared = stored(spread.groupBy("h").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low < high").select("h"), "shared")
     bits = _bit_array(shared, lambda h: h)
     size = 8 * len(bits)
 
     def keep(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for group, n, prefix in rows:
+        for group, n, prefix, mark in rows:
             slot = np.array(prefix, np.int64) & (size - 1)
             for at in np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).tolist():
-                yield prefix[at], group, n, at
-
-    arrow = pa.schema([("h", pa.int64()), ("group", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
-    found = by_batch(sets.where("n > 0").select("group", "n", "prefix"), "h bigint, group bigint, n int, at int", arrow, keep)
-    entries = stored(found.groupBy("h", "group").agg(F.min("n").alias("n"), F.min("at").alias("at")), "entries")
-    # the bit array lets a few through that one group alone has
-    several = entries.groupBy("h").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("h")
-    return stored(entries.join(several, "h"), "entries")
+                yield prefix[at], group, n, at, mark
+
+    arrow = pa.schema([("h", pa.int64()), ("group", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("mark", pa.int64())])
+    found = by_batch(marked, "h bigint, group bigint, n int, at int, mark bigint", arrow, keep)
+    entries = stored(found.groupBy("h", "group").agg(F.min("n").alias("n"), F.min("at").alias("at"), F.min("mark").alias("low"), F.max("mark").alias("high")), "entries")
+    # the bit array lets a few through that one set alone has
+    several = entries.groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("h")
+    return stored(entries.drop("low", "high").join(several, "h"), "entries")
 
 
 def _may_link(a: str, b: str) -> Column:

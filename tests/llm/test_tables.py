@@ -101,6 +101,21 @@ def test_near_in_a_large_cluster(spark):
     assert len({v[1] for v in want.values()}) > 3
 
 
+def test_near_of_equal_prefix(spark, monkeypatch):
+    """Near copies of equal size that differ behind the prefix, where no other set shares a shingle with them."""
+    monkeypatch.setattr(near, "_COUNTERS", 16)
+    rng, rows = random.Random(12), []
+    for i in range(40):
+        base = words(rng, rng.randrange(40, 120)).split()
+        for k in range(rng.choice([2, 2, 3, 6])):
+            rows.append((len(rows), " ".join([*base[:-1], f"last{i}x{k}"])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    groups = near.document_sets(df, "doc_id", "text").groupBy("group").agg(F.countDistinct("set").alias("k")).where("k > 1").count()
+    assert groups > 20
+    want = plain_components(rows)
+    assert {r[0]: (r[1], r[2]) for r in near.link_near(df).collect()} == {k[0]: v for k, v in want.items()}
+
+
 def test_filters_lose_no_pair():
     rng = np.random.default_rng(7)
     for _ in range(400):
