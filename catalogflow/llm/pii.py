@@ -1,7 +1,7 @@
 """Personal data in text, also behind disguises (offset-preserving deobfuscation).
 
-Three transducers rewrite a text: homoglyphs to ASCII, spelled digits to digits, and written-out
-at and dot to ``@`` and ``.``. Each keeps, for every character it writes, the span of source
+Transducers rewrite a text: homoglyphs to ASCII, spelled digits to digits, and written-out
+at and dot to ``@`` and ``.``, in mail addresses and between digits. Each keeps, for every character it writes, the span of source
 characters it stands for. Identifiers are detected in the rewritten text as in the source, and
 their spans are mapped back to source characters.
 
@@ -66,11 +66,16 @@ _PART = re.compile(rf"plus|{_DOT_NAME}|{_NAME}", re.I)
 _AT_MARK = r"\s{0,3}[\[({<]\s?(?:at|@|arroba)\s?[\])}>]\s{0,3}"
 _DOT_MARK = rf"(?:\s{{0,3}}[\[({{<]\s?(?:{_DOT_NAME}|\.)\s?[\])}}>]\s{{0,3}}|\s{{1,3}}(?:dot|punkt|punto)\s{{1,3}})"
 _HIDDEN = re.compile(rf"[\[({{<]\s?(?:at|@|arroba|{_DOT_NAME}|\.)\s?[\])}}>]|\s(?:dot|punkt|punto)\s", re.I)
-_MARKS = ("[", "(", "{", "<", "dot", "punkt", "punto")
+_MARKS = ("[", "(", "{", "<", "dot", "point", "punkt", "punto")
 _AT = re.compile(rf"{_AT_MARK}|\s{{1,3}}at\s{{1,3}}|\s?@\s?", re.I)
 _DOT = re.compile(_DOT_MARK, re.I)
 _HIDDEN_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:(?:\.|{_DOT_MARK})[A-Za-z0-9-]+)+", re.I)
 _HIDDEN_LOCAL = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_DOT_MARK}[A-Za-z0-9._%+-]+)*$", re.I)
+# a disguised dot before a digit or a digit name
+_NUMBER_DOT = re.compile(rf"(?:[\[({{<]\s?(?:{_DOT_NAME}|\.)\s?[\])}}>]\s{{0,3}}|{_DOT_NAME}[\s,-]{{0,3}})(?=[0-9]|{_NAME}(?![^\W_]))", re.I)
+_NAME_BEFORE = re.compile(rf"(?<![^\W_]){_NAME}$", re.I)
+_NAME_AFTER = re.compile(rf"{_NAME}(?![^\W_])", re.I)
+_NAME_REACH = 1 + max(map(len, _DIGITS))
 _LOCAL_REACH = 320  # the longest address that mail allows
 
 
@@ -181,6 +186,28 @@ def _spelled(now: Rewritten) -> None:
     now.replace(edits)
 
 
+def _number_dots(now: Rewritten) -> None:
+    """Disguised dots between digits, of which single ones may still be spelled."""
+    text, edits = now.text, {}
+    for dot in _NUMBER_DOT.finditer(text):
+        begin = dot.start()
+        while dot.start() - begin < 3 and begin and (text[begin - 1].isspace() or text[begin - 1] in ",-"):
+            begin -= 1
+        names = []
+        if not (begin and text[begin - 1] in "0123456789"):
+            low = max(0, begin - _NAME_REACH)
+            name = _NAME_BEFORE.search(text[low:begin])
+            if not name:
+                continue
+            names.append((low + name.start(), low + name.end(), name[0]))
+        if text[dot.end()] not in "0123456789":
+            name = _NAME_AFTER.match(text, dot.end())
+            names.append((*name.span(), name[0]))
+        edits[begin, dot.end()] = "."
+        edits |= {(a, b): _DIGITS[name.lower()] for a, b, name in names}
+    now.replace(sorted((a, b, new) for (a, b), new in edits.items()))
+
+
 def _addresses(now: Rewritten) -> None:
     text, free, edits = now.text, 0, []
     for at in _AT.finditer(text):
@@ -213,13 +240,14 @@ def find(text: str | None) -> list[tuple[int, int, int, bool]]:
     strange = not text.isascii() and _STRANGE.search(text)
     small = text.lower()
     spelled = _spells_digits(small)
-    hidden = any(mark in small for mark in _MARKS) and _HIDDEN.search(text)
+    hidden = any(mark in small for mark in _MARKS) and (_HIDDEN.search(text) or _NUMBER_DOT.search(text))
     if strange or spelled or hidden:
         now = Rewritten(text)
         if strange:
             _glyphs(now)
         _addresses(now)
         _spelled(now)
+        _number_dots(now)
         seen = set()
         for kind, a, b in detect(now.text):
             start, end = now.source(a, b)

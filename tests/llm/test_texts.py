@@ -76,6 +76,14 @@ def test_disguises(text, kind, hidden):
     assert [(pii.KINDS[k], text[a:b], base) for k, a, b, base in pii.find(text)] == ([(kind, hidden, False)] if kind else [])
 
 
+@pytest.mark.parametrize("hidden", [
+    "192[.]168[.]1[.]1", "192 [dot] 168 [dot] 1 [dot] 1", "10 dot 0 dot 0 dot 1", "10 punkt 0.0 (punto) 1", "192 dot one six eight dot 1 dot one", "one dot 0 dot zero dot 1", "one nine two [dot] one six eight [dot] one [dot] one"])
+def test_disguised_dots_between_digits(hidden):
+    text = f"see {hidden}, ok"
+    assert [(pii.KINDS[k], text[a:b], base) for k, a, b, base in pii.find(text)] == [("ip", hidden, False)]
+    assert pii.redact(text) == "see <IP>, ok"
+
+
 def test_redaction_and_long_runs():
     assert pii.redact("a x@y.zz b") == "a <EMAIL> b" and pii.redact(None) is None and pii.redact("") == ""
     assert pii.find("a" * 300_000) == [] and len(pii.find("a@b.c " * 20_000)) == 20_000
