@@ -168,12 +168,6 @@ def _glyphs(now: Rewritten) -> None:
     now.replace([(m.start(), m.end(), _GLYPHS[ord(m[0])]) for m in _STRANGE.finditer(now.text)])
 
 
-def _spells_digits(small: str) -> bool:
-    """Whether the text has as many digit names as the shortest identifier (an address such as 1.1.1.1) has digits."""
-    words = small.replace(",", " ").replace("-", " ").split()
-    return not _DIGITS.keys().isdisjoint(words) and sum(map(_DIGITS.__contains__, words)) >= 4
-
-
 def _spelled(now: Rewritten) -> None:
     edits = []
     for run in _SPELLED.finditer(now.text):
@@ -239,7 +233,7 @@ def find(text: str | None) -> list[tuple[int, int, int, bool]]:
     found = [(*span, True) for span in base]
     strange = not text.isascii() and _STRANGE.search(text)
     small = text.lower()
-    spelled = _spells_digits(small)
+    spelled = _SPELLED.search(text)
     hidden = any(mark in small for mark in _MARKS) and (_HIDDEN.search(text) or _NUMBER_DOT.search(text))
     if strange or spelled or hidden:
         now = Rewritten(text)

@@ -84,6 +84,13 @@ def test_disguised_dots_between_digits(hidden):
     assert pii.redact(text) == "see <IP>, ok"
 
 
+@pytest.mark.parametrize("kind,hidden", [("phone", "+49 one seven six 1234567"), ("card", "4111 1111 1111 11 one one"), ("phone", "+49 (one seven) 61234567")])
+def test_digits_spelled_in_part(kind, hidden):
+    """A span depends on its own words alone."""
+    for text in (f"call {hidden}; ok", f"call {hidden}; a [dot] b", f"\u0430 {hidden}; ok"):
+        assert (pii.KINDS.index(kind), text.index(hidden), text.index(hidden) + len(hidden), False) in pii.find(text)
+
+
 def test_redaction_and_long_runs():
     assert pii.redact("a x@y.zz b") == "a <EMAIL> b" and pii.redact(None) is None and pii.redact("") == ""
     assert pii.find("a" * 300_000) == [] and len(pii.find("a@b.c " * 20_000)) == 20_000
