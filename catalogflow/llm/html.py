@@ -3,7 +3,9 @@
 Every element gets a density: its characters per tag, lowered by the share of its text that is
 links. The densities of an element's children add up to its density sum. The element with the
 largest sum is the core of the page; the smallest density on the path from it to the body is the
-threshold above which text belongs to the content.
+threshold above which text belongs to the content. On a page without article or main only elements beside
+the core that hold nothing but links are held against it; other text there, also text that stands directly in
+an element around the core, is content.
 """
 
 from __future__ import annotations
@@ -175,6 +177,36 @@ def _density(node: Node, share: float) -> float:
     return node.chars / tags * math.log(max(worth, 1.0)) / math.log(max(base, math.e))
 
 
+def _lines(node: Node, inside: set[int]) -> list[Node]:
+    """Children of an element outside the chrome; text and inline elements between blocks make one node."""
+    out: list[Node] = []
+    line = None
+    for part in node.parts:
+        if isinstance(part, Node) and (id(part) in inside or part.name in _BLOCK):
+            line = None
+            if not part.chrome:
+                out.append(part)
+        elif isinstance(part, str) or not part.chrome:
+            if line is None:
+                out.append(line := Node("span", node))
+            line.parts.append(part)
+            line.chars += len(part.strip()) if isinstance(part, str) else part.chars
+    return out
+
+
+def _has_words(node: Node) -> bool:
+    """Whether there are words outside links and chrome."""
+    waiting: list = [node]
+    while waiting:
+        part = waiting.pop()
+        if isinstance(part, str):
+            if re.search(r"\w", _html.unescape(part)):
+                return True
+        elif not part.chrome and part.name != "a":
+            waiting += part.parts
+    return False
+
+
 def select(root: Node) -> list[Node]:
     """The subtrees that make up the main text, in page order."""
     nodes = measure(root)
@@ -188,6 +220,9 @@ def select(root: Node) -> list[Node]:
     for node in path:
         if node.name in ("article", "main"):
             core = node
+    marked = core.name in ("article", "main")
+    while not marked and core.name not in _BLOCK and core.parent is not None:
+        core = core.parent  # a core amid a line of text has the whole line
     threshold = min((n.density for n in path if n.name not in ("html",)), default=0.0)
     chosen, waiting = [], [nodes[0]]
     inside = set(map(id, path))
@@ -196,8 +231,11 @@ def select(root: Node) -> list[Node]:
         if node is core:
             chosen.append(node)
         elif id(node) in inside:
-            # beside the core: children as dense as the thinnest element around it
-            waiting += [x for x in reversed(node.parts) if isinstance(x, Node) and not x.chrome and (id(x) in inside or x.chars and x.density >= threshold and x.name not in ("a", "ul", "ol", "header"))]
+            if marked:
+                # beside the core: children as dense as the thinnest element around it
+                waiting += [x for x in reversed(node.parts) if isinstance(x, Node) and not x.chrome and (id(x) in inside or x.chars and x.density >= threshold and x.name not in ("a", "ul", "ol", "header"))]
+            else:
+                waiting += [x for x in reversed(_lines(node, inside)) if id(x) in inside or _has_words(x) or x.chars and x.density >= threshold]
         else:
             chosen.append(node)
     return chosen

@@ -128,6 +128,18 @@ def test_main_text():
     assert html.main_text("<div>" * 5000 + "deep") == "deep"
 
 
+LONG = "a sentence with quite a few words in it, " * 8
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><div id=content>Intro text<div><p>{LONG}</p><p>{LONG}</p></div><ul><li>short item</li><li>item <a href=x>two</a></li></ul></div></body>", f"Intro text {LONG} {LONG} short item item two"),
+    (f"<body><div><div>By <b>A</b>nn, <a href=x>home</a>.<div><p>{LONG}</p><p>{LONG}</p></div>After &amp; all<ol><li>{LONG}</ol></div></div></body>", f"By Ann, home. {LONG} {LONG} After & all {LONG}"),
+    (f"<body><div><a href=x>Home</a> | <a href=y>News</a></div><div><a href=x>Up</a> &nbsp;|<div><p>{LONG}</p><p>{LONG}</p></div><ul><li><a href=x>One</a><li><a href=y>Two</a></ul></div><div class=footer>no</div></body>", f"{LONG} {LONG}"),
+    (f"<body><div class=menu>no</div>text in the body<div><div>{LONG}</div><div>{LONG}</div></div></body>", f"text in the body {LONG} {LONG}")])
+def test_main_text_of_div_pages(page, want):
+    assert html.main_text(page) == " ".join(want.split())
+
+
 def test_open_sequences():
     rng = random.Random(4)
     for most in (1, 3, 50):
