@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogflow.llm.attribution import section_tokens
+from catalogflow.llm.centroids import cluster_vectors
 from catalogflow.llm.common import table
 from catalogflow.llm.decontaminate import find_items
 from catalogflow.llm.html import extract_main_text
 from catalogflow.llm.licences import licence_lines
+from catalogflow.llm.mixing import mix_sources
 from catalogflow.llm.near import link_near
 from catalogflow.llm.packing import pack_documents
 from catalogflow.llm.pii import KINDS, pii_spans
 from catalogflow.llm.quality import judge
+from catalogflow.llm.ranked import rank_documents
 from catalogflow.llm.toxicity import in_fold, toxicity_score, train
 from catalogflow.llm.warc import round_trip
 
@@ -74,9 +77,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op4_decontamination, op5_ngram_jaccard, op6_warc, op7_html, op8_licences, op9_packing, op10_token_counts)
-}
+    f.__name__: f for f in (op1_pii, op2_toxicity, op3_quality, op4_decontamination, op5_ngram_jaccard, op6_warc, op7_html, op8_licences, op9_packing, op10_token_counts,
+                             op11_mixing, op12_centroids, op13_ranked)
+}
 
 # The article element of the test pages, its tags and references resolved by text functions.
 _OP7_SQL = r"""WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html,''), '(?s)<article>(.*?)</article>', 1) AS x FROM pages),
@@ -99,4 +115,37 @@ _OP8_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p
  WHEN 'This work is licensed under the GNU General Public License, version 3.' THEN 'GPL' WHEN 'Licensed under CC BY-NC 4.0.' THEN 'CC-BY-NC' WHEN 'All rights reserved.' THEN 'proprietary' END AS family, true AS confirmed
  FROM l WHERE regexp_matches(p, '^(Released under the MIT License|Licensed under the Apache License, Version 2.0|This work is licensed under the GNU General Public License, version 3|Licensed under CC BY-NC 4.0|All rights reserved)[.]$')"""
 
-ORACLES: dict[str, str] = {"op4_decontamination": _OP4_SQL, "op7_html": _OP7_SQL, "op8_licences": _OP8_SQL}
+_DISTANCE_SQL = "CAST(list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1]-p[2])*(p[1]-p[2]))) AS BIGINT)"
+
+
+def _op12_sql(rounds: int = 3) -> str:
+    """Each round over the whole tables: a distance for every vector and centroid, then floors of exact means."""
+    steps = [
+        """k AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64*CAST(x AS DOUBLE)) AS BIGINT)) AS v
+ FROM embeddings WHERE len(embedding)=64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))=64)""",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:'||vec_id)) - 1 AS c, v FROM k ORDER BY sha256('1:'||vec_id) LIMIT 16)",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"d{i} AS (SELECT v.r, c.c, {_DISTANCE_SQL} AS d FROM k v CROSS JOIN c{i} c)")
+        steps.append(f"a{i} AS MATERIALIZED (SELECT r, min(d) AS d, CAST(arg_min(c, d*16+c) AS INTEGER) AS c FROM d{i} GROUP BY r)")
+        steps.append(f"s{i} AS (SELECT c, dim, sum(x) AS s, count(*) AS n FROM (SELECT a.c, unnest(k.v) AS x, unnest(range(64)) AS dim FROM a{i} a JOIN k USING (r)) GROUP BY 1, 2)")
+        steps.append(f"m{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY dim) AS v FROM s{i} GROUP BY c)")
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m ON m.c = c.c)")
+    return f"""WITH {", ".join(steps)}
+ SELECT vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+ sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM a{rounds} a JOIN k USING (r) JOIN c{rounds} c ON c.c = a.c"""
+
+
+_TERMS_SQL = r"regexp_extract_all(translate(coalesce(text,''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP13_SQL = f"""WITH d AS MATERIALIZED (SELECT doc_id, {_TERMS_SQL} AS w FROM documents),
+ i AS MATERIALIZED (SELECT DISTINCT item_id, unnest({_TERMS_SQL}) AS t FROM benchmark),
+ a AS MATERIALIZED (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+ o AS MATERIALIZED (SELECT doc_id, m, t, count(*) AS tf FROM (SELECT doc_id, 50 + (50*len(w)*a.n) // a.l AS m, unnest(w) AS t FROM d, a WHERE len(w) > 0) GROUP BY ALL),
+ w AS MATERIALIZED (SELECT t, CAST(floor(1000*ln((2.0*(SELECT n FROM a)+2)/(2.0*count(*)+1))) AS BIGINT) AS w FROM o GROUP BY t),
+ s AS (SELECT item_id, doc_id, CAST(sum(w.w*((1000000000*tf)//(1000*tf+20*m))) AS BIGINT) AS score FROM o JOIN w USING (t) JOIN i USING (t) GROUP BY 1, 2),
+ r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+ SELECT * FROM r WHERE rank <= 50"""
+
+ORACLES: dict[str, str] = {
+    "op4_decontamination": _OP4_SQL, "op7_html": _OP7_SQL, "op8_licences": _OP8_SQL, "op12_centroids": _op12_sql(), "op13_ranked": _OP13_SQL,
+}
