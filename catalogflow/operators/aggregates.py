@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from catalogflow import rules
 from catalogflow.functions.keys import _col, literal_map, nonblank, slug_category, text
-from catalogflow.operators.ordering import first_occurrence, last_occurrence, top_per_group
+from catalogflow.operators.ordering import first_occurrence, global_rank, last_occurrence, top_per_group
+from catalogflow.session import cut
 
 # Parts of one category name from which a unit stands on its own, or is merged.
 DIRECT_MIN, MERGE_MIN = 5, 2
@@ -69,23 +70,50 @@ def fine_units(parts: DataFrame, review: DataFrame | None = None) -> tuple[DataF
 
 def _unit_slugs(units: DataFrame) -> DataFrame:
     """Slug of a unit: its name; name and level-1 slug when an earlier unit has that slug; else the name with the
-    number of slugs so far and one.
+    number of different slugs so far and one, whether or not that one is free.
 
-    Each slug depends on all before it in the order of (level-1 slug, name), so the units are walked in one
-    row. There is one per category name and level-1 slug: their number is that of the taxonomy, not of the parts.
+    Units come in the order of (level-1 slug, name). Every unit claims its first choice; a claim loses when an earlier
+    unit claims the same slug, and the loser goes on to its next choice. A slug that an earlier unit claims is
+    never free again, only handed to a still earlier one, so claims that stand when none loses are those of a one-by-one run.
+    The number is the unit's rank less the repeated slugs before it. Those are known only when the slugs are, so the claims are
+    settled again until the repeated slugs no longer change; each time at least the next one in order is right.
     """
-    keys = units.select("l1", "cat", slug_category("cat").alias("s"), slug_category(F.concat_ws(" ", "cat", "l1")).alias("b"))
-    listed = keys.agg(F.array_sort(F.collect_list(F.struct("l1", "cat", "s", "b"))).alias("all"))
-    start = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, u):
-        numbered = F.concat_ws("-", u["s"], (F.size(acc["seen"]) + 1).cast("string"))
-        slug = F.when(~F.array_contains(acc["seen"], u["s"]), u["s"]).when(~F.array_contains(acc["seen"], u["b"]), u["b"]).otherwise(numbered)
-        return F.transform(F.array(slug), lambda x: F.struct(F.array_union(acc["seen"], F.array(x)).alias("seen"), F.array_append(acc["out"], x).alias("out")))[0]
-
-    walked = listed.select("all", F.aggregate("all", start, step, lambda acc: acc["out"]).alias("slugs"))
-    slugs = walked.select(F.explode(F.arrays_zip("all", "slugs")).alias("z")).select(F.col("z.all.l1").alias("_l"), F.col("z.all.cat").alias("_c"), F.col("z.slugs").alias("slug"))
-    return units.join(slugs, (F.col("l1") == F.col("_l")) & (F.col("cat") == F.col("_c"))).drop("_l", "_c")
+    ranked = cut(global_rank(units, ["l1", "cat"], "_rank").withColumns({
+        "_s": F.coalesce(slug_category("cat"), F.lit("")), "_b": F.coalesce(slug_category(F.concat_ws(" ", "cat", "l1")), F.lit("")), "_repeated": F.lit(0)}))
+    while True:
+        settled = _claimed_slugs(_with_number(ranked))
+        marked = cut(settled.withColumn("_again", (F.col("_rank") != F.col("_holder")).cast("int")))
+        if marked.where("_again <> _repeated").isEmpty():
+            return marked.withColumnRenamed("_slug", "slug").drop("_rank", "_s", "_b", "_number", "_choice", "_holder", "_repeated", "_again")
+        ranked = marked.withColumn("_repeated", F.col("_again")).drop("_number", "_choice", "_slug", "_holder", "_again")
+
+
+_STRETCH = 4096  # ranks whose repeated slugs are counted in one task
+
+
+def _with_number(ranked: DataFrame) -> DataFrame:
+    """``_number``: the rank less the rows before it with ``_repeated``; a running sum in stretches of ranks and one over the stretches."""
+    stretch = F.floor(F.col("_rank") / _STRETCH)
+    before = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for thousands of units
+    offsets = ranked.groupBy(stretch.alias("_at")).agg(F.sum("_repeated").alias("_n")).select("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    own = Window.partitionBy("_at").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    joined = ranked.withColumn("_at", stretch).join(offsets, "_at")
+    return joined.withColumn("_number", F.col("_rank") - F.col("_off") - F.coalesce(F.sum("_repeated").over(own), F.lit(0))).drop("_at", "_off")
+
+
+def _claimed_slugs(units: DataFrame) -> DataFrame:
+    """``_slug`` and ``_holder``, the rank of the first unit with that slug, when no claim loses any more."""
+    state = cut(units.withColumn("_choice", F.lit(1)))
+    while True:
+        name = F.when(F.col("_choice") == 1, F.col("_s")).when(F.col("_choice") == 2, F.col("_b")).otherwise(F.concat_ws("-", "_s", F.col("_number").cast("string")))
+        claims = state.withColumn("_slug", name)
+        first = claims.groupBy("_slug").agg(F.min("_rank").alias("_holder"))
+        met = cut(claims.join(first, "_slug"))
+        lost = (F.col("_choice") < 3) & (F.col("_holder") < F.col("_rank"))
+        if met.where(lost).isEmpty():
+            return met
+        state = met.withColumn("_choice", F.col("_choice") + lost.cast("int")).drop("_slug", "_holder")
 
 
 def final_map(parts: DataFrame, mapping: DataFrame, mpn: str = "mpn", sr: str = "sr", ord: str = "ord") -> DataFrame:

@@ -1,10 +1,12 @@
 """Slugs against a sequential run written out here, on random bases that collide on purpose."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalogflow.operators import aggregates
 from catalogflow.operators.identity import assign_slugs, assign_stable_slugs
 from catalogflow.operators.ordering import skip_taken
 
@@ -67,3 +69,33 @@ def test_base_with_many_numbered_ones(spark):
     bases = ["a"] * 120 + [f"a-{i}" for i in range(2, 200, 3)] + ["a"] * 120
     df = spark.createDataFrame(list(enumerate(bases)), "ord long, base string").repartition(5)
     assert [r["url_slug"] for r in assign_slugs(df, "base").orderBy("ord").collect()] == sequential(bases)
+
+
+def one_by_one(units):
+    """The rule of A10 as it is stated, on sorted (l1, cat) pairs."""
+    seen, out = set(), {}
+    slug = lambda x: re.sub("[^a-z0-9]+", "-", x.lower()).strip("-") or "sub"
+    for l1, cat in sorted(units):
+        s = slug(cat)
+        if s in seen:
+            both = slug(f"{cat} {l1}")
+            s = both if both not in seen else f"{s}-{len(seen) + 1}"
+        seen.add(s)
+        out[l1, cat] = s
+    return out
+
+
+@pytest.mark.parametrize("seed,n", [(0, 5000), (3, 40)])
+def test_unit_slugs(spark, seed, n):
+    """Names that collide plain, combined with their level-1 slug, and with numbered ones."""
+    rng = random.Random(seed)
+    tail = [" b", "-b", "!", " 3", " 7", " 12", " c", " b b", "", ".", "?"]
+    pool = lambda: rng.choice("XYZ") + rng.choice(tail) + rng.choice(tail) + (f" {rng.randrange(n)}" if rng.random() < 0.5 else "")
+    units = {(rng.choice("abc") + rng.choice(["", "", "1"]), pool()) for _ in range(2 * n)}
+    units = set(sorted(units)[:n])
+    df = spark.createDataFrame(sorted(units, key=lambda u: rng.random()), "l1 string, cat string").repartition(4)
+    got = {(r["l1"], r["cat"]): r["slug"] for r in aggregates._unit_slugs(df).collect()}
+    want = one_by_one(units)
+    assert got == want
+    # repeated slugs occur, so the running number differs from the rank
+    assert n < 5000 or len(set(want.values())) < len(want)
