@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogflow import bindings as b
 from catalogflow.functions import attrs, classify, keys, text
-from catalogflow.operators import gates, identity, merge, ordering
+from catalogflow.operators import gates, identity, json_tree, merge, ordering
 from catalogflow.plans import assets, release
 from catalogflow.queries.registry import query
 
@@ -65,7 +65,7 @@ def commercial_keys(spark, sf):
     p = b.parts(spark, sf).withColumn("j", body)
     split = attrs.split_volatile(F.create_map(F.lit("a"), n, F.lit("stockNumber"), n))
     deep = F.col("deep")
-    return attrs.isolate_keys_in(p, "j", "deep").select("ord", F.array_join(attrs.leaked_keys("j"), ",").alias("leaked"), F.array_join(F.transform(deep["isolated"], lambda x: x["path"]), ",").alias("isolated"),
+    return json_tree.isolate_keys_in(p, "j", "deep").select("ord", F.array_join(attrs.leaked_keys("j"), ",").alias("leaked"), F.array_join(F.transform(deep["isolated"], lambda x: x["path"]), ",").alias("isolated"),
                     F.array_join(F.map_keys(split["stable"]), ",").alias("stable"), F.array_join(F.map_keys(split["volatile"]), ",").alias("volatile"))
 
 

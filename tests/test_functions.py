@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogflow.functions import attrs, classify, keys, markup, text, units
-from catalogflow.operators import gates
+from catalogflow.operators import gates, json_tree
 
 
 def column(spark, values, *exprs):
@@ -124,7 +124,7 @@ def test_alternates_attributes(spark):
     ((m,),) = column(spark, ['{"Voltage":"5"}'], attrs.merge_attributes(attrs.json_map("s"), F.create_map(F.lit("voltage"), F.lit("9"), F.lit("Pitch"), F.lit("1"))))
     assert m == {"Voltage": "5", "Pitch": "1"}
     assert column(spark, ['{"a":{"cost":1}}', '{"a":1}'], attrs.leaked_keys("s")) == [(["cost"],), ([],)]
-    ((d,),) = column(spark, ['{"a":{"costPrice":3,"b":1}}'], attrs.isolate_keys_deep("s"))
+    d = json_tree.isolate_keys_in(spark.createDataFrame([('{"a":{"costPrice":3,"b":1}}',)], "s string"), "s", "d").first()["d"]
     assert json.loads(d["public"]) == {"a": {"b": 1}} and [(x["path"], x["value"]) for x in d["isolated"]] == [("a.costPrice", "3")]
     ((t,),) = column(spark, ['{"vdss_v":"30","id_a":"5.8","RDS(on)":"28mΩ;30","Package":"SOT-23"}'], attrs.top_attributes(attrs.json_map("s"), F.lit("MOSFET")))
     assert t == ["30 V", "5.8 A", "28mΩ"]
