@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catalogflow.session import shared_dir
 
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Set while a table is written: shuffle files go when the write ends, and batches for Python are small, since the JVM and the Python
+# worker of each task hold one of them several times over.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 SLICE = 256  # rows that are Python objects at the same time
 
 
@@ -31,12 +33,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     Spark is told to remove them then, and a job of many steps holds those of one step at a time.
     """
     path, conf = folder(df.sparkSession, purpose), df.sparkSession.conf
-    before = conf.get(_CLEAN_UP)
-    conf.set(_CLEAN_UP, "true")
+    before = {key: conf.get(key) for key in _WRITING}
+    for key, value in _WRITING.items():
+        conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        conf.set(_CLEAN_UP, before)
+        for key, value in before.items():
+            conf.set(key, value)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,8 +9,8 @@ sets form a class, classes with equal prefix and size a group, and the index hol
    array of fixed size and dropped. Different sets of one group share their whole prefix.
 3. Of the groups that share a shingle, first only one is compared with all others; this joins most
    of a large set of near copies without forming its pairs.
-4. The rest is exact: of the classes that share a shingle but are not yet joined, every pair that passes
-   the filters of size, position and parity bits is verified on the whole sets.
+4. The rest is exact: pairs of groups that share a shingle and hold classes not yet joined pass the filters of size
+   and position as groups, are expanded to their classes, and every pair is checked by parity bits and on the whole sets.
 
 Shingles are compared by hashes of 64 bits.
 """
@@ -37,9 +37,10 @@ _COUNTERS = 1 << 19  # of the count sketch
 _BLOCK = 1 << 12  # counters, or bytes of a bit array, in a row while they are added up
 _MOST_BITS = 1 << 30
 _NO_ID = -(1 << 63)  # stands for a null id
+_HUB = 256  # pairs of one class that a task looks at together
 
-_SETS = "doc_id bigint, n int, set binary, key bigint, bits binary, group bigint, prefix array<bigint>"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set", pa.binary()), ("key", pa.int64()), ("bits", pa.binary()), ("group", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+_SETS = "doc_id bigint, n int, set binary, key bigint, row bigint, bits binary, group bigint, prefix array<bigint>"
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set", pa.binary()), ("key", pa.int64()), ("row", pa.int64()), ("bits", pa.binary()), ("group", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 _BLOCKS = "block int, data binary"
 _BLOCKS_ARROW = pa.schema([("block", pa.int32()), ("data", pa.binary())])
 
@@ -146,20 +147,25 @@ def _key(doc: int, digest: bytes) -> int:
     return _long(doc.to_bytes(8, "little", signed=True) + digest)
 
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, text, row): the rows with a hash of id and text, by which a row can be found again without its shingles."""
+    keyed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text).alias("text"))
+    return keyed.withColumn("row", F.xxhash64("id", "text"))
+
+
 def document_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Per row: the size of its set, digests of the set, of id and set, and of the prefix, the set's parity bits, and the prefix."""
+    """Per row: the size of its set, digests of the set, of id and set, of the row and of the prefix, the set's parity bits, and the prefix."""
     counts = shingle_counts(docs, text)
 
     def sets(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for doc, words in rows:
+        for doc, words, row in rows:
             h = shingles(words)
             n = len(h)
             first = h[np.lexsort((h, counts[(h & np.uint64(_COUNTERS - 1)).astype(np.int64)]))[: _prefix_size(n) if n else 0]]
             digest = _digest(h)
-            yield doc, n, digest, _key(doc, digest), _parity(h), _long(n.to_bytes(8, "little") + first.tobytes()), first.view(np.int64)
+            yield doc, n, digest, _key(doc, digest), row, _parity(h), _long(n.to_bytes(8, "little") + first.tobytes()), first.view(np.int64)
 
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
-    return stored(by_batch(docs.select(key, text), _SETS, _SETS_ARROW, sets), "sets")
+    return stored(by_batch(_keyed(docs, doc_id, text), _SETS, _SETS_ARROW, sets), "sets")
 
 
 def _bit_array(rows: DataFrame, key) -> np.ndarray:
@@ -224,39 +230,47 @@ def _side(entries: DataFrame, name: str) -> DataFrame:
 class _Verifier:
     """Checks pairs of classes, by their parity bits and then on their whole sets.
 
-    The whole sets of the classes that pass the first test are worked out again from the texts. Which rows
-    are wanted is told by a bit array where the texts are, so neither texts nor sets of others are shuffled.
+    The whole sets of the classes that pass the first test are worked out again from the texts of their rows, which are few and
+    found by a semi-join on the hash of the row, so texts of others go neither through Python nor, while Spark can
+    broadcast the wanted hashes, through a shuffle.
     """
 
     def __init__(self, docs: DataFrame, classes: DataFrame, doc_id: str, text: str):
-        self._docs = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)), text)
+        self._docs = _keyed(docs, doc_id, text)
+        self._rows = classes.select("class", "row")
         self._bits = classes.select("class", F.col("bits").alias("data"))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar."""
         near = stored(_with_data(pairs, self._bits).where(_parity_passes("a_data", "b_data")).select("a", "b"), "near")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         if near.isEmpty():
             return near
-        bits = _bit_array(wanted, lambda c: c)
-        size = 8 * len(bits)
+        ends = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        wanted = stored(ends.join(self._rows, "class").select("row").distinct(), "wanted")
 
         def sets(rows: Iterator[tuple]) -> Iterator[tuple]:
             for id_, words in rows:
                 h = shingles(words)
-                class_ = _key(id_, _digest(h))
-                at = class_ & (size - 1)
-                if bits[at >> 3] >> (at & 7) & 1:
-                    yield class_, h.tobytes()
+                yield _key(id_, _digest(h)), h.view(np.int64)
 
-        arrow = pa.schema([("class", pa.int64()), ("data", pa.binary())])
-        whole = stored(by_batch(self._docs, "class bigint, data binary", arrow, sets), "whole")
-        return stored(_with_data(near, whole).where(_similar("a_data", "b_data")).select("a", "b").distinct(), "similar")
+        arrow = pa.schema([("class", pa.int64()), ("data", pa.list_(pa.int64()))])
+        texts = self._docs.join(wanted, "row", "left_semi").select("id", "text")
+        whole = stored(by_batch(texts, "class bigint, data array<bigint>", arrow, sets), "whole").dropDuplicates(["class"])
+        both = F.size(F.array_intersect("a_data", "b_data"))
+        similar = SHARE[1] * both >= SHARE[0] * (F.size("a_data") + F.size("b_data") - both)
+        return stored(_with_data(near, whole).where(similar).select("a", "b").distinct(), "similar")
 
 
 def _with_data(pairs: DataFrame, of: DataFrame) -> DataFrame:
-    for end in ("b", "a"):
-        pairs = pairs.join(of.select(F.col("class").alias(end), F.col("data").alias(f"{end}_data")), end)
+    """The pairs with the data of both ends. The data of an end with very many pairs is dealt to several tasks, and so are its pairs."""
+    for end, other in (("b", "a"), ("a", "b")):
+        pairs = stored(pairs, "pairs") if end == "b" else pairs
+        hubs = pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / _HUB).alias("_parts")).where("_parts > 1")
+        hubs = stored(hubs, "hubs")
+        split = pairs.join(hubs, end, "left").withColumn("_part", F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1)))).drop("_parts")
+        held = of.select(F.col("class").alias(end), F.col("data").alias(f"{end}_data")).join(hubs, end, "left")
+        spread = held.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+        pairs = split.join(spread, [end, "_part"]).drop("_part")
     return pairs
 
 
@@ -284,20 +298,11 @@ def _parity_passes(x: pa.Array, y: pa.Array) -> pa.Array:
     return pa.array([_parity_bound(a, b) for a, b in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
 
 
-@F.arrow_udf(T.BooleanType())
-def _similar(x: pa.Array, y: pa.Array) -> pa.Array:
-    out = []
-    for a, b in zip(x, y):
-        a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        out.append(SHARE[1] * both >= SHARE[0] * (len(a) + len(b) - both))
-    return pa.array(out, pa.bool_())
-
-
 def _members(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(set, n, group, class, doc, bits): the classes, each named by the key of its smallest document; and (group, first): a class of each group."""
+    """(set, n, group, class, doc, row, bits): the classes, each named by the key of its smallest document; and (group, first): a class of each group."""
     of = sets.where("n > 0").groupBy("set")
-    classes = stored(of.agg(F.min_by("key", "doc_id").alias("class"), F.min("doc_id").alias("doc"), F.min("n").alias("n"), F.min("group").alias("group"), F.first("bits").alias("bits")), "classes")
+    least = F.min_by(F.struct("key", "row"), F.struct("doc_id", "row")).alias("least")
+    classes = stored(of.agg(least, F.min("doc_id").alias("doc"), F.min("n").alias("n"), F.min("group").alias("group"), F.first("bits").alias("bits")).select("set", "n", "group", F.col("least.key").alias("class"), "doc", F.col("least.row").alias("row"), "bits"), "classes")
     return classes, classes.groupBy("group").agg(F.min("class").alias("first"))
 
 
@@ -312,7 +317,7 @@ def _star(entries: DataFrame, key: str, by: Column) -> DataFrame:
 def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     """``classes`` with ``component``, of those that are linked and of the others."""
     joined = components(links)
-    linked = classes.drop("bits").join(joined.withColumnRenamed("node", "class"), "class", "left")
+    linked = classes.drop("bits", "row").join(joined.withColumnRenamed("node", "class"), "class", "left")
     return stored(linked.withColumn("component", F.coalesce("component", "class")), "labels")
 
 
@@ -323,19 +328,29 @@ def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(by_class.join(split, "h"), "apart")
 
 
-def _all_pairs(apart: DataFrame) -> DataFrame:
-    """Every pair of classes in different components that share a shingle and pass the filters.
+def _all_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every pair of classes in different components whose groups share a shingle and pass the filters.
 
-    Of each shingle the component with most classes is the rest; only classes outside it look
-    for partners, so the pairs inside a large component are not even visited.
+    Groups are paired, and only pairs that pass are expanded to their classes. Of each shingle the component that most
+    groups belong to as a whole is the rest; only groups with a class outside it look for partners, so the pairs inside a large
+    component are not even visited.
     """
-    sizes = apart.groupBy("h", "component").agg(F.count(F.lit(1)).alias("k"))
+    of_group = labels.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    marked = entries.join(of_group, "group")
+    split = marked.groupBy("h").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("h")
+    apart = stored(marked.join(split, "h"), "apart")
+    sizes = apart.where("low = high").groupBy("h", F.col("low").alias("component")).agg(F.count(F.lit(1)).alias("k"))
     rest = sizes.groupBy("h").agg(F.max_by("component", F.struct("k", "component")).alias("rest"))
-    marked = apart.join(rest, "h").withColumn("outside", F.col("component") != F.col("rest")).drop("rest")
-    seek, all_ = _side(marked.where("outside").drop("outside"), "a"), _side(marked, "b")
-    once = ~F.col("b_outside") | (F.col("a_class") < F.col("b_class"))
-    met = seek.join(all_, "h").where((F.col("a_component") != F.col("b_component")) & once & _may_link("a", "b"))
-    return met.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()
+    rows = apart.join(rest, "h", "left").withColumn("outside", ~((F.col("low") == F.col("high")) & F.col("low").eqNullSafe(F.col("rest")))).drop("rest")
+    seek, all_ = _side(rows.where("outside").drop("outside"), "a"), _side(rows, "b")
+    once = ~F.col("b_outside") | (F.col("a_group") <= F.col("b_group"))
+    differ = F.least("a_low", "b_low") < F.greatest("a_high", "b_high")
+    met = seek.join(all_, "h").where(differ & once & _may_link("a", "b")).select("a_group", "b_group").distinct()
+    groups = stored(met, "groups")
+    of = labels.select("group", "class", "component")
+    side = lambda name: of.select(*[F.col(c).alias(f"{name}_{c}") for c in of.columns])
+    pairs = groups.join(side("a"), "a_group").join(side("b"), "b_group").where("a_component <> b_component")
+    return pairs.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()
 
 
 def link_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -362,7 +377,7 @@ def link_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         fresh = tried.join(own.toDF("a", "ca"), "a").join(own.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
         links = links.unionByName(verify.links(fresh))
         labels = _labelled(classes, links)
-    links = links.unionByName(verify.links(_all_pairs(_apart(entries, labels))))
+    links = links.unionByName(verify.links(_all_pairs(entries, labels)))
     labels = _labelled(classes, links)
     smallest = labels.groupBy("component").agg(F.min("doc").alias("least"))
     named = stored(labels.join(smallest, "component").select("set", "least"), "labels")
