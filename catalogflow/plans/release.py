@@ -16,7 +16,7 @@ from catalogflow.operators.aggregates import table_fingerprint
 from catalogflow.operators.ordering import last_occurrence
 from catalogflow.schemas import MASTER_COLUMNS
 from catalogflow.session import cut
-from catalogflow.sinks.files import AppendResult, append_validated
+from catalogflow.sinks.files import AppendResult, Versions, append_problems, append_validated
 
 FINDING = ("gate", "level", "kind", "mpn", "message")
 # Columns an authorised correction of a released row may change.
@@ -221,5 +221,30 @@ def verify_release(written: DataFrame, planned: DataFrame, columns=("description
     return out.where("status <> 'equal'")
 
 
-def normalised(c) -> Column:
-    return normalize_text(c)
+def release_version(
+    versions: Versions, release: str, new: DataFrame, planned_fingerprint=None, columns=MASTER_COLUMNS, updated: DataFrame | None = None,
+    allow_updates: DataFrame | None = None,
+) -> AppendResult:
+    """B5 on a table with versions: append ``new`` to the current one, check, and only then make the result current.
+
+    A release that is in effect already changes nothing, so it can be repeated after a failure. Stops on a current table that is
+    not the one the plan was made from, on rows that an append may not have (K1s), and when the written version differs from
+    the planned one by fingerprint or content; the current version then stays. Another release that commits in between makes the commit
+    fail, not overwrite. ``Versions.rollback`` goes back.
+    """
+    if versions.released(release):
+        return AppendResult(True, ["already released"], versions.current().count(), None)
+    number, current = versions.number(), versions.current()
+    old = gates.project_master(current, columns) if current is not None else new.limit(0)
+    if planned_fingerprint is not None and table_fingerprint(old, columns).first() != planned_fingerprint:
+        return AppendResult(False, ["MASTER changed since the plan"], 0, None)
+    projected = (old if updated is None else updated).unionByName(new)
+    found = [f"{r['problem']}: {r['n']}" for r in append_problems(old, projected, new, columns, allow_updates).collect()]  # at most four rows
+    if found:
+        return AppendResult(False, found, 0, None)
+    version = versions.stage(projected)
+    written = versions.staged(version)
+    if table_fingerprint(projected, columns).first() != table_fingerprint(written, columns).first() or not verify_release(written, projected).isEmpty():
+        return AppendResult(False, ["written table differs from the plan"], 0, None)
+    versions.commit("apply", release, version, number)
+    return AppendResult(True, [], written.count(), version)

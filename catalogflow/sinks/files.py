@@ -6,10 +6,15 @@ earlier snapshots stay as they are, so going back is a matter of naming the earl
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import urlsplit
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,3 +161,103 @@ def write_plan(summary: DataFrame, findings: DataFrame, path: str) -> None:
     are rows of their own folder and never one array."""
     summary.write.mode("overwrite").json(f"{path}/summary")
     findings.write.mode("overwrite").json(f"{path}/findings")
+
+
+# ---- documents as files (B12) --------------------------------------------------------
+
+def write_documents(df: DataFrame, folder: str, name: str = "name", content: str = "content") -> DataFrame:
+    """(name, size) of the files written: tasks put each row's binary content below ``folder`` under its name.
+
+    A file gets its name when it is complete, so a task that runs again replaces its files and readers never see a part of one. The
+    folder has to be one that all executors reach; a batch of rows is in memory at a time, not a partition.
+    """
+    has_scheme = bool(urlsplit(folder).scheme)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(folder) if has_scheme else (fs.LocalFileSystem(), folder)
+        store.create_dir(base, recursive=True)
+        for batch in batches:
+            sizes = []
+            for key, data in zip(batch.column(0), batch.column(1)):
+                part = f"{base}/.{uuid.uuid4().hex}"
+                with store.open_output_stream(part) as out:
+                    out.write(data.as_buffer())
+                store.move(part, f"{base}/{key.as_py()}")
+                sizes.append(data.as_buffer().size)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["name", "size"])
+
+    rows = df.select(F.col(name).cast("string").alias("name"), F.coalesce(F.col(content), F.lit(b"")).cast("binary").alias("content"))
+    return rows.mapInArrow(write, "name string, size long")
+
+
+# ---- versions of a table (B5) --------------------------------------------------------
+
+class Versions:
+    """Snapshots of one table in a folder, and a log of commits that says which one is current.
+
+    A version is written to a folder of its own and becomes current by one small commit file, made only if no other has its
+    number. Whatever stops before that file is there leaves the earlier version current, and a folder without a commit is
+    never read. Going back is a commit too, so the log tells what was current when.
+    """
+
+    _LOG = "commit long, action string, release string, version string, rows long"
+
+    def __init__(self, spark: SparkSession, store: str):
+        self._spark, self._store = spark, store.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self._store).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def log(self) -> DataFrame:
+        """The commits, oldest first; one row for each release."""
+        folder = f"{self._store}/commits"
+        if not self._fs.exists(self._path(folder)):
+            return self._spark.createDataFrame([], self._LOG)
+        return self._spark.read.schema(self._LOG).json(folder).where("version IS NOT NULL").orderBy("commit")
+
+    def _last(self):
+        return self.log().orderBy(F.desc("commit")).first()
+
+    def current(self) -> DataFrame | None:
+        """The current rows; None before the first commit."""
+        last = self._last()
+        return None if last is None else self._spark.read.parquet(f"{self._store}/data/{last['version']}")
+
+    def stage(self, rows: DataFrame) -> str:
+        """Write ``rows`` as a version that is not current yet."""
+        version = uuid.uuid4().hex
+        rows.write.mode("errorifexists").parquet(f"{self._store}/data/{version}")
+        return version
+
+    def staged(self, version: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._store}/data/{version}")
+
+    def commit(self, action: str, release: str, version: str, after: int) -> int:
+        """Make ``version`` current as the commit after number ``after``; an error if that number is taken, and then nothing changes."""
+        entry = {"commit": after + 1, "action": action, "release": release, "version": version, "rows": self.staged(version).count()}
+        out = self._fs.create(self._path(f"{self._store}/commits/{after + 1:08d}.json"), False)
+        try:
+            out.write(bytearray(json.dumps(entry).encode()))
+        finally:
+            out.close()
+        return after + 1
+
+    def number(self) -> int:
+        """Number of the last commit, 0 before the first."""
+        last = self._last()
+        return 0 if last is None else last["commit"]
+
+    def released(self, release: str) -> bool:
+        """Whether a release is in effect: the last commit that names it applied it."""
+        last = self.log().where(F.col("release") == release).orderBy(F.desc("commit")).first()
+        return last is not None and last["action"] == "apply"
+
+    def rollback(self, release: str) -> int:
+        """Make the version before the last ``apply`` of ``release`` current again; nothing happens when the release is not in effect."""
+        if not self.released(release):
+            return self.number()
+        applied = self.log().where((F.col("release") == release) & (F.col("action") == "apply")).agg(F.max("commit")).first()[0]
+        before = self.log().where(F.col("commit") < applied).orderBy(F.desc("commit")).first()
+        if before is None:
+            raise ValueError(f"{release} is the first release")
+        return self.commit("rollback", release, before["version"], self.number())
