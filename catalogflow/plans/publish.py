@@ -36,6 +36,42 @@ def build_keys(
     return rows.join(dep, "slug", "left").withColumn("dependency_fp", F.coalesce("dependency_fp", F.lit("")))
 
 
+def places(pages: DataFrame, group: str, ord: str, slug: str = "slug") -> DataFrame:
+    """(slug, mpn, group, ord): what the related lists (J10) of a page set depend on; kept beside the fingerprints."""
+    return pages.select(F.col(slug).alias("slug"), F.col("mpn").alias("mpn"), F.col(group).alias("group"), F.col(ord).alias("ord"))
+
+
+def changed_groups(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Groups in which a page came, went, moved or was renamed, of two tables of ``places``."""
+    of = lambda d, sign: d.groupBy("slug", "mpn", "group", "ord").agg(F.sum(F.lit(sign)).alias("n"))
+    both = of(new, 1).unionByName(of(old, -1)).groupBy("slug", "mpn", "group", "ord").agg(F.sum("n").alias("n"))
+    return both.where("n <> 0").select("group").distinct()
+
+
+def updated_dependencies(new: DataFrame, old: DataFrame, recorded: DataFrame, k: int = 6) -> DataFrame:
+    """(slug, dependency_fp) of all pages in ``new``, equal to a ranking of all groups, with only changed ones ranked anew.
+
+    ``new``, ``old``: ``places``; ``recorded``: slug, dependency_fp. A slug in several groups shows the list of the group that starts first, so the
+    groups that share a slug with a changed one are ranked with them.
+    """
+    touched = cut(changed_groups(new, old))
+    in_touched = new.join(touched, new["group"].eqNullSafe(touched["group"]), "left_semi")
+    slugs = cut(in_touched.select("slug").distinct())
+    shared = new.join(slugs, "slug", "left_semi").select(F.col("group").alias("_g")).distinct()
+    pool = new.join(shared, F.col("group").eqNullSafe(F.col("_g")), "left_semi")
+    lists = identity.related_neighbours(pool, "group", "slug", "ord", k)
+    fresh = aggregates.group_fingerprint(lists.join(slugs, "slug", "left_semi"), ["slug"], ["neighbour_mpn", "neighbour"], "rank").withColumnRenamed("fingerprint", "dependency_fp")
+    again = slugs.join(fresh, "slug", "left").select("slug", F.coalesce("dependency_fp", F.lit("")).alias("dependency_fp"))
+    kept = new.select("slug").distinct().join(slugs, "slug", "left_anti").join(recorded.select("slug", "dependency_fp"), "slug")
+    return again.unionByName(kept.select("slug", "dependency_fp"))
+
+
+def incremental_keys(pages: DataFrame, recorded: DataFrame, recorded_places: DataFrame, data_columns: Sequence[str], group: str, ord: str, k: int = 6, **versions: str) -> DataFrame:
+    """B6 keys of ``pages`` as ``build_keys`` gives them with the related lists of all groups, from what was recorded and the changes since."""
+    dep = updated_dependencies(places(pages, group, ord), recorded_places, recorded, k)
+    return build_keys(pages, data_columns, **versions).drop("dependency_fp").join(dep, "slug")
+
+
 def change_plan(desired: DataFrame, recorded: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """CREATE, UPDATE or SKIP per page, and for updates direct or dependency-induced.
 

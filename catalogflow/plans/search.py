@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogflow.functions.keys import acronyms, text
 from catalogflow.operators.ordering import top_per_group
+from catalogflow.session import cut
 
 # Order of result types, and results shown per type.
 TYPE_RANK = {"PART": 0, "MANUFACTURER": 1, "SUBCATEGORY": 2, "CATEGORY": 3}
@@ -36,6 +37,37 @@ def _grams(c: Column, n: int) -> Column:
         F.array().cast("array<string>"))
 
 
+_FIELDS = ["entry_id", "type", "label", "url", "names"]
+
+
+def _named(entries: DataFrame) -> DataFrame:
+    return entries.withColumn("names", F.concat(F.array("label"), F.coalesce("aliases", F.array().cast("array<string>"))))
+
+
+def _pieces(queries: DataFrame) -> DataFrame:
+    """(q, g): the runs of three characters of each query, or the query itself when shorter."""
+    q = queries.select(F.lower(text("query")).alias("q")).where("q <> ''").distinct()
+    return q.select("q", F.explode(F.when(F.length("q") >= GRAM, F.array_distinct(_grams(F.col("q"), GRAM))).otherwise(F.array("q"))).alias("g"))
+
+
+def _entry_grams() -> Column:
+    return F.array_distinct(F.flatten(F.transform("names", lambda x: F.concat(*[_grams(x, n) for n in (1, 2, GRAM)]))))
+
+
+def _heads() -> Column:
+    """Beginnings of the acronyms of an entry's names."""
+    return F.array_distinct(F.flatten(F.transform("names", lambda x: F.flatten(F.transform(
+        F.filter(acronyms(x), lambda a: a != ""), lambda a: F.transform(F.sequence(F.lit(1), F.length(a)), lambda i: a.substr(F.lit(1), i)))))))
+
+
+def _scored(by_text: DataFrame, by_acronym: DataFrame) -> DataFrame:
+    """The matches among the pairs of the two look-ups; no pair is in both."""
+    contains = F.exists("names", lambda x: F.lower(text(x)).contains(F.col("q")))
+    pairs = by_text.where(contains).select("q", *_FIELDS).unionByName(by_acronym.where(~contains).select("q", *_FIELDS))
+    scored = pairs.withColumn("score", best_score(F.col("q"), F.col("names")))
+    return scored.where("score is not null").select(F.col("q").alias("query"), "entry_id", "type", "label", "url", "score")
+
+
 def search(entries: DataFrame, queries: DataFrame) -> DataFrame:
     """(query, entry) pairs that match, with their score.
 
@@ -48,24 +80,58 @@ def search(entries: DataFrame, queries: DataFrame) -> DataFrame:
     names contain the query, the other those whose names do not. So nothing is shuffled by entry, and
     ``rank_matches`` cuts to the first few of a query inside the tasks.
     """
-    q = queries.select(F.lower(text("query")).alias("q")).where("q <> ''").distinct()
-    names = entries.withColumn("names", F.concat(F.array("label"), F.coalesce("aliases", F.array().cast("array<string>"))))
-    fields = ["entry_id", "type", "label", "url", "names"]
-
-    pieces = q.select("q", F.explode(F.when(F.length("q") >= GRAM, F.array_distinct(_grams(F.col("q"), GRAM))).otherwise(F.array("q"))).alias("g"))
-    entry_grams = F.array_distinct(F.flatten(F.transform("names", lambda x: F.concat(*[_grams(x, n) for n in (1, 2, GRAM)]))))
-    frequency = names.select(F.explode(entry_grams).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    names, pieces = _named(entries), _pieces(queries)
+    frequency = names.select(F.explode(_entry_grams()).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     rarest = pieces.join(frequency, "g", "left").groupBy("q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("x"))
-    by_text = names.select(*fields, F.explode(entry_grams).alias("g")).join(rarest.select("q", F.col("x.g").alias("g")), "g")
+    by_text = names.select(*_FIELDS, F.explode(_entry_grams()).alias("g")).join(rarest.select("q", F.col("x.g").alias("g")), "g")
+    by_acronym = names.select(*_FIELDS, F.explode(_heads()).alias("q")).join(pieces.select("q").distinct(), "q")
+    return _scored(by_text, by_acronym)
 
-    heads = F.array_distinct(F.flatten(F.transform("names", lambda x: F.flatten(F.transform(
-        F.filter(acronyms(x), lambda a: a != ""), lambda a: F.transform(F.sequence(F.lit(1), F.length(a)), lambda i: a.substr(F.lit(1), i)))))))
-    by_acronym = names.select(*fields, F.explode(heads).alias("q")).join(q, "q")
 
-    contains = F.exists("names", lambda x: F.lower(text(x)).contains(F.col("q")))
-    pairs = by_text.where(contains).select("q", *fields).unionByName(by_acronym.where(~contains).select("q", *fields))
-    scored = pairs.withColumn("score", best_score(F.col("q"), F.col("names")))
-    return scored.where("score is not null").select(F.col("q").alias("query"), "entry_id", "type", "label", "url", "score")
+# ---- search on a kept index (J13, B17) -----------------------------------------------------
+
+class SearchIndex:
+    """An inverted index in a folder, for many batches of queries over the same entries.
+
+    ``text`` has the entries by their runs of one to three characters, ``acronym`` by the beginnings of their acronyms, ``counts`` the entries of
+    each run; all are in folders by batch and by hash of the run, and sorted by run inside a file. Entries are added in batches: a
+    batch writes its own folders and touches no others, and writing it again replaces it. An entry belongs to one batch.
+    Queries read the counts of their own runs, then only the entries of the rarest run of each. ``buckets``, the number of folders of a part,
+    has to be the same for all who use an index.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 256):
+        self._spark, self._folder, self._buckets = spark, folder.rstrip("/"), buckets
+
+    def _bucket(self, c) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(self._buckets)).cast("int").alias("bucket")
+
+    def add(self, entries: DataFrame, batch: str) -> None:
+        names = _named(entries)
+        self._write(names.select(F.explode(_entry_grams()).alias("g"), *_FIELDS), "text", batch)
+        self._write(names.select(F.explode(_heads()).alias("g"), *_FIELDS), "acronym", batch)
+        self._write(names.select(F.explode(_entry_grams()).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n")), "counts", batch)
+
+    def _write(self, rows: DataFrame, part: str, batch: str) -> None:
+        # rebalance splits a bucket with a very common run over several files
+        dealt = rows.select("*", F.lit(batch).alias("batch"), self._bucket("g")).hint("rebalance", "bucket").sortWithinPartitions("bucket", "g")
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket").parquet(f"{self._folder}/{part}")
+
+    def rows(self, part: str, keys: DataFrame) -> DataFrame:
+        """Rows of a part of the index for the runs in ``keys`` (g); only folders with one of them are read."""
+        buckets = [r[0] for r in keys.select(self._bucket("g")).distinct().collect()]  # a fixed number at most
+        return self._spark.read.parquet(f"{self._folder}/{part}").where(F.col("bucket").isin(buckets)).drop("bucket", "batch")
+
+    def search(self, queries: DataFrame) -> DataFrame:
+        """J13 as ``search`` gives it over all entries of the index."""
+        pieces = cut(_pieces(queries))
+        asked = pieces.select("g").distinct()
+        frequency = self.rows("counts", asked).join(asked, "g").groupBy("g").agg(F.sum("n").alias("n"))
+        rarest = cut(pieces.join(frequency, "g", "left").groupBy("q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("x")).where("x.n > 0").select("q", "x.g"))
+        by_text = self.rows("text", rarest).join(rarest, "g")
+        whole = pieces.select(F.col("q").alias("g")).distinct()
+        by_acronym = self.rows("acronym", whole).join(whole, "g").withColumnRenamed("g", "q")
+        return _scored(by_text, by_acronym)
 
 
 def rank_matches(matches: DataFrame, per_type: int = PER_TYPE) -> DataFrame:
