@@ -71,6 +71,24 @@ def read_envelopes(spark: SparkSession, path: str, pattern: str = "C*.json") ->
     return _parsed(files.select("value", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("key")), ENVELOPE, "key")
 
 
+def scan_envelopes(spark: SparkSession, path: str, pattern: str = "C*.json", names: str | None = None, since=None) -> DataFrame:
+    """S4 in one pass: (key, modified, envelope columns, damaged); ``damaged`` is the text of a file that is no envelope, else null.
+
+    ``names`` (a pattern for file names) and ``since`` (a time) are conditions on file metadata, so files that fail them are dropped
+    while files are listed and never opened.
+    """
+    files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("_n"), F.col("_metadata.file_modification_time").alias("modified"))
+    if names is not None:
+        files = files.where(F.col("_n").rlike(names))
+    if since is not None:
+        files = files.where(F.col("modified") >= F.lit(since))
+    full = T.StructType([*ENVELOPE.fields, T.StructField("_corrupt", T.StringType())])
+    read = files.withColumn("_r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull() | (F.trim("value") == "")
+    columns = [F.when(~bad, F.col(f"_r.{f.name}")).alias(f.name) for f in ENVELOPE.fields]
+    return read.select(F.regexp_replace("_n", r"\.json$", "").alias("key"), "modified", *columns, F.when(bad, F.col("value")).alias("damaged"))
+
+
 def flatten_envelope(env: DataFrame) -> DataFrame:
     """envelope to a flat record with canonical and unmapped attributes."""
     mp, od = F.col("source_raw.main_product"), F.col("source_raw.overviewData")
@@ -137,6 +155,23 @@ def latest_snapshot(spark: SparkSession, path: str, pattern: str, schema: T.Stru
     return last_occurrence(rows.where(nonblank(key)), [F.upper(F.trim(key))], "_o").drop("_o")
 
 
+def newest_of_family(spark: SparkSession, path: str, date: str, schema: T.StructType, key: str = "mpn") -> DataFrame:
+    """S9 for snapshots of many files: of the CSV files below ``path`` those with the last date, last row per key (trim, upper) wins.
+
+    ``date`` is a pattern whose first group is the date in a file's path; files without one are left out. Names are listed first, without opening a file;
+    the scan then has a condition on the path, so only the files of that date are read. Rows come in the order of paths and of places in a file.
+    """
+    of = lambda c: F.regexp_extract(c, date, 1)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(path).select(of(F.col("path")).alias("d"))
+    newest = listed.where("d <> ''").agg(F.max("d")).first()[0]
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    rows = _csv(spark, path, enforceSchema="false", recursiveFileLookup="true", pathGlobFilter="*.csv").schema(schema).csv(path)
+    meta = F.col("_metadata")
+    placed = rows.select("*", meta["file_path"].alias("_f"), meta["file_block_start"].alias("_b"), F.monotonically_increasing_id().alias("_i"))
+    return last_occurrence(placed.where((of(F.col("_f")) == newest) & nonblank(key)).withColumn("_o", F.struct("_f", "_b", "_i")), [F.upper(F.trim(key))], "_o").drop("_o", "_f", "_b", "_i")
+
+
 def index_documents(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
     """Path, stem, id after ``__``, size and SHA-256 of every document below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)

@@ -19,7 +19,7 @@ def files_read(df):
     todo.append(plan)
     while todo:
         node = todo.pop()
-        if node.nodeName().startswith("Scan parquet"):
+        if node.nodeName().startswith("Scan "):
             total += node.metrics().apply("numFiles").value()
         children = node.children()
         todo += [children.apply(i) for i in range(children.size())]
