@@ -58,6 +58,15 @@ def _map(d: dict) -> Column:
     return literal_map(d.items())
 
 
+def family_l1() -> dict[str, str]:
+    """Families with their level-1 slugs, added ones included."""
+    return FAMILY_L1 | rules.mapping_of_added("family_l1")
+
+
+def _parent_family() -> dict[str, str]:
+    return PARENT_FAMILY | rules.mapping_of_added("parent_family")
+
+
 def first_match(subject: Column, table, test) -> Column:
     """Value of the first rule whose pattern holds, null when none does."""
     out = F.lit(None).cast("string")
@@ -83,9 +92,9 @@ def detect_family(parent_catalog, catalog_name, category, description, attribute
     """struct<family, level, value, confidence>; the first level that answers wins."""
     low = lambda c: F.lower(text(c))
     rlike = lambda s, p: s.rlike(p)
-    by_parent = _map(PARENT_FAMILY)[low(parent_catalog)]
+    by_parent = _map(_parent_family())[low(parent_catalog)]
     by_catalog = first_match(low(catalog_name), rules.table("catalog_patterns"), rlike)
-    by_category = _map({f.lower(): f for f in FAMILY_L1})[low(category)]
+    by_category = _map({f.lower(): f for f in family_l1()})[low(category)]
     by_text = first_match(low(description), rules.table("description_patterns"), rlike)
     keys = F.json_object_keys(_col(attributes_json))
     by_key = F.lit(None).cast("string")
@@ -334,7 +343,7 @@ def category_row(l1, detected) -> Column:
 
 def family_conflict(category, l1) -> Column:
     """P10: the family's own level-1 slug differs, both known."""
-    implied = _map(FAMILY_L1)[_col(category)]
+    implied = _map(family_l1())[_col(category)]
     return F.coalesce(implied.isNotNull() & (text(l1) != "") & (implied != _col(l1)), F.lit(False))
 
 

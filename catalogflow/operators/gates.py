@@ -158,9 +158,9 @@ def qualify(df: DataFrame, known_brands: DataFrame | None = None, attributes: st
     Expects mpn, brand, manufacturer, description, category, needs_review and the family in
     ``family``; a controller needs two specs, any other family one, an unknown family two.
     """
-    from catalogflow.functions.classify import FAMILY_L1
+    from catalogflow.functions.classify import family_l1
 
-    minimum = F.when(text("family") == "Microcontroller", 2).when(text("family").isin(*FAMILY_L1), 1).otherwise(2)
+    minimum = F.when(text("family") == "Microcontroller", 2).when(text("family").isin(*family_l1()), 1).otherwise(2)
     rows, brand_known = df, F.lit(True)
     if known_brands is not None:
         known = known_brands.select(F.lower(F.trim("raw")).alias("_kb")).distinct()
