@@ -614,6 +614,32 @@ def ledger_latest_stream(spark, sf):
     return jobs.current_version(spark, out).select("asset", "status", "at")
 
 
+_RUNS_SQL = """SELECT user_id AS asset, event_type AS status, count(*) AS length, min(event_id) FILTER (WHERE n=1) AS from_ord, arg_max(event_id, p) AS to_ord FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, p-k ORDER BY p) AS n FROM (
+   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS p, row_number() OVER (PARTITION BY user_id, event_type ORDER BY epoch_ms(ts), event_id) AS k FROM events) WHERE event_type IN ('error','view')) x
+  GROUP BY user_id, event_type, p-k HAVING count(*)>=2"""
+
+
+@query(_RUNS_SQL)
+def error_runs_followed(spark, sf):
+    """Runs kept in keyed state over three deliveries in which records are out of order and repeated, with a restart before each; a last record moves the watermark past all."""
+    from datetime import timedelta
+
+    from catalogflow.streaming import state
+
+    source, out, cp = (_fresh_dir(spark, f"follow-{x}") for x in ("in", "out", "cp"))
+    e = b.read(spark, sf, "events").select(F.col("user_id").alias("asset"), F.col("event_type").alias("status"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("ord"))
+    micros = F.unix_micros("at")
+    first, last = e.agg(F.min(micros), F.max(micros)).first()
+    third = (last - first) // 3 + 1
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("asset"), F.lit("end").alias("status"), F.timestamp_micros(F.lit(last + 30 * third)).alias("at"), F.lit(-1).cast("long").alias("ord"))
+    deliveries = [e.where((micros >= first + i * third - third // 20) & (micros < first + (i + 1) * third)) for i in range(3)]
+    for rows in [*deliveries, end]:
+        rows.orderBy(F.xxhash64("ord")).write.mode("append").parquet(source)
+        stream = jobs.read_files(spark, source, e.schema, "parquet")
+        state.start_following(state.follow_assets(stream, ["error", "view"], 2, timedelta(days=1), f"{third // 4_000_000} seconds"), out, cp)
+    return state.followed(spark, out, "run").select("asset", "status", "length", "from_ord", "to_ord")
+
+
 # ---- audits -----------------------------------------------------------------------------------------
 
 @query(b.sql("""SELECT metric, run_a, run_b, run_b-run_a AS delta FROM (SELECT 'rows' AS metric, (SELECT count(*) FROM master_v) AS run_a, (SELECT count(*) FROM batch_v) AS run_b
