@@ -527,16 +527,20 @@ def dictionary_ids(spark, sf):
     return d
 
 
-@query("""WITH t AS (SELECT r_regionkey*1000 AS ord, 1 AS level, 'r'||r_regionkey AS id FROM region UNION ALL SELECT n_regionkey*1000+n_nationkey+1, CASE WHEN n_nationkey%3=0 THEN 2 ELSE 3 END, 'n'||n_nationkey FROM nation)
-  SELECT id, level, (SELECT arg_max(x.id, x.ord) FROM t x WHERE x.level=1 AND x.ord<=t.ord) AS l1_id,
-   (SELECT arg_max(x.id, x.ord) FROM t x WHERE x.level=2 AND x.ord<=t.ord AND x.ord>(SELECT max(y.ord) FROM t y WHERE y.level=1 AND y.ord<=t.ord)) AS l2_id FROM t""")
+@query("""WITH t AS (SELECT o_orderkey AS k, 0 AS n, 0 AS p, 0 AS s, 'o'||o_orderkey AS id, 1 AS level FROM orders UNION ALL
+   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l'||l_orderkey||'-'||l_linenumber||'-'||l_partkey||'-'||l_suppkey, CASE WHEN l_partkey%3=0 THEN 2 ELSE 3 END FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem)),
+  a AS (SELECT *, last_value(CASE WHEN level=1 THEN id END IGNORE NULLS) OVER w AS l1_id FROM t WINDOW w AS (ORDER BY k, n, p, s))
+  SELECT id, level, l1_id, last_value(CASE WHEN level=2 THEN id END IGNORE NULLS) OVER (PARTITION BY l1_id ORDER BY k, n, p, s) AS l2_id FROM a""")
 def carry_parent(spark, sf):
+    """Orders are nodes of level 1, every third of their lines is of level 2, the others of level 3."""
     from catalogflow.operators.ordering import carry_parent as carry
 
-    r = b.read(spark, sf, "region").select((F.col("r_regionkey") * 1000).cast("long").alias("ord"), F.lit(1).alias("level"), F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id"))
-    n = b.read(spark, sf, "nation").select((F.col("n_regionkey") * 1000 + F.col("n_nationkey") + 1).cast("long").alias("ord"), F.when(F.col("n_nationkey") % 3 == 0, 2).otherwise(3).alias("level"),
-                                           F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"))
-    return carry(r.unionByName(n)).select("id", "level", "l1_id", "l2_id")
+    zero = F.lit(0).cast("long")
+    o = b.read(spark, sf, "orders").select(F.struct(F.col("o_orderkey").alias("k"), zero.alias("n"), zero.alias("p"), zero.alias("s")).alias("ord"), F.lit(1).alias("level"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"))
+    key = [F.col(c).cast("long") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    n = b.read(spark, sf, "lineitem").select(F.struct(*[c.alias(a) for c, a in zip(key, "knps")]).alias("ord"), F.when(F.col("l_partkey") % 3 == 0, 2).otherwise(3).alias("level"),
+                                             F.concat(F.lit("l"), F.concat_ws("-", *key)).alias("id")).distinct()
+    return carry(o.unionByName(n)).select("id", "level", "l1_id", "l2_id")
 
 
 # ---- logs and streams ----------------------------------------------------------------------------
