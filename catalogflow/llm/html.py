@@ -34,13 +34,18 @@ _ENDS = {
 }
 _ENDS = {name: (frozenset(ended.split()), frozenset(bound)) for name, (ended, bound) in _ENDS.items()}
 _ENDS_P = _BLOCK - {"br", "body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "legend", "option", "optgroup"}
+_P = frozenset("p")
 _P_BOUND = frozenset("table td th caption button object body html".split())
-# Words of class, id and role attributes that mark what is not the article.
-_CHROME_WORD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|comment-?list|cookies?|consent|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notices?|pagination|popup|promo\w*|related|replies|reply|respond|search|share|sharing|sidebar|side-?bar|skip|social|sponsor\w*|subscribe|toolbar|widget|complementary|contentinfo)(?:$|[\s_-])",
-    re.I,
+# Tokens of class, id and role attributes that mark what is not the article, and words that do so as the first or last part of
+# a token too, unless the token says that they are absent or next to it.
+_CHROME_TOKENS = frozenset(
+    "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comment-list commentlist cookie cookies cookie-notice consent disqus "
+    "footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promotion related related-posts related-articles replies reply respond "
+    "search search-form searchform share share-buttons sharing sidebar side-bar skip skip-link social social-links sponsor sponsored sponsors subscribe toolbar widget complementary contentinfo".split()
 )
+_CHROME_PARTS = frozenset("ads advert adverts advertisement breadcrumb breadcrumbs comments cookie cookies footer menu nav navbar navigation newsletter pagination popup sidebar".split())
+_ABSENT = frozenset("no not without has with hide".split())
+_REMARKS = frozenset("comment comments comment-list commentlist disqus replies reply respond".split())
 
 _TOKEN = re.compile(r"<(?:!--(?:.*?)(?:--!?>|\Z)|([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|/([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -57,79 +62,142 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _is_chrome(name: str, attributes: str, inside: Node) -> bool:
+def _marks(value: str) -> str | None:
+    """The token of an attribute that marks what is not the article."""
+    for token in value.lower().split():
+        if token in _CHROME_TOKENS:
+            return token
+        parts = re.split("[-_]+", token.strip("-_"))
+        if len(parts) > 1 and parts[0] not in _ABSENT and (parts[0] in _CHROME_PARTS or parts[-1] in _CHROME_PARTS):
+            return token
+    return None
+
+
+def _chrome_of(name: str, attributes: str, in_article: bool) -> str:
+    """Why an element is not the article: ``always``; ``wrapper`` or ``remarks`` if it may still turn out to hold it; blank if it is none."""
     if name in _CHROME:
-        return True
-    article = name in ("article", "main", "body", "html")
+        return "wrapper" if name == "form" else "always"
     if name == "header":
-        while inside is not None:
-            if inside.name in ("article", "main"):
-                return False
-            inside = inside.parent
-        return True
-    if not attributes or article:
-        return False
+        return "" if in_article else "always"
+    if not attributes or name in ("article", "main", "body", "html"):
+        return ""
+    why = ""
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id", "role") and _CHROME_WORD.search(value) or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
+            return "always"
+        if key in ("class", "id", "role") and (token := _marks(value)):
+            why = "remarks" if token in _REMARKS or token.startswith("comments") or token.endswith("comments") else why or "wrapper"
+    return why
+
+
+class _Tree:
+    """The tree while it is read, with the number of open elements by name, so that a search upwards is made only if it finds something."""
+
+    def __init__(self) -> None:
+        self.root = self.now = Node("html", None)
+        self.open: dict[str, int] = {}
+        self.doubtful: list[tuple[Node, str]] = []  # left out for now
+        self.marked = False
+
+    def up_to(self, node: Node) -> None:
+        """Close what is open below ``node``."""
+        while self.now is not node:
+            self.open[self.now.name] -= 1
+            self.now = self.now.parent
+
+    def add(self, name: str, attributes: str) -> Node:
+        why = _chrome_of(name, attributes, bool(self.open.get("article") or self.open.get("main")))
+        node = Node(name, self.now, bool(why))
+        self.now.parts.append(node)
+        if why in ("wrapper", "remarks"):
+            self.doubtful.append((node, why))
+        self.marked |= name in ("article", "main")
+        return node
+
+    def enter(self, node: Node) -> None:
+        self.now = node
+        self.open[node.name] = self.open.get(node.name, 0) + 1
+
+    def close(self, names: frozenset, bound: frozenset) -> None:
+        """Close the innermost open element of ``names`` that is not beyond one of ``bound``."""
+        if not any(self.open.get(n) for n in names):
+            return
+        node = self.now
+        while node.parent is not None and node.name not in bound:
+            if node.name in names:
+                return self.up_to(node.parent)
+            node = node.parent
+
+    def end(self, name: str) -> None:
+        if not self.open.get(name):
+            return
+        node = self.now
+        while node.name != name:
+            node = node.parent
+        self.up_to(node.parent)
 
 
 def parse(page: str) -> Node:
     """The element tree of a page; unclosed, crossed and stray tags are repaired as browsers do in the common cases."""
-    root = now = Node("html", None)
+    tree = _Tree()
     at, size = 0, len(page)
     while at < size:
         m = _TOKEN.search(page, at)
         if not m:
-            now.parts.append(page[at:])
+            tree.now.parts.append(page[at:])
             break
         if m.start() > at:
-            now.parts.append(page[at : m.start()])
+            tree.now.parts.append(page[at : m.start()])
         at = m.end()
         name = m[1]
         if name:
             name = name.lower()
-            if name in ("html", "body"):
-                if name == "body" and now.name not in ("html", "body"):
-                    now = root
-                if name == "body":
-                    now.parts.append(body := Node("body", now))
-                    now = body
+            if name == "html":
+                continue
+            if name == "body":
+                if tree.now.name not in ("html", "body"):
+                    tree.up_to(tree.root)
+                tree.now.parts.append(body := Node("body", tree.now))
+                tree.enter(body)
                 continue
             if name in _ENDS_P:
-                now = _close(now, frozenset("p"), _P_BOUND)
+                tree.close(_P, _P_BOUND)
             if name in _ENDS:
-                now = _close(now, *_ENDS[name])
-            if now.name == "head" and name in _BLOCK:
-                now = now.parent
-            node = Node(name, now, _is_chrome(name, m[2], now))
-            now.parts.append(node)
+                tree.close(*_ENDS[name])
+            if tree.now.name == "head" and name in _BLOCK:
+                tree.up_to(tree.now.parent)
+            node = tree.add(name, m[2])
             if name in _RAW and not m[2].rstrip().endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = end.end() if end else size
             elif name not in _VOID and not (m[2].endswith("/") and name not in _BLOCK):
-                now = node
+                tree.enter(node)
         elif m[3]:
-            name = m[3].lower()
-            node = now
-            while node.parent is not None and node.name != name:
-                node = node.parent
-            if node.parent is not None and node.name == name:
-                now = node.parent
-    return root
+            tree.end(m[3].lower())
+    _restore(tree)
+    return tree.root
 
 
-def _close(now: Node, names: frozenset, bound: frozenset) -> Node:
-    node = now
-    while node.parent is not None and node.name not in bound:
-        if node.name in names:
-            return node.parent
-        node = node.parent
-    return now
+def _restore(tree: _Tree) -> None:
+    """Take back marks of elements that hold the article: an article or main element or, on a page without one, most of the page's text.
+
+    Reader comments can be longer than what they are about, so they are taken back only for an article or main element inside.
+    """
+    if not tree.doubtful:
+        return
+    order, waiting, held, chars = [], [tree.root], {}, {}
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        waiting += [x for x in node.parts if isinstance(x, Node) and x.name not in _RAW]
+    for node in reversed(order):
+        inner = [x for x in node.parts if isinstance(x, Node) and id(x) in held]
+        held[id(node)] = node.name in ("article", "main") or any(held[id(x)] for x in inner)
+        chars[id(node)] = sum(len(_SPACE.sub(" ", x).strip()) for x in node.parts if isinstance(x, str)) + sum(chars[id(x)] for x in inner)
+    for node, why in tree.doubtful:
+        if held.get(id(node)) or not tree.marked and why == "wrapper" and 2 * chars.get(id(node), 0) > chars[id(tree.root)]:
+            node.chrome = False
 
 
 def _ordered(root: Node) -> list[Node]:
@@ -177,8 +245,8 @@ def _density(node: Node, share: float) -> float:
     return node.chars / tags * math.log(max(worth, 1.0)) / math.log(max(base, math.e))
 
 
-def _lines(node: Node, inside: set[int]) -> list[Node]:
-    """Children of an element outside the chrome; text and inline elements between blocks make one node."""
+def _lines(node: Node, inside: set[int], share: float) -> list[Node]:
+    """Children of an element outside the chrome; text and inline elements between blocks make one node with a density of its own."""
     out: list[Node] = []
     line = None
     for part in node.parts:
@@ -190,7 +258,12 @@ def _lines(node: Node, inside: set[int]) -> list[Node]:
             if line is None:
                 out.append(line := Node("span", node))
             line.parts.append(part)
-            line.chars += len(part.strip()) if isinstance(part, str) else part.chars
+            if isinstance(part, str):
+                line.chars += len(_SPACE.sub(" ", part).strip())
+            else:
+                line.chars, line.tags = line.chars + part.chars, line.tags + 1 + part.tags
+                line.link_chars, line.link_tags = line.link_chars + part.link_chars, line.link_tags + part.link_tags
+            line.density = _density(line, share)
     return out
 
 
@@ -224,6 +297,7 @@ def select(root: Node) -> list[Node]:
     while not marked and core.name not in _BLOCK and core.parent is not None:
         core = core.parent  # a core amid a line of text has the whole line
     threshold = min((n.density for n in path if n.name not in ("html",)), default=0.0)
+    share = nodes[0].link_chars / nodes[0].chars if nodes[0].chars else 0.0
     chosen, waiting = [], [nodes[0]]
     inside = set(map(id, path))
     while waiting:
@@ -231,11 +305,8 @@ def select(root: Node) -> list[Node]:
         if node is core:
             chosen.append(node)
         elif id(node) in inside:
-            if marked:
-                # beside the core: children as dense as the thinnest element around it
-                waiting += [x for x in reversed(node.parts) if isinstance(x, Node) and not x.chrome and (id(x) in inside or x.chars and x.density >= threshold and x.name not in ("a", "ul", "ol", "header"))]
-            else:
-                waiting += [x for x in reversed(_lines(node, inside)) if id(x) in inside or _has_words(x) or x.chars and x.density >= threshold]
+            # beside the core: what is as dense as the thinnest element around it; with no article marked, whatever has words outside links
+            waiting += [x for x in reversed(_lines(node, inside, share)) if id(x) in inside or x.chars and x.density >= threshold or not marked and _has_words(x)]
         else:
             chosen.append(node)
     return chosen

@@ -5,6 +5,7 @@ import hashlib
 import html as html_
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -27,7 +28,6 @@ def whole():
     import public_tokenizers as public
 
     t = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return t
 
 
@@ -151,3 +151,63 @@ def test_open_sequences():
             fill[number] = offset + n
             assert bins._open <= most
     assert base64.b32encode(hashlib.sha1(b"").digest()).decode() == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+
+
+# ---- marks of elements that hold the article --------------------------------------------------
+
+ARTICLE = "<p>" + "The first paragraph has words enough to be dense. " * 4 + "</p><p>" + "And the second one as well, without a link. " * 4 + "</p>"
+WORDS = " ".join(re.sub("<[^>]+>", " ", ARTICLE).split())
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="content no-sidebar">{}</div>', '<div class="site has-sidebar"><article>{}</article></div>', '<body><form action="/x">{}</form></body>',
+    '<form><article>{}</article></form>', '<div id="sidebar"><main>{}</main></div>', '<div class="widget"><div>{}</div></div><div class="sidebar">links here</div>',
+    '<div class="page with-comments without-menu">{}</div>', '<article class="promo">{}</article>', '<div id="search"><div class="modal">{}</div></div>',
+])
+def test_elements_that_hold_the_article_stay(page):
+    assert html.main_text(page.format(ARTICLE)) == WORDS
+
+
+@pytest.mark.parametrize("mark", ['class="share-price"', 'id="related-work"', 'class="search-algorithm"', 'class="x notice-of-death y"', 'class="skip-list"', 'id="social-history"'])
+def test_words_of_other_tokens_are_no_marks(mark):
+    inner = f"<article>{ARTICLE}<div {mark}><p>A part of the article.</p></div></article>"
+    assert html.main_text(inner) == WORDS + " A part of the article."
+
+
+@pytest.mark.parametrize("mark", ['class="comments"', 'class="box comment-list"', 'id="main-menu"', 'class="site_footer"', 'class="cookie-banner"', 'role="navigation"', 'class="sidebar-left"', 'class="Newsletter"', 'class="ads-top"'])
+def test_marked_elements_go(mark):
+    for inner in (f"<article>{ARTICLE}<div {mark}><p>Not of it.</p></div></article>", f"<div>{ARTICLE}</div><div {mark}><p>Not of it.</p></div>"):
+        assert html.main_text(inner) == WORDS
+
+
+def test_comments_longer_than_the_article_go():
+    remarks = "<div class='comments'>" + "<p>I have read this and say very much about it here.</p>" * 40 + "</div>"
+    assert html.main_text(f"<div><div>{ARTICLE}</div>{remarks}</div>") == WORDS
+
+
+@pytest.mark.parametrize("wrap", ["<div>{}</div>", "<article>{}</article>"])
+def test_lists_and_text_within(wrap):
+    inner = f"Text before. <div>{ARTICLE}</div><ul><li>A list item that is as long as a line of text should be.</li></ul>"
+    assert html.main_text(wrap.format(inner)) == f"Text before. {WORDS} A list item that is as long as a line of text should be."
+
+
+def test_deep_pages_in_linear_time():
+    for page in ("<div>" * 50_000 + "word", "<div>" * 50_000 + "</x>" * 50_000 + "word", "<li>" * 20_000 + "<header>" * 20_000 + "</b>word", "<p>" * 50_000 + "word", "<table>" * 20_000 + "<td>" * 20_000 + "word"):
+        began = time.perf_counter()
+        html.main_text(page)
+        assert time.perf_counter() - began < 5
+
+
+def test_long_runs_of_digits_in_linear_time():
+    for text in ("1" * 200_000, "1." * 100_000, "one " * 30_000):
+        began = time.perf_counter()
+        pii.find(text)
+        assert time.perf_counter() - began < 5
+
+
+def test_html_table(spark):
+    schema = "page_id long, html string, text string, url string"
+    rows = [(1, f"<article>{ARTICLE}</article>", "other", "u"), (1, f"<article>{ARTICLE}</article>", "other", "u"), (None, None, None, None), (2, "", "t", "u")]
+    got = spark.createDataFrame(rows, schema).select("page_id", html.extract_main_text("html").alias("text")).collect()
+    assert sorted((str(r["page_id"]), r["text"]) for r in got) == [("1", WORDS), ("1", WORDS), ("2", ""), ("None", "")]
+    assert spark.createDataFrame([], schema).select(html.extract_main_text("html")).count() == 0
