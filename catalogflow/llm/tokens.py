@@ -37,7 +37,8 @@ class _Cache(dict):
 
 
 class Encoder:
-    """Encodes whole texts; the ids are those of ``tokenizers`` with the JSON file, no special tokens added.
+    """Encodes whole texts; the ids are those of ``tokenizers`` with the JSON file, no special tokens added. Where the text itself has the string of a
+    special token, that is one id, as there.
 
     The vocabulary never joins a space and a word after it with what comes before, so a text is
     cut at such spaces, and each different piece is encoded once while it is in the cache. Pieces
@@ -49,13 +50,14 @@ class Encoder:
         import public_tokenizers as public
 
         self._slow = Tokenizer.from_file(vocabulary or public.path("byte_bpe_50k.json"))
-        self._slow.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._special = {token.content: number for number, token in self._slow.get_added_tokens_decoder().items()}
+        self._marks = re.compile("|".join(map(re.escape, sorted(self._special, key=len, reverse=True)))) if self._special else None
         with open(ranks or public.path("byte_bpe_50k.tiktoken"), "rb") as lines:
             known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self._fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public.PATTERN, mergeable_ranks=known, special_tokens={})
         self._first, self._next = _Cache("", self._packed, limit // 8), _Cache(" ", self._packed, limit)
-        self._sizes = np.zeros(max(known.values()) + 1, np.int64)
-        for token, rank in known.items():
+        self._sizes = np.zeros(max([*known.values(), *self._special.values()]) + 1, np.int64)
+        for token, rank in [*known.items(), *((t.encode(), n) for t, n in self._special.items())]:
             self._sizes[rank] = len(token)
 
     def _piece_ids(self, piece: str) -> list[int]:
@@ -76,6 +78,16 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """All ids of the text as little-endian unsigned 32-bit numbers."""
+        if self._marks is None or not (found := self._marks.search(text)):
+            return self._plain_ids(text)
+        out, at = [], 0
+        while found:
+            out += [self._plain_ids(text[at : found.start()]), self._special[found[0]].to_bytes(4, "little")]
+            at = found.end()
+            found = self._marks.search(text, at)
+        return b"".join([*out, self._plain_ids(text[at:])])
+
+    def _plain_ids(self, text: str) -> bytes:
         first, *rest = self._cut(text)
         return self._first[first] + b"".join(map(self._next.__getitem__, rest))
 
