@@ -242,10 +242,11 @@ def project_english(family, canonical) -> Column:
     def value(k, v):
         num = F.try_variant_get(v, "$", "double")
         numeric = F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|DECIMAL)")
+        fraction = F.schema_of_variant(v).rlike("^(DOUBLE|DECIMAL)")  # rounding to digits leaves whole numbers whole
         r = rule[k]
         out = F.when(numeric & (r == "int"), num.cast("long").cast("variant"))
         for n in sorted({int(x) for d in digits.values() for x in d.values() if x != "int"}):
-            out = out.when(numeric & (r == str(n)), F.round(num, n).cast("variant"))
+            out = out.when(fraction & (r == str(n)), F.round(num, n).cast("variant"))
         return out.otherwise(v)
 
     extra = F.create_map().cast("map<string,variant>")
