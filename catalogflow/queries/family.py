@@ -24,7 +24,7 @@ FAMILIES = (
      {"num_amps": "2", "gbw_hz": "ord*1e3", "cmrr_db": "90", "rail_to_rail": "'Yes'", "iq_a": "ord*1e-6"}),
     ("MOSFET", {"漏源电压(Vdss)": "#V", "连续漏极电流(Id)": "5.8A", "类型": "n沟道", "耗散功率(Pd)": "1/4W", "阈值电压(Vgs(th))": "1.23456V", "导通电阻": "28mΩ"},
      {"vdss_v": "ord", "id_a": "5.8", "chan_type": "'N-Channel'", "pd_w": "0.25", "vgs_th_v": "1.2346", "rds_on_ohm": "0.028"}),
-    ("Transistor", {"集电极电流(Ic)": "#mA", "晶体管类型": "npn", "集射极击穿电压(Vceo)": "#V", "可控硅类型": "某某"}, {"ic_a": "ord/1000", "tran_type": "'NPN'", "vceo_v": "ord"}),
+    ("Transistor", {"集电极电流(Ic)": "#0mA", "晶体管类型": "npn", "集射极击穿电压(Vceo)": "#V", "可控硅类型": "某某"}, {"ic_a": "ord/100", "tran_type": "'NPN'", "vceo_v": "ord"}),
     ("Logic IC", {"工作电压": "2.5V", "功能": "AND Gate", "逻辑单元数": "4.9", "传播延迟(tpd)": "#.5ns", "拉电流(IOH)": "1mA;#mA"}, {"supply_v": "2.5", "function": "'AND Gate'", "gates": "4", "tpd_ns": "ord+0.5", "ioh_a": "'1mA;'||ord||'mA'"}),
     ("Resistor", {"阻值": "#kΩ", "电阻类型": "厚膜", "最大工作电压": "#V", "功率": "250mW"}, {"resistance_ohm": "ord*1e3", "max_voltage_v": "ord", "power_w": "0.25"}),
     ("Inductor", {"电感值": "#uH", "额定电流": "#mA", "直流电阻(DCR)": "#mΩ", "线路数": "1"}, {"inductance_h": "ord*1e-6", "rated_current_a": "ord/1000", "dcr_ohm": "ord/1000", "lines": "1"}),
@@ -36,7 +36,7 @@ def _attributes_sql() -> str:
     parts = []
     for i, (family, _, out) in enumerate(FAMILIES):
         for key, value in out.items():
-            text = value if value.startswith("'") else f"format('{{:.6e}}', CAST({value} AS DOUBLE))"
+            text = value if value.startswith("'") else f"format('{{:.9e}}', CAST({value} AS DOUBLE))"
             parts.append(f"SELECT ord, '{family}' AS family, '{key}' AS key, {text} AS value FROM parts_v WHERE ord%11={i}")
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE value IS NOT NULL"
 
@@ -51,7 +51,7 @@ def _sources(spark, sf):
 
 
 def _shown(v):
-    return F.when(F.schema_of_variant(v) == "STRING", v.cast("string")).otherwise(F.format_string("%.6e", F.try_variant_get(v, "$", "double")))
+    return F.when(F.schema_of_variant(v) == "STRING", v.cast("string")).otherwise(F.format_string("%.9e", F.try_variant_get(v, "$", "double")))
 
 
 @query(b.sql(_attributes_sql(), "parts_v"))
@@ -73,7 +73,7 @@ _TEXTS = (
     ("'RS-485'", ["'RS-485'", "(ord*1000000)||' bps'", "'5.00 V'"]),
     ("'2-Channel Op Amp'", ["'2-channel'", "'GBW '||(ord*1000)||' Hz'"]),
     ("'N-Channel MOSFET'", ["'N-Channel'", "ord||'.0 V'", "'5.80 A'"]),
-    ("'NPN Transistor'", ["'NPN'", "ord||'.0 V'", _fact("%.2f", "ord/1000") + "||' A'"]),
+    ("'NPN Transistor'", ["'NPN'", "ord||'.0 V'", _fact("%.2f", "ord/100") + "||' A'"]),
     ("'AND Gate'", ["'AND Gate'", "'2.50 V'", "ord||'.5 ns propagation'"]),
     ("'Chip Resistor'", ["NULL", "ord||'.0 V'", "'0.25 W'"]),
     ("'Power Inductor'", ["NULL", _fact("%.3f", "ord/1000") + "||' A rated'"]),
