@@ -102,6 +102,16 @@ def unique_seo_slugs(spark, sf):
     return ordering.unique_seo_slugs(p).select("ord", "seo_slug")
 
 
+@query(b.sql("""WITH p AS (SELECT ord, description AS base, size%7 AS id, row_number() OVER (PARTITION BY description ORDER BY ord) AS n FROM parts_v), l AS (SELECT *, row_number() OVER (PARTITION BY base, id ORDER BY ord) AS m FROM p WHERE n>1),
+  c AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY ord) AS k FROM l WHERE m>1), t AS (SELECT base, id FROM l WHERE m=1 AND id>=3),
+  free AS (SELECT base, x, row_number() OVER (PARTITION BY base ORDER BY x) AS k FROM (SELECT base, unnest(range(3, max(k)+20)) AS x FROM c GROUP BY base) WHERE (base, x) NOT IN (SELECT (base, id) FROM t))
+  SELECT ord, base AS seo_slug FROM p WHERE n=1 UNION ALL SELECT ord, base||'-'||id FROM l WHERE m=1 UNION ALL SELECT c.ord, c.base||'-'||free.x FROM c JOIN free ON free.base=c.base AND free.k=c.k""", "parts_v"))
+def unique_seo_slugs_repeated(spark, sf):
+    """Seven ids under each base, so most rows take a counter that passes over the ids."""
+    p = b.parts(spark, sf).select("ord", F.col("description").alias("base"), (F.col("size") % 7).alias("id"))
+    return ordering.unique_seo_slugs(p).select("ord", "seo_slug")
+
+
 @query(b.sql("""SELECT ord, description='' AS blank_description, CASE WHEN description='' THEN 'description' END AS first_missing FROM (SELECT ord, CASE category WHEN 'SMALL' THEN '' ELSE description END AS description FROM parts_v)""", "parts_v"))
 def missing_required(spark, sf):
     p = b.parts(spark, sf).withColumn("description", F.when(F.col("category") == "SMALL", "").otherwise(F.col("description")))

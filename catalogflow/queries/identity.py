@@ -71,6 +71,19 @@ def slugs_stable_fresh(spark, sf):
     return identity.assign_stable_slugs(p, none).select("ord", "mpn", "manufacturer", "url_slug")
 
 
+@query(b.sql("""WITH p AS (SELECT *, regexp_replace(lower(mpn),'[^a-z0-9]','','g') AS cm, lower(manufacturer) AS k, ord%5=0 AS dep FROM parts_v),
+  pr AS (SELECT cm, k, min('old-'||ord) AS slug FROM p WHERE dep GROUP BY 1,2 HAVING count(*)=1),
+  s AS (SELECT p.*, CASE WHEN dep THEN 0 ELSE 1000000000000 END+ord AS pos, CASE WHEN dep THEN 'old-'||ord ELSE pr.slug END AS fixed FROM p LEFT JOIN pr USING (cm, k)),
+  f AS (SELECT coalesce(fixed, cm) AS claim, min(pos) AS pos FROM s GROUP BY 1),
+  e AS (SELECT s.*, coalesce(fixed, CASE WHEN f.pos<s.pos THEN s.cm||'-'||trim(regexp_replace(k,'[^a-z0-9]+','-','g'),'-') ELSE s.cm END) AS seed FROM s LEFT JOIN f ON f.claim=s.cm)
+  SELECT ord, mpn, manufacturer, CASE WHEN rn=1 THEN seed ELSE seed||'-'||rn END AS url_slug FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY pos) AS rn FROM e)""", "parts_v"))
+def slugs_stable_deployed(spark, sf):
+    """Every fifth part is published already; parts of the same number and maker as one of them, of several, and of none."""
+    p = b.parts(spark, sf).withColumn("supplier_reference", F.col("cid"))
+    deployed = p.where("ord % 5 = 0").select(F.col("cid").alias("code"), "mpn", "manufacturer", F.concat(F.lit("old-"), F.col("ord").cast("string")).alias("slug"))
+    return identity.assign_stable_slugs(p, deployed).select("ord", "mpn", "manufacturer", "url_slug")
+
+
 @query(b.sql(f"""SELECT key, array_to_string(list_sort(list(DISTINCT maker)),',') AS makers, sum(n) AS codes FROM (
   SELECT {_NORM} AS key, lower(regexp_replace(manufacturer,'[^A-Za-z0-9]','','g')) AS maker, count(DISTINCT cid) AS n FROM parts_v GROUP BY 1,2) GROUP BY 1""", "parts_v"))
 def clone_families(spark, sf):
