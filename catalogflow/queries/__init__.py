@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("merge", "identity", "functions", "jobs", "extra", "files", "trees", "releases", "scans", "extension", "branches", "readers", "family")
+AREAS = ("merge", "identity", "functions", "jobs", "extra", "files", "trees", "releases", "scans", "extension", "branches", "readers", "family", "integrity")
 
 
 def load() -> None:
