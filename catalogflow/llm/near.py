@@ -37,7 +37,7 @@ _COUNTERS = 1 << 19  # of the count sketch
 _BLOCK = 1 << 12  # counters, or bytes of a bit array, in a row while they are added up
 _MOST_BITS = 1 << 30
 _NO_ID = -(1 << 63)  # stands for a null id
-_HUB = 256  # pairs of one class that a task looks at together
+_FEW_ROWS = 1 << 21  # hashes of rows, 16 MB, up to which they are broadcast
 
 _SETS = "doc_id bigint, n int, set binary, key bigint, row bigint, bits binary, group bigint, prefix array<bigint>"
 _SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set", pa.binary()), ("key", pa.int64()), ("row", pa.int64()), ("bits", pa.binary()), ("group", pa.int64()), ("prefix", pa.list_(pa.int64()))])
@@ -231,8 +231,8 @@ class _Verifier:
     """Checks pairs of classes, by their parity bits and then on their whole sets.
 
     The whole sets of the classes that pass the first test are worked out again from the texts of their rows, which are few and
-    found by a semi-join on the hash of the row, so texts of others go neither through Python nor, while Spark can
-    broadcast the wanted hashes, through a shuffle.
+    found by a semi-join on the hash of the row, so texts of others do not go through Python. Up to ``_FEW_ROWS`` wanted hashes are
+    broadcast, so texts are not shuffled; beyond, Spark chooses the join.
     """
 
     def __init__(self, docs: DataFrame, classes: DataFrame, doc_id: str, text: str):
@@ -254,7 +254,8 @@ class _Verifier:
                 yield _key(id_, _digest(h)), h.view(np.int64)
 
         arrow = pa.schema([("class", pa.int64()), ("data", pa.list_(pa.int64()))])
-        texts = self._docs.join(wanted, "row", "left_semi").select("id", "text")
+        few = F.broadcast(wanted) if wanted.count() <= _FEW_ROWS else wanted
+        texts = self._docs.join(few, "row", "left_semi").select("id", "text")
         whole = stored(by_batch(texts, "class bigint, data array<bigint>", arrow, sets), "whole").dropDuplicates(["class"])
         both = F.size(F.array_intersect("a_data", "b_data"))
         similar = SHARE[1] * both >= SHARE[0] * (F.size("a_data") + F.size("b_data") - both)
@@ -262,15 +263,8 @@ class _Verifier:
 
 
 def _with_data(pairs: DataFrame, of: DataFrame) -> DataFrame:
-    """The pairs with the data of both ends. The data of an end with very many pairs is dealt to several tasks, and so are its pairs."""
-    for end, other in (("b", "a"), ("a", "b")):
-        pairs = stored(pairs, "pairs") if end == "b" else pairs
-        hubs = pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / _HUB).alias("_parts")).where("_parts > 1")
-        hubs = stored(hubs, "hubs")
-        split = pairs.join(hubs, end, "left").withColumn("_part", F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1)))).drop("_parts")
-        held = of.select(F.col("class").alias(end), F.col("data").alias(f"{end}_data")).join(hubs, end, "left")
-        spread = held.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
-        pairs = split.join(spread, [end, "_part"]).drop("_part")
+    for end in ("b", "a"):
+        pairs = pairs.join(of.select(F.col("class").alias(end), F.col("data").alias(f"{end}_data")), end)
     return pairs
 
 
