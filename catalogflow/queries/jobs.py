@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalogflow import bindings as b
 from catalogflow.functions import attrs, classify, keys
+from catalogflow.functions.text import MOJIBAKE
 from catalogflow.operators import aggregates, gates, identity, logs
 from catalogflow.plans import assets, audit, intake, publish, release, search
 from catalogflow.queries.functions import _FAMILY_SQL, _L1_SQL, _params, attribute_json
@@ -346,24 +347,35 @@ def subcategory_groups(spark, sf):
     return publish.subcategory_pages(p, tops, ["mosfets"])["groups"].select("top", "slug", "n", "indexed")
 
 
-@query()
+@query(b.sql("""WITH p AS (SELECT *, CASE WHEN category='PROMO' THEN 'Power MOSFETs' ELSE category END AS sub, ord%3 AS k FROM parts_v),
+  v AS (SELECT *, CASE WHEN sub='Power MOSFETs' THEN size||' V '||size||' mA' ELSE '' END AS facts FROM p)
+  SELECT lower(cid) AS url_slug, trim(mpn||' '||manufacturer||' '||facts) AS title,
+  CASE WHEN facts='' THEN mpn||' '||manufacturer||' '||sub||'. ' ELSE mpn||' '||manufacturer||' '||sub||' — '||size||' V, '||size||' mA; ' END||CASE k WHEN 0 THEN 'datasheet, ' ELSE '' END||CASE k WHEN 1 THEN '1 alternative, ' WHEN 2 THEN '2 alternatives, ' ELSE '' END||'specs.' AS meta,
+  'LQFP-48' AS package, size>25 AS rohs_badge, CASE k WHEN 0 THEN 'About '||description WHEN 1 THEN '± '||description END AS introduction, 'Number of Channels: '||size AS key_attributes,
+  '[{"label":"Drain-Source Voltage","value":"'||size||' V"},{"label":"Continuous Drain Current","value":"'||size||' mA"}]' AS specs, 'Motors|Lamps' AS applications, 'Fast|Small' AS features,
+  '['||CASE WHEN size>25 THEN '{"label":"RoHS","value":"RoHS3"},' ELSE '' END||'{"label":"ECCN","value":"EAR99"},{"label":"CNHTS","value":"8542"},{"label":"USHTS","value":"8541"}]' AS compliance,
+  CASE k WHEN 2 THEN '[]' ELSE '[{"question":"What is it?","answer":"'||description||'"}]' END AS faqs, CASE k WHEN 0 THEN '' WHEN 1 THEN 'A1' ELSE 'A1,B2' END AS alternates FROM v""", "parts_v"))
 def page_records(spark, sf):
-    """Page facts per part: labels, display values, applications, questions, compliance, title."""
+    """Page facts per part: labels, display values, applications, questions, compliance, title; introductions that are fine, damaged and in another script;
+    questions to drop; none to several alternates; parts with and without a document and title values."""
     p = b.parts(spark, sf)
+    k, t = F.col("ord") % 3, F.col("description")
+    asked = lambda q, a: F.struct(F.lit(q).alias("question"), a.alias("answer"))
+    faqs = F.when(k == 2, F.array(asked("What does it cost?", F.lit("$ 3")))).otherwise(F.array(asked("What is it?", t), asked("what IS it", F.lit("again")), asked("Where to buy?", F.lit("here"))))
+    intro = F.when(k == 0, F.concat(F.lit("About "), t)).when(k == 1, F.concat(F.lit(next(bad for bad, good in MOJIBAKE.items() if good == "±")), F.lit(" "), t)).otherwise(F.concat(F.lit("关于 "), t))
     product = F.struct(
         F.col("cid").alias("productCode"), _params().alias("paramVOList"), F.lit("").alias("productKeyAttributes"), F.lit("LQFP-48(7x7)").alias("encapStandard"),
         (F.col("size") > 25).alias("isRohsCert"), F.lit("RoHS3").alias("rohsCertType"), F.lit("EAR99").alias("eccn"), F.lit(True).alias("isAsianBrand"),
-        F.create_map(F.lit("US"), F.lit("8541"), F.lit("CN"), F.lit("8542")).alias("htsMap"),
-        F.array(F.struct(F.lit("What is it?").alias("question"), F.col("description").alias("answer"))).alias("faqs"))
-    raw = p.select("ord", F.col("cid").alias("code"), product.alias("product"), F.concat(F.lit("About "), F.col("description")).alias("introduction"),
-                   F.lit("• Motors\n- Lamps").alias("applications"), F.lit("* Fast\n* Small").alias("features"))
+        F.create_map(F.lit("US"), F.lit("8541"), F.lit("CN"), F.lit("8542")).alias("htsMap"), faqs.alias("faqs"))
+    raw = p.select("ord", F.col("cid").alias("code"), product.alias("product"), intro.alias("introduction"), F.lit("• Motors\n- Lamps").alias("applications"), F.lit("* Fast\n* Small").alias("features"))
     parts = p.select(
         "mpn", "manufacturer", F.col("cid").alias("supplier_reference"), F.lower("cid").alias("url_slug"),
         F.to_json(F.struct(F.col("size").alias("vdss_v"), (F.col("size") / 1000).alias("id_a"))).alias("attributes_json"), F.lit("transistors").alias("native_l1"),
-        F.col("category").alias("subcategory"), F.lit("[]").alias("alternative_parts_detail"), F.lit("").alias("datasheet_url"))
+        F.when(F.col("category") == "PROMO", "Power MOSFETs").otherwise(F.col("category")).alias("subcategory"),
+        F.when(k == 0, "[]").when(k == 1, '[{"mpn":"A1"},{"mpn":""}]').otherwise('[{"mpn":"A1"},{"mpn":"B2"}]').alias("alternative_parts_detail"), F.when(k == 0, "https://d/x.pdf").otherwise("").alias("datasheet_url"))
     out = publish.page_records(parts, raw)
-    return out.select("url_slug", "title", "meta", "package", "rohs_badge", "introduction", "key_attributes", F.to_json("specs").alias("specs"),
-                      F.array_join("applications", "|").alias("applications"), F.array_join("features", "|").alias("features"), F.to_json("compliance").alias("compliance"), F.to_json("faqs").alias("faqs"))
+    return out.select("url_slug", "title", "meta", "package", "rohs_badge", "introduction", "key_attributes", F.to_json("specs").alias("specs"), F.array_join("applications", "|").alias("applications"),
+                      F.array_join("features", "|").alias("features"), F.to_json("compliance").alias("compliance"), F.to_json("faqs").alias("faqs"), F.array_join(F.transform("alternates", lambda a: a["mpn"]), ",").alias("alternates"))
 
 
 @query(b.sql("""SELECT name, count(*) AS n FROM (SELECT unnest(['Output Voltage','Capacitance','legacy']) AS name FROM parts_v) GROUP BY 1""", "parts_v"))
@@ -686,15 +698,19 @@ def catalog_audit(spark, sf):
     return checks
 
 
-@query()
+@query("""SELECT 'C'||page_id AS code, coalesce(regexp_extract(html,'<meta[^>]+name="description"[^>]+content="([^"]*)"',1),'') AS description, 0 AS pairs, 0 AS faqs, '' AS applications, 0 AS alternates FROM pages""")
 def page_enrichment(spark, sf):
-    """Facts out of whole pages: description, lists, questions, anchors."""
+    """Whole pages as they are, without data of any kind; ``pages_to_patch`` has pages with all of it."""
     p = b.read(spark, sf, "pages").select(F.col("page_id").alias("ord"), F.concat(F.lit("C"), F.col("page_id").cast("string")).alias("code"), F.col("url").alias("mpn"), "html")
     f = audit.page_facts(p)
     return f.select("code", "description", F.size("pairs").alias("pairs"), F.size("faqs").alias("faqs"), F.array_join("applications", "|").alias("applications"), F.size("alternates").alias("alternates"))
 
 
-@query()
+@query(b.sql(f"""WITH {_TAX}, g AS (SELECT coalesce(a.canonical, trim(v.manufacturer)) AS brand, v.mpn, min(v.ord) AS ord, arg_min('nation_'||(partkey%25), v.ord) AS nl, count(*) AS offers, count(DISTINCT source) AS sources
+   FROM offers_v v LEFT JOIN alias_v a ON lower(trim(v.manufacturer))=a.raw GROUP BY 1,2), cm AS (SELECT *, regexp_replace(lower(mpn),'[^a-z0-9]','','g') AS cm FROM g),
+  sd AS (SELECT *, CASE WHEN ord=min(ord) OVER (PARTITION BY cm) THEN cm ELSE cm||'-'||trim(regexp_replace(lower(brand),'[^a-z0-9]+','-','g'),'-') END AS seed FROM cm),
+  rk AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY ord) AS rn FROM sd)
+  SELECT mpn, brand AS manufacturer, CASE WHEN rn=1 THEN seed ELSE seed||'-'||rn END AS url_slug, coalesce(l1.top,'__UNMAPPED__') AS top, CASE WHEN l1.slug IS NULL THEN 'UNMAPPED' ELSE 'RESOLVED' END AS tax_status, offers, sources FROM rk LEFT JOIN l1 ON nl=l1.slug""", "offers_v", "alias_v"))
 def catalog_records(spark, sf):
     """Offers to published records: merge, slugs, taxonomy."""
     tops, l1 = _taxonomy(spark, sf)
