@@ -172,9 +172,16 @@ def native_l1(spark, sf):
     return b.parts(spark, sf).groupBy(classify.native_l1("parent_catalog", "catalog_name").alias("native_l1")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+# a small double as JSON has it
+_SMALL = r"regexp_replace(regexp_replace(CAST({} AS VARCHAR), '^(\d+)e', '\1.0e'), 'e-0?', 'E-')"
+
+
+@query(b.sql(f"""SELECT ord, family, CASE family WHEN 'Diode' THEN '{{"vf_v":0.55}}' WHEN 'MOSFET' THEN '{{"vdss_v":'||size||'}}' WHEN 'Inductor' THEN '{{"inductance_h":'||{_SMALL.format('size*1e-6')}||'}}' WHEN 'Capacitor' THEN '{{"capacitance":'||{_SMALL.format('round(size*1e-9,12)')}||'}}'
+   WHEN 'Resistor' THEN '{{"resistance_ohm":'||size*1000||'}}' WHEN 'Microcontroller' THEN '{{"core":"ARM Cortex-M3","frequency_hz":'||size*1000000||'}}'
+   ELSE '{{"output_voltage_v":'||CASE category WHEN 'ECONOMY' THEN CAST(size/1000.0 AS VARCHAR) WHEN 'MEDIUM' THEN '1.25' WHEN 'LARGE' THEN '"'||quantity||'"' WHEN 'STANDARD' THEN '"'||quantity||'"' ELSE CAST(size AS VARCHAR) END||'}}' END AS attributes
+  FROM (SELECT *, {_FAMILY_SQL} AS family FROM parts_v)""", "parts_v"))
 def family_projection(spark, sf):
-    """Family attributes from source-language parameters: checked value by value in the tests."""
+    """Family attributes from source-language parameters, one parameter of each family."""
     j = F.to_json(F.create_map(
         F.lit("输出电压"), F.col("quantity"), F.lit("容值"), F.concat(F.col("size").cast("string"), F.lit("nF")), F.lit("阻值"), F.concat(F.col("size").cast("string"), F.lit("kΩ")),
         F.lit("漏源电压(Vdss)"), F.concat(F.col("size").cast("string"), F.lit("V")), F.lit("正向压降(Vf)"), F.lit("550mV"), F.lit("电感值"), F.concat(F.col("size").cast("string"), F.lit("µH")),
