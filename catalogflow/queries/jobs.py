@@ -73,6 +73,17 @@ def normalised_rows(spark, sf):
     return n.rows.select("ord", "brand", "category", "family", "verdict", "code")
 
 
+@query(b.sql("""SELECT mpn||'-'||ord AS mpn, a.canonical AS manufacturer FROM parts_v p JOIN alias_v a ON a.raw=lower(manufacturer) WHERE ord%50<>0 AND ord%20<>1 AND ord%3<>0""", "parts_v", "alias_v"))
+def normalised_candidates(spark, sf):
+    """B2 against a MASTER that has every third part, with made-up part numbers, rows without one, and rows that come twice."""
+    o = F.col("ord")
+    raw = _raw(spark, sf).withColumn("mpn", F.when(o % 50 == 0, F.concat(F.lit("MCU"), (o + 100000).cast("string"))).when(o % 20 == 1, " ").otherwise(F.concat_ws("-", "mpn", o.cast("string"))))
+    twice = raw.unionByName(raw.where("ord % 7 = 0").withColumn("ord", o + 10**9))
+    known = b.aliases(spark, sf)
+    master = raw.where("ord % 3 = 0").join(known, F.lower("manufacturer_raw") == F.col("raw")).select(F.lower("mpn").alias("mpn"), F.col("canonical").alias("manufacturer"))
+    return intake.normalize(twice, master, known).candidates.select("mpn", "manufacturer")
+
+
 # ---- gates and release -------------------------------------------------------------------
 
 @query(b.sql("""SELECT ord, CASE WHEN regexp_matches(mpn,'(?i)^(MCU|MOS|RES|CAP|IND|DIO|CON|XTAL|MEM|WIFI|MOD|REG|AMP|OP|LED|PWR|IC)\\d{6}') THEN 'pattern 1' WHEN regexp_matches(mpn,'100000\\d{3}') THEN 'pattern 2'
