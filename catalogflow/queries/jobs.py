@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalogflow import bindings as b
 from catalogflow.functions import attrs, classify, keys
 from catalogflow.functions.text import MOJIBAKE
-from catalogflow.operators import aggregates, gates, identity, logs
+from catalogflow.operators import aggregates, gates, identity, logs, merge
 from catalogflow.plans import assets, audit, intake, publish, release, search
 from catalogflow.queries.functions import _FAMILY_SQL, _L1_SQL, _params, attribute_json
 from catalogflow.queries.identity import _LINKED, _linked
@@ -397,6 +397,17 @@ def publish_normalised(spark, sf):
     return out.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(b.sql("""SELECT ord AS row, unnest(['Surge Current','X','Nameless','无主']) AS name, unnest(['dictionary','untranslated','majority','untranslated']) AS key_tier,
+  unnest([ord||' °C','1 Form A (SPST, NO)','未知'||ord,'Some Value']) AS value, unnest(['rules','rules','untranslated','majority']) AS value_tier FROM parts_v""", "parts_v"))
+def publish_values(spark, sf):
+    """Names by dictionary, by majority of votes and not at all; values by rules, by votes and not at all."""
+    p, n = b.parts(spark, sf), F.col("ord").cast("string")
+    text = F.to_json(F.create_map(F.lit("surge_current_a"), F.concat(n, F.lit(" ℃")), F.lit("X"), F.lit("一组常开:1A(单刀单掷-常开)"), F.lit("无名"), F.concat(F.lit("未知"), n), F.lit("无主"), F.lit("某值")))
+    votes = merge.majority_translation(p.select(F.lit("无名").alias("key"), F.when(F.col("size") < 40, "Nameless").otherwise("No Name").alias("value")))
+    values = p.limit(1).select(F.lit("某值").alias("key"), F.lit("Some Value").alias("value"))
+    return publish.publish_normalize(p.withColumn("attributes_json", text), votes, values)[0].select("row", "name", "key_tier", "value", "value_tier")
+
+
 # ---- search --------------------------------------------------------------------------------
 
 def _entries(spark, sf):
