@@ -9,13 +9,10 @@ from catalogflow.functions import attrs, classify, text, units
 from catalogflow.operators import aggregates, gates
 from catalogflow.queries.registry import query
 
-N = F.col("ord").cast("string")
-
-
 def case(*texts):
     """The text of the part's case, ``#`` replaced by the part's key; None is null."""
     picked = F.array(*[F.lit(t).cast("string") for t in texts])[(F.col("ord") % len(texts)).cast("int")]
-    return F.replace(picked, F.lit("#"), N)
+    return F.replace(picked, F.lit("#"), F.col("ord").cast("string"))
 
 
 def cases(spark, sf, *texts, name="s"):

@@ -9,9 +9,6 @@ from catalogflow.operators import gates
 from catalogflow.plans import release
 from catalogflow.queries.registry import query
 
-_N = F.col("ord").cast("string")
-
-
 def _param(name, value):
     return F.struct(F.lit("").alias("paramName"), F.lit(name).alias("paramNameEn"), F.lit("").alias("paramValue"), value.alias("paramValueEn"), F.lit(True).alias("isMain"), F.lit(1).alias("sort"))
 
@@ -25,9 +22,10 @@ def _checked_parts(spark, sf):
     stored = at('{"output_voltage_v":3,"output_current_a":1}', '{"output_voltage_v":3,"output_current_a":1}', '{"output_voltage_v":"5V","output_current_a":1}', "{}", good, good)
     base = F.array(_param("Output Voltage", volts), _param("Output Current", F.lit("1A")))
     two = F.when(k == 5, F.array(_param("Number of Channels", F.lit("1")), _param("Number of Outputs", F.lit("2")))).otherwise(F.array().cast("array<struct<paramName:string,paramNameEn:string,paramValue:string,paramValueEn:string,isMain:boolean,sort:int>>"))
-    link = F.when(F.col("ord") % 3 == 0, "").when(F.col("ord") % 3 == 1, F.concat(F.lit("https://files.r2.dev/"), _N, F.lit(".pdf"))).otherwise(F.concat(F.lit("https://datasheet.lcsc.com/"), _N, F.lit(".pdf")))
+    n = F.col("ord").cast("string")
+    link = F.when(F.col("ord") % 3 == 0, "").when(F.col("ord") % 3 == 1, F.concat(F.lit("https://files.r2.dev/"), n, F.lit(".pdf"))).otherwise(F.concat(F.lit("https://datasheet.lcsc.com/"), n, F.lit(".pdf")))
     return b.parts(spark, sf).select(
-        F.col("cid").alias("supplier_reference"), F.concat(F.lit("M"), _N).alias("mpn"), F.when(F.col("ord") % 7 == 0, "").otherwise(F.col("manufacturer")).alias("manufacturer"), link.alias("datasheet_url"),
+        F.col("cid").alias("supplier_reference"), F.concat(F.lit("M"), n).alias("mpn"), F.when(F.col("ord") % 7 == 0, "").otherwise(F.col("manufacturer")).alias("manufacturer"), link.alias("datasheet_url"),
         F.concat(base, two).alias("params"), stored.alias("attributes_json"), "ord")
 
 
