@@ -1,12 +1,14 @@
 """Quality rules: robust multivariate outliers (minimum covariance determinant).
 
 Each text is turned into counts, and the counts into a vector of transformed statistics. For each
-language and source, location and scatter of the vectors are estimated from the three quarters of
-the rows that lie closest together, found by concentration steps from a robust start; a row is
-rejected when its Mahalanobis distance from them is beyond a quantile of the chi-squared law.
-
-A concentration step is one pass over the vectors of all rows: rows are counted, and their moments
-summed, by cell and distance bin, and the bins up to the wanted share give the next estimate. No cell
+language and source, location and scatter of the vectors are those of the three quarters of the rows whose scatter has the
+least determinant that is found: concentration steps go from several starts (medians and quartiles, all rows, and
+two parts of the rows by hash), after two steps the start with the least determinant goes on, and its steps end when the
+determinant no longer falls. The scatter is scaled for the share and has a floor. A row is rejected when its Mahalanobis
+distance is beyond a quantile of the chi-squared law.
+
+A concentration step is one pass over the vectors of the rows of cells that still improve: rows are counted, and their moments
+summed, by cell, start and distance bin, and the bins up to the wanted share give the next estimate. No cell
 is gathered, whatever its share of the rows, and nothing goes to the driver.
 """
 
@@ -38,6 +40,7 @@ FLOORS = (0.25, 0.05, 0.04, 0.2, 0.15, 0.08)
 P = len(FLOORS)
 _PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 _BINS_PER_E = 64
+_FALL = 1e-3  # of the logarithm of the determinant, from which a step counts as one
 
 
 def text_counts(text: str | None) -> tuple[int, ...]:
@@ -108,48 +111,81 @@ def _distance() -> Column:
 
 
 def _inverses(spread: float):
-    """From counts and moments of a cell to its mean and the upper half of its inverse scatter."""
+    """From counts and moments of a cell and start to its mean, the upper half of its inverse scatter, and the logarithm of the scatter's determinant."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            means, inverses = [], []
-            for n, first, second in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+            means, inverses, determinants = [], [], []
+            for n, first, second in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
                 mean = np.array(first) / n
                 scatter = np.zeros((P, P))
                 for k, (i, j) in enumerate(_PAIRS):
                     scatter[i, j] = scatter[j, i] = second[k] / n - mean[i] * mean[j]
-                inverse = np.linalg.pinv(spread * scatter + np.diag(np.square(FLOORS)))
+                scatter = spread * scatter + np.diag(np.square(FLOORS))
+                inverse = np.linalg.pinv(scatter)
                 means.append(mean.tolist())
                 inverses.append([float(inverse[p]) for p in _PAIRS])
+                determinants.append(float(np.linalg.slogdet(scatter)[1]))
             doubles = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(means, doubles), pa.array(inverses, doubles)], names=["cell", "mean", "inv"])
+            columns = [batch.column(0), batch.column(1), pa.array(means, doubles), pa.array(inverses, doubles), pa.array(determinants, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", "start", "mean", "inv", "logdet"])
 
     return run
 
 
-_CELLS = "cell string, mean array<double>, inv array<double>"
+_CELLS = "cell string, start int, mean array<double>, inv array<double>, logdet double"
+
+
+def _moments() -> list[Column]:
+    return [F.sum(f"x{i}").alias(f"s{i}") for i in range(P)] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{k}") for k, (i, j) in enumerate(_PAIRS)]
 
 
 def _estimate(near: DataFrame, spread: float) -> DataFrame:
-    """Estimates from rows of (cell, n, s0.., q0..)."""
-    sums = near.groupBy("cell").agg(
+    """Estimates from rows of (cell, start, n, s0.., q0..)."""
+    sums = near.groupBy("cell", "start").agg(
         F.sum("n").cast("double").alias("n"), F.array(*[F.sum(f"s{i}") for i in range(P)]).alias("first"),
         F.array(*[F.sum(f"q{k}") for k in range(len(_PAIRS))]).alias("second"),
     )
     return stored(sums.mapInArrow(_inverses(spread), _CELLS), "scatter")
 
 
+def _starts(rows: DataFrame, sized: DataFrame) -> DataFrame:
+    """First estimates: 0 from medians and quartiles, 1 from all rows, 2 and 3 from the rows of an eighth each by hash."""
+    width = [F.pow(F.greatest((F.col(f"m{i}")[2] - F.col(f"m{i}")[0]) / 1.349, F.lit(FLOORS[i])), -2) for i in range(P)]
+    inverse = [width[i] if i == j else F.lit(0.0) for i, j in _PAIRS]
+    middle = sized.select("cell", F.lit(0).alias("start"), F.array(*[F.col(f"m{i}")[1] for i in range(P)]).alias("mean"), F.array(*inverse).alias("inv"), F.lit(float("inf")).alias("logdet"))
+    part = F.pmod(F.xxhash64(*[f"x{i}" for i in range(P)]), F.lit(8)).cast("int")
+    of = F.when(part < 2, F.array(F.lit(1), part + 2)).otherwise(F.array(F.lit(1)))
+    sums = rows.join(sized.select("cell"), "cell").withColumn("start", F.explode(of)).groupBy("cell", "start").agg(F.count(F.lit(1)).alias("n"), *_moments())
+    return stored(middle.unionByName(_estimate(sums, 1.0)), "starts")
+
+
 def _concentrate(rows: DataFrame, cells: DataFrame, share: float, spread: float) -> DataFrame:
-    """The next estimate of each cell from the nearest ``share`` of its rows, to the width of a bin."""
-    d = rows.join(cells, "cell").withColumn("bin", F.least(F.floor(F.log1p(_distance()) * _BINS_PER_E), F.lit(40 * _BINS_PER_E)))
-    moments = [F.sum(f"x{i}").alias(f"s{i}") for i in range(P)] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{k}") for k, (i, j) in enumerate(_PAIRS)]
-    bins = d.groupBy("cell", "bin").agg(F.count(F.lit(1)).alias("n"), *moments)
-    cell = Window.partitionBy("cell")  # over the bins of a cell, whose number is bounded
+    """The next estimate of each cell and start from the nearest ``share`` of the cell's rows, to the width of a bin."""
+    d = rows.join(cells.drop("logdet"), "cell").withColumn("bin", F.least(F.floor(F.log1p(_distance()) * _BINS_PER_E), F.lit(40 * _BINS_PER_E)))
+    bins = d.groupBy("cell", "start", "bin").agg(F.count(F.lit(1)).alias("n"), *_moments())
+    cell = Window.partitionBy("cell", "start")  # over the bins of a cell, whose number is bounded
     before = F.sum("n").over(cell.orderBy("bin")) - F.col("n")
     near = bins.withColumn("before", before).withColumn("all", F.sum("n").over(cell)).where(F.col("before") < share * F.col("all"))
     return _estimate(near, spread)
 
 
+def _least_determinant(rows: DataFrame, starts: DataFrame, share: float, spread: float, most_steps: int) -> DataFrame:
+    """(cell, mean, inv, logdet): of each cell the estimate at which the determinant no longer falls."""
+    tried = _concentrate(rows, _concentrate(rows, starts, share, spread), share, spread)
+    best = F.min_by(F.struct("start", "mean", "inv", "logdet"), F.struct("logdet", "start")).alias("b")
+    cells = stored(tried.groupBy("cell").agg(best).select("cell", "b.*"), "best")
+    falling = cells
+    for _ in range(most_steps):
+        later = _concentrate(rows, falling, share, spread)
+        met = later.join(cells.select("cell", F.col("logdet").alias("_before")), "cell").where(F.col("logdet") < F.col("_before") - _FALL)
+        falling = stored(met.drop("_before"), "falling")
+        if falling.isEmpty():
+            break
+        cells = stored(cells.join(falling.select("cell"), "cell", "left_anti").unionByName(falling), "best")
+    return cells
+
+
 def _cells(rows: DataFrame, least: int) -> DataFrame:
     """``rows`` with ``cell``: language and source, or the language's small sources together, or all that is left."""
     one = F.to_json(F.array("lang", "source"))
@@ -163,7 +199,7 @@ def _cells(rows: DataFrame, least: int) -> DataFrame:
 
 def judge(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
-    share: float = 0.75, steps: int = 3, confidence: float = 0.999999, least_rows: int = 100,
+    share: float = 0.75, most_steps: int = 20, confidence: float = 0.999999, least_rows: int = 100,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` of every row of ``docs``.
 
@@ -178,12 +214,8 @@ def judge(
     usable = rows.where("usable").select("cell", *[f"x{i}" for i in range(P)])
     quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 10000).alias(f"m{i}") for i in range(P)]
     sized = usable.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *quartiles).where(F.col("n") >= least_rows)
-    width = [F.pow(F.greatest((F.col(f"m{i}")[2] - F.col(f"m{i}")[0]) / 1.349, F.lit(FLOORS[i])), -2) for i in range(P)]
-    inverse = [width[i] if i == j else F.lit(0.0) for i, j in _PAIRS]
-    cells = stored(sized.select("cell", F.array(*[F.col(f"m{i}")[1] for i in range(P)]).alias("mean"), F.array(*inverse).alias("inv")), "scatter")
     inner = chi2_quantile(share, P)
-    for _ in range(steps):
-        cells = _concentrate(usable, cells, share, share / _chi2_cdf(inner, P + 2))
-    judged = rows.join(cells, "cell", "left").withColumn("distance", _distance())
+    cells = _least_determinant(usable, _starts(usable, stored(sized, "sized")), share, share / _chi2_cdf(inner, P + 2), most_steps)
+    judged = rows.join(cells.drop("start", "logdet"), "cell", "left").withColumn("distance", _distance())
     far = F.coalesce(F.col("distance") > chi2_quantile(confidence, P), F.lit(False))
     return judged.select("doc_id", "lang", "source", *COUNTS, "base_failed", "distance", (~F.col("base_failed") & ~far).alias("kept"))
