@@ -168,7 +168,7 @@ def write_plan(summary: DataFrame, findings: DataFrame, path: str) -> None:
 def write_documents(df: DataFrame, folder: str, name: str = "name", content: str = "content") -> DataFrame:
     """(name, size) of the files written: tasks put each row's binary content below ``folder`` under its name.
 
-    A file gets its name when it is complete, so a task that runs again replaces its files and readers never see a part of one. The
+    A name is one of a file, without folders; any other is an error. A file gets its name when it is complete, so a task that runs again replaces its files and readers never see a part of one. The
     folder has to be one that all executors reach; a batch of rows is in memory at a time, not a partition.
     """
     has_scheme = bool(urlsplit(folder).scheme)
@@ -179,6 +179,8 @@ def write_documents(df: DataFrame, folder: str, name: str = "name", content: str
         for batch in batches:
             sizes = []
             for key, data in zip(batch.column(0), batch.column(1)):
+                if not key.is_valid or "/" in key.as_py() or key.as_py() in ("", ".", ".."):
+                    raise ValueError(f"not a file name: {key}")
                 part = f"{base}/.{uuid.uuid4().hex}"
                 with store.open_output_stream(part) as out:
                     out.write(data.as_buffer())

@@ -104,6 +104,13 @@ def test_documents_to_ledger(spark, tmp_path):
     assert again.totals.first()["already_exists"] == 2
 
 
+@pytest.mark.parametrize("name", ["../x.pdf", "a/b.pdf", "", None])
+def test_names_stay_in_the_folder(spark, tmp_path, name):
+    df = spark.createDataFrame([(name, bytearray(b"x"))], "name string, content binary")
+    with pytest.raises(Exception, match="not a file name"):
+        write_documents(df, str(tmp_path / "docs")).collect()
+
+
 def test_no_documents(spark, tmp_path):
     (tmp_path / "none").mkdir()
     parts = spark.createDataFrame([], "part_id long, code string, mpn string, clean_mpn string, url string, source_url string, ord long")
