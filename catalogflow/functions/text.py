@@ -233,7 +233,7 @@ def cosmetic(c) -> Column:
     return F.regexp_replace(F.replace(_str(c), F.lit("plusminus"), F.lit("+/-")), "(?i)degc", "degC")
 
 
-# Wording that names a product type or a life cycle state.
+# Wording that names a product type.
 _TYPE_PATTERNS = (
     ("connector", r"connector|receptacle|header|terminal block|rj45|hdmi|usb connector"),
     ("mcu_ic", r"mcu|microcontroller|micro[- ]controller|mpu|fpga|dsp|asic|soc|processor|"
@@ -243,6 +243,7 @@ _TYPE_PATTERNS = (
     ("module", r"module|modules|wifi|rf module|wireless|ethernet|lora|ble|bluetooth|"
                r"gps|gsm|lte|nb-iot|zigbee"),
 )
+# Wording of the two life cycle states.
 _EOL = (r"\b(eol|obsolete|nrnd|discontinued|end[- ]of[- ]life|last[- ]time[- ]buy|"
         r"not recommended for new design)\b")
 _SCARCE = r"(scarce|shortage|hard[- ]to[- ]find|allocated|long[- ]lead|low[- ]stock|out[- ]of[- ]stock)"
