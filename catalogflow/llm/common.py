@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,7 +13,8 @@ from catalogflow.session import shared_dir
 
 # Set while a table is written: shuffle files go when the write ends, and batches for Python are small, since the JVM and the Python
 # worker of each task hold one of them several times over.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+_BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", **_BATCH}
 SLICE = 256  # rows that are Python objects at the same time
 
 
@@ -44,6 +46,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """For the rest of the session rows go to Python in batches as small as in ``stored``."""
+    for key, value in _BATCH.items():
+        spark.conf.set(key, value)
+
+
 def by_batch(df: DataFrame, schema: str, arrow: pa.Schema, rows: Callable[[Iterator[tuple]], Iterator[tuple]]) -> DataFrame:
     """Run ``rows`` over the rows of each partition, which are Python objects only a slice at a time."""
 
@@ -62,10 +70,22 @@ def by_batch(df: DataFrame, schema: str, arrow: pa.Schema, rows: Callable[[Itera
                 out = []
         if out:
             yield to_batch(out, arrow)
+        out = []
+        given_back(None)
 
     return df.mapInArrow(run, schema)
 
 
+def given_back(result):
+    """``result``, after memory freed while it was made has gone back to the system: the worker process lives on and serves later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+    return result
+
+
 def to_batch(rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogflow.llm.common import given_back
+
 KINDS = ("email", "ip", "card", "phone")
 _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("base", T.BooleanType())]))
 _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
@@ -254,7 +256,7 @@ def find(text: str | None) -> list[tuple[int, int, int, bool]]:
 
 @F.arrow_udf(_SPANS)
 def _spans(texts: pa.Array) -> pa.Array:
-    return pa.array([[(KINDS[k], a, b, base) for k, a, b, base in find(t.as_py())] for t in texts], _ARROW)
+    return given_back(pa.array([[(KINDS[k], a, b, base) for k, a, b, base in find(t.as_py())] for t in texts], _ARROW))
 
 
 def redact(text: str | None) -> str | None:
@@ -276,7 +278,7 @@ def redact(text: str | None) -> str | None:
 
 @F.arrow_udf(T.StringType())
 def _redacted(texts: pa.Array) -> pa.Array:
-    return pa.array([redact(t.as_py()) for t in texts], pa.string())
+    return given_back(pa.array([redact(t.as_py()) for t in texts], pa.string()))
 
 
 def pii_spans(text: str | Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogflow.llm.common import stored
+from catalogflow.llm.common import given_back, stored
 
 WIDTHS = (1, 2, 3)
 FILTERS = 8  # of each width
@@ -227,7 +227,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
         for t in texts:
             numbers = words.of(t.as_py() or "")
             out.append(words.rows[numbers].tobytes())
-        return pa.array(out, pa.binary())
+        return given_back(pa.array(out, pa.binary()))
 
     met = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")
     found = stored(met.select("_h", "_id", "_y", in_fold("_id").alias("fold"), rows_of("_text").alias("rows")), "sample")
@@ -273,7 +273,7 @@ def toxicity_score(model: Model, text: str | Column) -> Column:
         for t in texts:
             numbers = words.of(t.as_py() or "")
             out.append(model.score(model.logit(words.rows[numbers]), words.language(numbers)))
-        return pa.array(out, pa.float64())
+        return given_back(pa.array(out, pa.float64()))
 
     return scores(text)
 
