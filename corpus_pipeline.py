@@ -1,10 +1,13 @@
-"""A corpus made ready for training: stages over ``documents``, each on what the one before kept."""
+"""A corpus made ready for training: stages over ``documents``, each on what the one before kept.
+
+Each stage sets the session to small batches for Python, so that an executor can run all of them one after another.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalogflow.llm.common import stored, table
+from catalogflow.llm.common import small_batches, stored, table
 from catalogflow.llm.decontaminate import without_items
 from catalogflow.llm.near import one_of_each
 from catalogflow.llm.packing import pack_documents
@@ -14,27 +17,32 @@ from catalogflow.llm.toxicity import toxicity_score, train
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below 0.5."""
+    small_batches(spark)
     model = train(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity_score(model, "text") < 0.5)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
+    small_batches(spark)
     return one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    small_batches(spark)
     return without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with marks in place of personal data."""
+    small_batches(spark)
     return redact_pii(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
+    small_batches(spark)
     return pack_documents(docs)
 
 
