@@ -45,7 +45,7 @@ def n_words(text):
     return len(re.findall("[^\x20\x09-\x0d]+", text or ""))
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", range(1))
 def test_mix(spark, seed):
     rng = random.Random(seed)
     rows = texts(rng, 900, ["a", "B", "é", "ab", None, ""] + ["hot"] * 6)
@@ -75,12 +75,12 @@ def test_each_document_has_its_chance(spark):
     rng = random.Random(1)
     df = spark.createDataFrame([(i, " ".join("w" * rng.randrange(1, 30)), "ab"[i % 2]) for i in range(150)], "doc_id long, text string, source string").cache()
     seen = Counter()
-    rounds = 8
+    rounds = 5
     for seed in range(rounds):
         for r in mixing.mix_sources(df, weights=(1, 1), share=0.4, seed=seed).collect():
             seen[r["doc_id"]] += r["taken"] > 0
     # each is taken with a chance of about 0.4
-    assert abs(sum(seen.values()) / (150 * rounds) - 0.4) < 0.05 and len(seen) > 140
+    assert abs(sum(seen.values()) / (150 * rounds) - 0.4) < 0.06 and len(seen) > 125
 
 
 def test_pair_keeps_words(spark):
