@@ -142,6 +142,18 @@ def test_search_against_full_scan(spark):
     assert routed["lm358"] == "/b" and routed["ams1117"] == "/search/?q=ams1117" and routed["ti"] == "/m" and routed["zzz"] == "/search/?q=zzz"
 
 
+def test_search_candidates_grow_like_matches(spark):
+    """Codes that share all their runs of three characters, and names that many entries bear."""
+    e = spark.range(20000).select(F.concat(F.lit("p"), "id").alias("entry_id"), F.lit("PART").alias("type"), F.lit("Large Ring").alias("label"),
+                                  F.array(F.concat(F.lit("c"), F.col("id") + 1000000), F.lit("largering"), F.lit("Large Ring")).alias("aliases"), F.lit("").alias("url"))
+    q = spark.range(0, 20000, 100).select(F.concat(F.lit("c"), F.col("id") + 1000000).alias("query"))
+    pieces, names = search._pieces(q), search._uses(e).select("name").distinct()
+    frequency = search._name_grams(names).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    assert search._name_grams(names).join(search._rarest(pieces, frequency), "g").count() == 200
+    found = search.search(e, q.unionByName(spark.createDataFrame([("large",)], "query string"))).groupBy("query").count().groupBy("count").count()
+    assert {r[0]: r[1] for r in found.collect()} == {1: 200, 20000: 1}
+
+
 def test_change_plan_cases(spark):
     page = spark.createDataFrame([("a", "A", "1"), ("b", "B", "1"), ("c", "C", "1"), ("d", "D", "1")], "slug string, mpn string, v string")
     old = publish.build_keys(page.where("slug <> 'd'").withColumn("v", F.when(F.col("slug") == "b", "0").otherwise("1")), ["v"])
