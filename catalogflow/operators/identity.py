@@ -88,10 +88,11 @@ def resolve_code(mpns: DataFrame, master: DataFrame, mpn: str = "mpn", code: str
 
 def own_introduction(df: DataFrame, raw: DataFrame, code: str, mpn: str, ord: str = "ord") -> DataFrame:
     """Introduction from the part's own envelope (code, else part number as key), the last one of a
-    key by ``ord``; dropped when CJK remains after repair."""
+    key by ``ord``, of equal ``ord`` the greatest; dropped when CJK remains after repair."""
     from catalogflow.functions.text import has_cjk, repair_mojibake
 
-    right = last_occurrence(with_order(raw, ord).where(nonblank("key")), [key_upper("key")], ord).select(key_upper("key").alias("_rk"), text("introduction").alias("_intro"))
+    placed = with_order(raw, ord).where(nonblank("key")).withColumn("_place", F.struct(ord, text("introduction")))
+    right = last_occurrence(placed, [key_upper("key")], "_place").select(key_upper("key").alias("_rk"), text("introduction").alias("_intro"))
     own = F.when(text(code) != "", key_upper(code)).otherwise(key_upper(mpn))
     fixed = repair_mojibake(F.col("_intro"), colon=False)
     return (

@@ -24,7 +24,7 @@ def alternates_as_is(spark, sf):
     p = b.parts(spark, sf).withColumn("supplier_reference", F.col("cid"))
     raw = p.where("category <> 'SMALL'").select("ord", F.col("cid").alias("code"), F.array(alt(F.col("mpn")), alt(F.lit(" ")), alt(F.col("description"))).alias("alternates"))
     # an earlier row of each code in the other letter case does not count
-    raw = raw.unionByName(raw.select((-F.col("ord")).alias("ord"), F.lower("code").alias("code"), F.array(alt(F.lit("old"))).alias("alternates")))
+    raw = raw.unionByName(raw.select((-1 - F.col("ord")).alias("ord"), F.lower("code").alias("code"), F.array(alt(F.lit("old"))).alias("alternates")))
     listed = F.when(F.col("category") == "LARGE", F.col("mpn")).otherwise(F.concat_ws("; ", "mpn", "description"))
     return gates.alternates_as_is(p.withColumn("alternative_parts", listed), raw).select("ord", "alternates_status")
 
@@ -34,7 +34,7 @@ def own_introduction(spark, sf):
     p = b.parts(spark, sf)
     words = F.when(F.col("size") > 25, F.concat(F.lit("About "), F.col("description"))).otherwise(F.concat(F.lit("关于 "), F.col("description")))
     raw = p.select("ord", F.col("cid").alias("key"), words.alias("introduction"))
-    raw = raw.unionByName(raw.select((-F.col("ord")).alias("ord"), F.lower("key").alias("key"), F.lit("Old").alias("introduction")))
+    raw = raw.unionByName(raw.select((-1 - F.col("ord")).alias("ord"), F.lower("key").alias("key"), F.lit("Old").alias("introduction")))
     return identity.own_introduction(p, raw, "cid", "mpn").select("ord", "introduction")
 
 
