@@ -7,6 +7,7 @@ of values is never averaged into one number.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column
@@ -75,10 +76,14 @@ def _parse(s: Column, units: dict[str, float]) -> Column:
 
     one = F.lit(rf"(?iu)([\d.]+)\s*({alt})")
     factor = F.create_map(*[F.lit(x) for kv in units.items() for x in kv])
-    scaled = F.zip_with(
-        F.regexp_extract_all(s, one, F.lit(1)), F.regexp_extract_all(s, one, F.lit(2)),
-        lambda n, u: n.try_cast("double") * factor[F.lower(u)],
-    )
+    larger = [F.lit(x) for u, f in units.items() if f > 1 for x in (u, f"e{round(math.log10(f))}")]
+
+    def scale(n: Column, u: Column) -> Column:
+        # a larger unit moves the point of the text, since a product is a little below a whole number at times (2058.7 * 1e3)
+        product = n.try_cast("double") * factor[F.lower(u)]
+        return F.coalesce(F.concat(n, F.create_map(*larger)[F.lower(u)]).try_cast("double"), product) if larger else product
+
+    scaled = F.zip_with(F.regexp_extract_all(s, one, F.lit(1)), F.regexp_extract_all(s, one, F.lit(2)), scale)
     loose = F.transform(F.regexp_extract_all(s, F.lit(r"([\d.]+)"), F.lit(1)), lambda n: n.try_cast("double"))
     number = let(scaled, lambda xs: (
         F.when(F.size(xs) > 0, _mean(xs))

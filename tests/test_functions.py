@@ -24,7 +24,7 @@ def test_quantities(spark):
 
 @pytest.mark.parametrize("parser,value,want", [
     ("capacitance", "100nF", 1e-7), ("resistance", "10kΩ", 10000.0), ("inductance", "4.7µH", 4.7e-6), ("data_rate", "1Mbps", 1e6),
-    ("frequency", "1MHz", 1e6), ("current", "150mA", 0.15), ("power", "200mW", 0.2), ("power", "1/4W", 0.25), ("memory", "64KB", 65536.0), ("number", "1", 1.0)])
+    ("frequency", "1MHz", 1e6), ("current", "150mA", 0.15), ("power", "200mW", 0.2), ("power", "1/4W", 0.25), ("memory", "64KB", 65536.0), ("frequency", "2058.7kHz", 2058700.0), ("frequency", "4.35GHz", 4350000000.0), ("number", "1", 1.0)])
 def test_typed_parsers(spark, parser, value, want):
     ((q,),) = column(spark, [value], units.PARSERS[parser]("s"))
     assert q["kind"] == "single" and abs(q["num"] - want) <= abs(want) * 1e-12
