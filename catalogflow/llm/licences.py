@@ -16,7 +16,7 @@ import json
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "unknown"
@@ -76,8 +76,6 @@ OTHERS = (
     "This work was published in version 3 of the report.", "A copy of the letter was distributed with the file.", "The public domain of the function is the set of real numbers.", "You should have received a copy of the invoice by now.", "The terms of the agreement were not published.",
     "Under the bridge a new version of the ship was released.", "The copyright of the song was sold in 1998.", "We redistribute food in source regions, with or without modification of the routes.", "The licensed electrician repaired the wires.", "His license to practise medicine was revoked.",
 )
-#: Every notice has one of these words; a paragraph without them is not looked at.
-CUES = r"(?i)licen[cs]e|rights reserved|copyright|hereby granted|public domain|creative commons|\bgpl|\blgpl|\bagpl|\bcc by|\bcc0|\bmpl\b|proprietary|redistribution and use|general public license|without the prior written|unauthorized copying|any person obtaining"
 LEAST_SIMILARITY = 0.6
 
 
@@ -125,15 +123,19 @@ def train() -> dict:
     errors = [sum(p < b for p in sure) + 2 * sum(p >= b for p in wrong) for b in bounds]
     weights, bias = _fit(x, y, len(families))
     templates = [{"family": i, "grams": grams(t)} for i, f in enumerate(NOTICES) for t in NOTICES[f]]
-    return {"vocabulary": vocabulary, "weights": np.round(weights, 6).tolist(), "bias": np.round(bias, 6).tolist(), "bound": float(bounds[int(np.argmin(errors))]), "templates": templates, "families": families}
+    weights, bias, bound = np.round(weights, 6), np.round(bias, 6), float(bounds[int(np.argmin(errors))])
+    # A family with a probability of at least the bound is ahead of unknown by ln(bound / (1 - bound)); a gram brings it no nearer than its gain.
+    gains = np.maximum((weights[:, :-1] - weights[:, -1:]).max(1), 0)
+    least = float(np.log(bound / (1 - bound)) - (bias[:-1] - bias[-1]).max() - 1e-6)
+    return {"vocabulary": vocabulary, "weights": weights.tolist(), "bias": bias.tolist(), "bound": bound, "gains": gains.tolist(), "least": least, "templates": templates, "families": families}
 
 
-_MODEL = "vocabulary array<string>, weights array<array<double>>, bias array<double>, bound double, templates array<struct<family:int,grams:array<string>>>, families array<string>"
+_MODEL = "vocabulary array<string>, weights array<array<double>>, bias array<double>, bound double, gains array<double>, least double, templates array<struct<family:int,grams:array<string>>>, families array<string>"
 
 
-def _constant(spark: SparkSession) -> Column:
-    """The model as a subquery of one row, read from a literal."""
-    return spark.range(1).select(F.from_json(F.lit(json.dumps(train())), _MODEL)).scalar()
+def _constant() -> Column:
+    """The model as a literal."""
+    return F.from_json(F.lit(json.dumps(train())), _MODEL)
 
 
 def _grams(paragraph: Column) -> Column:
@@ -145,14 +147,15 @@ def _grams(paragraph: Column) -> Column:
 def licence_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line, paragraph, family, probability, similarity, confirmed) of the lines that state a licence.
 
-    Lines count from 0. Null and empty texts have none. Rows are treated one by one, so repeated rows
+    Every line is looked at; where the words it holds cannot bring any family to the bound, the probabilities are not worked out. Lines count from 0. Null and empty texts have none. Rows are treated one by one, so repeated rows
     give repeated results.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").rlike(CUES))
-    lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph")).where(F.col("paragraph").rlike(CUES))
-    placed = lines.withColumn("m", _constant(docs.sparkSession))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
+    # the model is named inside the expression: as a column it would be copied into every row
+    model = _constant()
     # an outer explode of one expression, so that Spark does not work it out once for a filter and once more
-    named = placed.select("doc_id", "line", "paragraph", F.explode_outer(_let(F.col("m"), lambda m: _verdicts(m, F.col("paragraph")))).alias("v")).where("v IS NOT NULL")
+    named = lines.select("doc_id", "line", "paragraph", F.explode_outer(_let(model, lambda m: _verdicts(m, F.col("paragraph")))).alias("v")).where("v IS NOT NULL")
     return named.select("doc_id", "line", "paragraph", "v.*", (F.col("v.similarity") >= LEAST_SIMILARITY).alias("confirmed"))
 
 
@@ -164,9 +167,14 @@ def _let(value: Column, body) -> Column:
 def _verdicts(m: Column, paragraph: Column) -> Column:
     """An array of the family, probability and similarity of a paragraph; empty where it is unknown."""
 
-    def logits(g: Column) -> Column:
-        known = F.filter(F.transform(g, lambda x: F.array_position(m["vocabulary"], x).cast("int")), lambda p: p > 0)
-        return _let(known, lambda held: F.transform(m["bias"], lambda b, k: F.aggregate(held, b, lambda a, p: a + F.get(F.get(m["weights"], p - 1), k))))
+    def logits(held: Column) -> Column:
+        return F.transform(m["bias"], lambda b, k: F.aggregate(held, b, lambda a, p: a + F.get(F.get(m["weights"], p - 1), k)))
+
+    def known(g: Column) -> Column:
+        return F.transform(F.array_intersect(m["vocabulary"], g), lambda x: F.array_position(m["vocabulary"], x).cast("int"))
+
+    def near(held: Column) -> Column:
+        return F.aggregate(held, F.lit(0.0), lambda a, p: a + F.get(m["gains"], p - 1)) >= m["least"]
 
     def shares(z: Column) -> Column:
         return _let(F.transform(z, lambda x: F.exp(x - F.array_max(z))), lambda e: _let(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(e, lambda x: x / total)))
@@ -181,4 +189,4 @@ def _verdicts(m: Column, paragraph: Column) -> Column:
         found = F.array(F.struct(F.get(m["families"], best).alias("family"), top.alias("probability"), similarity(g, best).alias("similarity")))
         return F.when((top >= m["bound"]) & (top > F.element_at(p, -1)), found)
 
-    return _let(_grams(paragraph), lambda g: _let(_let(logits(g), shares), lambda p: verdict(g, p)))
+    return _let(_grams(paragraph), lambda g: _let(known(g), lambda held: F.when(near(held), _let(_let(logits(held), shares), lambda p: verdict(g, p)))))
