@@ -199,3 +199,10 @@ def test_stream_restart_adds_nothing(spark, tmp_path):
     assert run() == ["A", "B"]
     write([(4, "B", "TI"), (5, "C", "TI")])
     assert run() == ["A", "B", "C"]
+
+
+def test_fingerprint_deals_rows_into_no_fixed_number_of_tasks(spark, sf):
+    from catalogflow.queries import jobs
+
+    plan = jobs.table_fingerprint(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" in plan and "REPARTITION_BY_NUM" not in plan
