@@ -206,3 +206,10 @@ def test_fingerprint_deals_rows_into_no_fixed_number_of_tasks(spark, sf):
 
     plan = jobs.table_fingerprint(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" in plan and "REPARTITION_BY_NUM" not in plan
+
+
+def test_introduction_of_equal_order(spark):
+    df = spark.createDataFrame([("C0", "m")], "cid string, mpn string")
+    for texts in (["About a", "About b"], ["About b", "About a"]):
+        raw = spark.createDataFrame([(0, "C0", t) for t in texts], "ord long, key string, introduction string").coalesce(1)
+        assert [r["introduction"] for r in identity.own_introduction(df, raw, "cid", "mpn").collect()] == ["About b"]
