@@ -10,7 +10,9 @@
 Records may come late, in any order, and more than once. They wait in the state until the watermark has passed them, then they are
 taken in order, so runs are those of the whole log; records behind the watermark are left out, as everywhere in streams.
 
-State of an asset: its latest record, its current run (five values) and the records of the last ``delay``. Nothing else grows with the log.
+State of an asset: one value with its latest record, its current run and its next timer, and a list with the records of the last ``delay``.
+Nothing else grows with the log. The state of an asset is read and written once a batch for its new records and once for its timer, however
+many records these are; a call to the state store for every record would take most of the time. Checkpoints of another layout are not read.
 """
 
 from __future__ import annotations
@@ -27,10 +29,12 @@ from catalogflow.streaming.jobs import _exists
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_RECORD = T.StructType().add("at", T.LongType()).add("ord", T.LongType()).add("status", T.StringType())
-_RUN = T.StructType().add("status", T.StringType()).add("length", T.LongType()).add("from_at", T.LongType()).add("from_ord", T.LongType())
-_PLACE = T.StructType().add("at", T.LongType()).add("ord", T.LongType())
-_STATUS = T.StructType().add("status", T.StringType())
+_ASSET = (
+    T.StructType().add("at", T.LongType()).add("ord", T.LongType()).add("status", T.StringType()).add("due", T.LongType())
+    .add("run_status", T.StringType()).add("run_length", T.LongType()).add("run_at", T.LongType()).add("run_ord", T.LongType())
+)
+_WAITING = T.StructType().add("at", T.ArrayType(T.LongType())).add("ord", T.ArrayType(T.LongType())).add("status", T.ArrayType(T.StringType()))
+_CHUNK = 4096  # waiting records in one entry of the list
 _OUT = "what string, status string, length long, from_at long, from_ord long, to_at long, to_ord long"
 
 
@@ -40,33 +44,37 @@ class _Follow(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._latest = handle.getValueState("latest", _RECORD)
-        self._run = handle.getValueState("run", _RUN)
-        self._waiting = handle.getMapState("waiting", _PLACE, _STATUS)
+        self._asset = handle.getValueState("asset", _ASSET)
+        self._waiting = handle.getListState("waiting", _WAITING)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        latest = before = self._latest.get() if self._latest.exists() else None
-        wanted: set[int] = set()
-        for r in rows:
-            at, ord_ = r["_at"], r["ord"]
-            self._waiting.updateValue((at, ord_), (r["status"],))
-            wanted.add(at)
-            if latest is None or (at, ord_) >= (latest[0], latest[1]):
-                latest = (at, ord_, r["status"])
-        for at in wanted:
-            self._handle.registerTimer(at + 1)  # once the watermark is past it, no earlier record can come
-        if latest != before:
-            self._latest.update(latest)
-            self._handle.registerTimer(latest[0] + self._idle)
+        state = self._asset.get()
+        latest, due, run = (state[:3], state[3], state[4:]) if state else (None, None, (None,) * 4)
+        came = [(r["_at"], r["ord"], r["status"]) for r in rows]
+        self._waiting.appendList(self._chunks(came))
+        last = max(came, key=lambda r: r[:2])
+        newer = latest is None or last[:2] >= latest[:2]
+        if newer:
+            latest = last
+        wanted = self._next(came, latest)
+        if due is None or wanted < due:
+            self._handle.registerTimer(wanted)
+            due = wanted
+        self._asset.update((*latest, due, *run))
+        if newer:
             yield self._row(key, "latest", latest[2], 1, None, None, latest[0], latest[1])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        ready = sorted((k[0], k[1], v[0]) for k, v in self._waiting.iterator() if k[0] < due)
-        run = tuple(self._run.get()) if self._run.exists() else None
+        state = self._asset.get()
+        if state is None or state[3] != expiredTimerInfo.getExpiryTimeInMs():
+            return  # another timer has taken its place
+        latest, run = state[:3], state[4:] if state[4] is not None else None
+        now = timerValues.getCurrentWatermarkInMs()
+        waiting = {(at, ord_): status for ats, ords, statuses in self._waiting.get() for at, ord_, status in zip(ats, ords, statuses)}
+        rest = [(*k, v) for k, v in waiting.items() if k[0] >= now]
         grown = None
-        for at, ord_, status in ready:
-            self._waiting.removeKey((at, ord_))
+        for at, ord_ in sorted(k for k in waiting if k[0] < now):  # no earlier record can come
+            status = waiting[at, ord_]
             if status not in self._errors:
                 run = None
             elif run is not None and run[0] == status:
@@ -79,14 +87,27 @@ class _Follow(StatefulProcessor):
                 grown = (*run, at, ord_)
         if grown is not None:
             yield self._row(key, "run", *grown)
-        if run is not None:
-            self._run.update(run)
-        elif ready:
-            self._run.clear()
-        latest = self._latest.get() if self._latest.exists() else None
-        if latest is not None and latest[0] + self._idle <= due:
+        if not rest:
+            self._waiting.clear()
+        elif len(rest) < len(waiting):
+            self._waiting.put(self._chunks(rest))
+        idle = latest[0] + self._idle <= now
+        due = None if idle and not rest else self._next(rest, None if idle else latest)
+        if due is not None:
+            self._handle.registerTimer(due)
+        self._asset.update((*latest, due, *(run or (None,) * 4)))
+        if idle:
             yield self._row(key, "idle", latest[2], 1, None, None, latest[0], latest[1])
 
+    def _next(self, waiting, latest) -> int:
+        """When the asset has to be looked at again: the watermark is past its first waiting record, or it is idle."""
+        times = [r[0] + 1 for r in waiting]
+        return min([*times, latest[0] + self._idle] if latest is not None else times)
+
+    @staticmethod
+    def _chunks(records) -> list[tuple]:
+        return [tuple(map(list, zip(*records[i : i + _CHUNK]))) for i in range(0, len(records), _CHUNK)]
+
     @staticmethod
     def _row(key, what, status, length, from_at, from_ord, to_at, to_ord) -> Row:
         return Row(asset=key[0], what=what, status=status, length=length, from_at=from_at, from_ord=from_ord, to_at=to_at, to_ord=to_ord)

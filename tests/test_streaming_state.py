@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.operators import logs
 from catalogflow.streaming.jobs import read_files
+from catalogflow.streaming import state
 from catalogflow.streaming.state import follow_assets, followed, start_following
 
 SCHEMA = "asset long, status string, at timestamp, ord long"
@@ -53,3 +54,66 @@ def test_batches_equal_the_whole_log(spark, tmp_path):
     assert want.count() > 10 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     # all assets but the last were silent for six hours
     assert {r["asset"] for r in followed(spark, out, "idle").collect()} == set(range(8))
+
+
+def test_state_calls_do_not_grow_with_records():
+    """An asset with many records in a batch takes as many calls to the state store as one with few."""
+    calls = []
+
+    class Store:
+        def __init__(self, kept):
+            self.kept = kept
+
+        def get(self):
+            calls.append("get")
+            return iter(self.kept) if isinstance(self.kept, list) else self.kept
+
+        def update(self, value):
+            calls.append("update")
+            self.kept = value
+
+        def appendList(self, values):
+            calls.append("append")
+            self.kept = self.kept + values
+
+        def put(self, values):
+            calls.append("put")
+            self.kept = values
+
+        def clear(self):
+            calls.append("clear")
+            self.kept = []
+
+    class Handle:
+        timers = []
+
+        def getValueState(self, name, schema):
+            return Store(None)
+
+        def getListState(self, name, schema):
+            return Store([])
+
+        def registerTimer(self, at):
+            calls.append("timer")
+            self.timers.append(at)
+
+    class Times:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: at
+
+    for n in (10, 10_000):
+        calls.clear()
+        handle = Handle()
+        handle.timers = []
+        follow = state._Follow(["e"], 2, 10**9)
+        follow.init(handle)
+        rows = [{"_at": i, "ord": i, "status": "ok" if i % 5 == 4 else "e"} for i in range(n)]
+        assert [r["what"] for r in follow.handleInputRows((1,), iter(rows[::-1]), None)] == ["latest"]
+        due = handle.timers[0]
+        assert due == 1 and len(calls) <= 4
+        # all but the last two records are behind the watermark
+        times = Times(n - 2)
+        times.getExpiryTimeInMs = lambda: due
+        runs = list(follow.handleExpiredTimer((1,), times, times))
+        assert sum(r["length"] for r in runs) == sum(r["status"] == "e" for r in rows[: n - 2]) and len(runs) == n // 5
+        assert handle.timers[1:] == [n - 1] and len(calls) <= 9
