@@ -18,6 +18,16 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tasks_for(df: DataFrame, rows: int = 20_000) -> int:
+    """Tasks for costly work on ``df``: some for each core, and more once a task would have more than ``rows``. Rows are counted first, which a file's footer tells."""
+    return max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+
+
+def dealt(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
+    """Rows dealt out to many tasks. A table of short rows is one split of one file, however much work each row is."""
+    return df.repartition(n or tasks_for(df), *keys)
+
+
 def mpn_of(name: str = "p_name") -> Column:
     return F.upper(F.replace(F.col(name), F.lit(" "), F.lit("-")))
 

@@ -19,9 +19,11 @@ def _fresh_dir(spark, name):
 
 
 def _delivered(spark, rows, name):
-    """The folder with the files of ``rows`` (name, content as text)."""
+    """The folder with the files of ``rows`` (name, content as text), written by many tasks into many shards."""
     folder = _fresh_dir(spark, name)
-    write_documents(rows.select("name", F.encode("content", "UTF-8").alias("content")), folder).write.format("noop").mode("overwrite").save()
+    n = b.tasks_for(rows)
+    dealt = b.dealt(rows.select("name", F.encode("content", "UTF-8").alias("content")), "name", n=n)
+    write_documents(dealt, folder, shards=n).write.format("noop").mode("overwrite").save()
     return folder
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from fnmatch import fnmatchcase
+from urllib.parse import urlsplit
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,22 +75,74 @@ def read_envelopes(spark: SparkSession, path: str, pattern: str = "C*.json") ->
     return _parsed(files.select("value", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("key")), ENVELOPE, "key")
 
 
+SHARD = "shard="  # subfolders that ``write_documents`` deals files out to
+_LISTED = "path string, name string, modified timestamp, folder boolean"
+_READ_BYTES, _READ_FILES = 8 << 20, 1024  # of a batch of files
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, name, modified) of the files in a folder and its shards whose name fits a shell pattern; names with a dot or underscore in front are left out.
+
+    Tasks list the folders, so that the driver holds no list of files, however many there are.
+    """
+    has_scheme = bool(urlsplit(path).scheme)
+    schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("modified", pa.timestamp("us", "UTC")), ("folder", pa.bool_())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(path) if has_scheme else (fs.LocalFileSystem(), path)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = store.get_file_info(fs.FileSelector(base if folder is None else folder))
+                kept = [f for f in found if (f.base_name.startswith(SHARD) if f.type == fs.FileType.Directory else fnmatchcase(f.base_name, pattern) and f.base_name[0] not in "._")]
+                for at in range(0, len(kept), 4096):
+                    part = kept[at : at + 4096]
+                    times = pa.array([f.mtime_ns // 1_000_000 * 1000 for f in part], pa.int64()).cast(schema.field("modified").type)
+                    yield pa.RecordBatch.from_arrays([pa.array([f.path for f in part]), pa.array([f.base_name for f in part]), times, pa.array([f.type == fs.FileType.Directory for f in part])], schema=schema)
+
+    n = 4 * spark.sparkContext.defaultParallelism
+    top = spark.range(1, numPartitions=1).select(F.lit(None).cast("string").alias("path")).mapInArrow(listed, _LISTED)
+    below = top.where("folder").select("path").repartition(n, "path").mapInArrow(listed, _LISTED)
+    return top.unionByName(below).where("NOT folder").select("path", "name", "modified")
+
+
+def read_listed(spark: SparkSession, path: str, listed: DataFrame) -> DataFrame:
+    """``listed`` files of ``path`` with ``value``, the whole text of each; files are dealt out to tasks, which hold a batch of a few at a time."""
+    has_scheme = bool(urlsplit(path).scheme)
+    schema = pa.schema([("name", pa.string()), ("modified", pa.timestamp("us", "UTC")), ("value", pa.binary())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = fs.FileSystem.from_uri(path)[0] if has_scheme else fs.LocalFileSystem()
+        for batch in batches:
+            start, size, bodies = 0, 0, []
+            for i, p in enumerate(batch.column(0).to_pylist()):
+                with store.open_input_stream(p) as f:
+                    bodies.append(f.read())
+                size += len(bodies[-1])
+                if size >= _READ_BYTES or len(bodies) >= _READ_FILES or i + 1 == batch.num_rows:
+                    own = batch.slice(start, len(bodies))
+                    yield pa.RecordBatch.from_arrays([own.column(1), own.column(2).cast(schema.field("modified").type), pa.array(bodies, pa.binary())], schema=schema)
+                    start, size, bodies = i + 1, 0, []
+
+    dealt = listed.select("path", "name", "modified").repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    return dealt.mapInArrow(read, "name string, modified timestamp, value binary").withColumn("value", F.col("value").cast("string"))
+
+
 def scan_envelopes(spark: SparkSession, path: str, pattern: str = "C*.json", names: str | None = None, since=None) -> DataFrame:
     """S4 in one pass: (key, modified, envelope columns, damaged); ``damaged`` is the text of a file that is no envelope, else null.
 
     ``names`` (a pattern for file names) and ``since`` (a time) are conditions on file metadata, so files that fail them are dropped
-    while files are listed and never opened.
+    once files are listed and never opened.
     """
-    files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("_n"), F.col("_metadata.file_modification_time").alias("modified"))
+    files = list_files(spark, path, pattern)
     if names is not None:
-        files = files.where(F.col("_n").rlike(names))
+        files = files.where(F.col("name").rlike(names))
     if since is not None:
         files = files.where(F.col("modified") >= F.lit(since))
     full = T.StructType([*ENVELOPE.fields, T.StructField("_corrupt", T.StringType())])
-    read = files.withColumn("_r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    read = read_listed(spark, path, files).withColumn("_r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     bad = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull() | (F.trim("value") == "")
     columns = [F.when(~bad, F.col(f"_r.{f.name}")).alias(f.name) for f in ENVELOPE.fields]
-    return read.select(F.regexp_replace("_n", r"\.json$", "").alias("key"), "modified", *columns, F.when(bad, F.col("value")).alias("damaged"))
+    return read.select(F.regexp_replace("name", r"\.json$", "").alias("key"), "modified", *columns, F.when(bad, F.col("value")).alias("damaged"))
 
 
 def flatten_envelope(env: DataFrame) -> DataFrame:
@@ -226,8 +282,8 @@ def flatten_ranked_feed(pages: DataFrame, products: str = "products", page: str
 def read_enrichment(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Side files ``<name>.content.json`` with a content hash; (valid, skipped with reason)."""
     rows = (
-        spark.read.option("pathGlobFilter", "*.content.json").text(path, wholetext=True)
-        .select(F.col("value").alias("body"), F.regexp_replace(F.col("_metadata.file_name"), r"\.content\.json$", "").alias("name"))
+        read_listed(spark, path, list_files(spark, path, "*.content.json"))
+        .select(F.col("value").alias("body"), F.regexp_replace("name", r"\.content\.json$", "").alias("name"))
         .withColumn("fingerprint", F.sha2("body", 256)).withColumn("_v", F.try_parse_json("body"))
     )
     version = F.try_variant_get("_v", "$.schema_version", "string")

@@ -158,3 +158,22 @@ def test_writers(spark, tmp_path):
     s = sinks.search_shards(urls, ["id"], size=150)
     sinks.write_search_shards(s, str(tmp_path / "s"), ["id"])
     assert sorted(r["n"] for r in sinks.shard_manifest(s, "url").collect()) == [50, 150]
+
+
+def test_listing_and_reading_of_shards(spark, tmp_path):
+    """Files in the folder and in its shards, listed and read by many tasks; other names and folders, hidden files and files of no text."""
+    from catalogflow import bindings
+    from catalogflow.sinks.files import write_documents
+
+    rows = [(f"C{i}.json", b'{"c_number":"C%d"}' % i if i else b"\xff") for i in range(50)]
+    written = write_documents(bindings.dealt(spark.createDataFrame(rows, "name string, content binary").coalesce(1), "name"), str(tmp_path), shards=7)
+    assert written.rdd.getNumPartitions() > 8 and written.count() == 50
+    assert len(list(tmp_path.iterdir())) == 7
+    for name in ("C900.json", "X1.json", "_C1.json", ".C2.json", "other/C901.json"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text('{"c_number":"%s"}' % name)
+    for path in (str(tmp_path), f"file://{tmp_path}"):
+        read = src.scan_envelopes(spark, path)
+        assert read.rdd.getNumPartitions() > 8
+        assert {r["key"]: r["damaged"] is None for r in read.collect()} == {f"C{i}": i > 0 for i in range(50)} | {"C900": True}
+    assert src.scan_envelopes(spark, str(tmp_path), names="^C4").count() == 11
