@@ -46,7 +46,7 @@ def _sources(spark, sf):
     n, turn = F.col("ord").cast("string"), (F.col("ord") % len(FAMILIES)).cast("int")
     family = F.array(*[F.lit(f) for f, *_ in FAMILIES])[turn]
     text = F.array(*[F.to_json(F.create_map(*[F.lit(x) for pair in given.items() for x in pair])) for _, given, _ in FAMILIES])[turn]
-    p = b.parts(spark, sf).withColumns({"family": family, "j": F.replace(text, F.lit("#"), n), "facts": F.replace(F.lit(_FACTS), F.lit("#"), n)})
+    p = b.dealt(b.parts(spark, sf)).withColumns({"family": family, "j": F.replace(text, F.lit("#"), n), "facts": F.replace(F.lit(_FACTS), F.lit("#"), n)})
     return p.withColumn("a", classify.project_source("family", "j", "facts", "mpn"))
 
 
