@@ -274,16 +274,21 @@ def page_meta(mpn, maker, subject, attributes, l1, subcategory, alternates: Colu
     return F.when(values != "", F.concat(base, F.lit(" — "), values, F.lit("; "), extras, F.lit("."))).otherwise(F.concat(base, F.lit(". "), extras, F.lit(".")))
 
 
-def page_records(parts: DataFrame, raw: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def page_records(parts: DataFrame, raw: DataFrame, overrides: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """Facts of a page in one row: labelled specs, applications, questions, alternates,
     compliance, introduction, title.
 
     ``parts``: mpn, manufacturer, supplier_reference, url_slug, attributes_json, native_l1,
     subcategory, alternative_parts_detail, datasheet_url. ``raw``: ord, code, product (struct),
     introduction, applications, features. Source facts attach by code only, the first row of a code counts.
+    Both are wide; with ``tasks`` they are dealt out by code to so many, so that a task sorts a small share.
     """
-    right = with_order(raw).groupBy(key_upper("code").alias("_code")).agg(F.min_by(F.struct("product", "introduction", "applications", "features"), "ord").alias("r"))
-    rows = parts.withColumn("_c", key_upper("supplier_reference")).join(right, F.col("_c") == F.col("_code"), "left")
+    by_code = with_order(raw).withColumn("_code", key_upper("code"))
+    coded = parts.withColumn("_c", key_upper("supplier_reference"))
+    if tasks:
+        by_code, coded = by_code.repartition(tasks, "_code"), coded.repartition(tasks, "_c")
+    right = by_code.groupBy("_code").agg(F.min_by(F.struct("product", "introduction", "applications", "features"), "ord").alias("r"))
+    rows = coded.join(right, F.col("_c") == F.col("_code"), "left")
     text_attrs = F.coalesce(attrs.attributes_from_any("attributes_json"), attrs.empty_text_map())
     specs = F.transform(F.map_entries(text_attrs), lambda e: F.struct(tx.human_label(e["key"]).alias("label"), units.format_value(e["key"], e["value"]).alias("value")))
     alts = attrs.parse_alternates("alternative_parts_detail")

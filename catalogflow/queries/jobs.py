@@ -384,7 +384,7 @@ def page_records(spark, sf):
         F.to_json(F.struct(F.col("size").alias("vdss_v"), (F.col("size") / 1000).alias("id_a"))).alias("attributes_json"), F.lit("transistors").alias("native_l1"),
         F.when(F.col("category") == "PROMO", "Power MOSFETs").otherwise(F.col("category")).alias("subcategory"),
         F.when(k == 0, "[]").when(k == 1, '[{"mpn":"A1"},{"mpn":""}]').otherwise('[{"mpn":"A1"},{"mpn":"B2"}]').alias("alternative_parts_detail"), F.when(k == 0, "https://d/x.pdf").otherwise("").alias("datasheet_url"))
-    out = publish.page_records(parts, raw)
+    out = publish.page_records(parts, raw, tasks=b.tasks_for(p))
     return out.select("url_slug", "title", "meta", "package", "rohs_badge", "introduction", "key_attributes", F.to_json("specs").alias("specs"), F.array_join("applications", "|").alias("applications"),
                       F.array_join("features", "|").alias("features"), F.to_json("compliance").alias("compliance"), F.to_json("faqs").alias("faqs"), F.array_join(F.transform("alternates", lambda a: a["mpn"]), ",").alias("alternates"))
 
