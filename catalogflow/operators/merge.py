@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogflow import rules
 from catalogflow.functions.keys import key_nospace, literal_map, nonblank, split_multi, text
@@ -46,12 +47,20 @@ def _ordered_values(rows: DataFrame, value: str) -> DataFrame:
     """Distinct values per key in order of first appearance, as one array.
 
     Repeats collapse per (key, value) before anything is collected, so the array holds
-    distinct values only, however many offers a part has.
+    distinct values only, however many offers a part has. A place of several fields is
+    laid out flat, since comparing structs inside structs takes most of the sort.
     """
     firsts = rows.groupBy("_brand", "_mpn", value).agg(F.min("_at").alias("_at"))
-    return firsts.groupBy("_brand", "_mpn").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_at", value))), lambda x: x[value]).alias("_values")
-    )
+    place = _flat("_at", rows.schema["_at"].dataType)
+    entry = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(place)], F.col(value).alias("_v"))
+    return firsts.groupBy("_brand", "_mpn").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["_v"]).alias("_values"))
+
+
+def _flat(name: str, kind: T.DataType) -> list[Column]:
+    """The fields of a column at any depth, in their order; a column that is no struct as it is."""
+    if not isinstance(kind, T.StructType):
+        return [F.col(name)]
+    return [c for f in kind.fields for c in _flat(f"{name}.{f.name}", f.dataType)]
 
 
 def merge_offers(
@@ -72,28 +81,29 @@ def merge_offers(
     base_cols = [c for c in df.columns if c not in fills and c not in ("ord", ord, source)]
     base = F.struct(*[F.col(c) for c in base_cols], F.col("brand_matched"), (text("manufacturer") == "").alias("brand_missing"))
 
-    # One pass: per (part, source) first, then per part. Partial minima are taken inside the map tasks, so a part with
-    # very many offers sends a row per source and task.
-    per_source = rows.groupBy("_brand", "_mpn", "_source").agg(
-        F.min("ord").alias("ord"),
-        F.min_by(base, F.col("ord")).alias("_base"),
-        F.count(F.lit(1)).alias("offers"),
-        *[F.min(F.when(nonblank(c), F.struct(F.col("ord").alias("o"), F.col(c).alias("v")))).alias(f"_f_{c}") for c in fills],
-    )
-    named = F.collect_list(F.when(F.col("_source") != "", F.struct(F.col("ord").alias("_at"), "_source")))
-    groups = per_source.groupBy("_brand", "_mpn").agg(
-        F.min("ord").alias("ord"),
-        F.min_by("_base", "ord").alias("_base"),
+    # Of the rows of a part in which the same columns are filled the first is enough: it is the base row, or the first one with a value, if any of them
+    # is. Partial minima are taken inside the map tasks, so whole rows are sorted there and only a few for each part and task are sent.
+    filled = F.lit(0)
+    for i, c in enumerate(fills):
+        filled = filled + F.when(nonblank(c), F.lit(1 << i)).otherwise(F.lit(0))
+    row = F.struct("ord", base.alias("_base"), *[F.col(c).alias(f"_f_{c}") for c in fills])
+    firsts = rows.withColumn("_filled", filled).groupBy("_brand", "_mpn", "_filled").agg(F.min_by(row, F.col("ord")).alias("_first"), F.count(F.lit(1)).alias("offers"))
+    at = F.col("_first.ord")
+    heads = firsts.groupBy("_brand", "_mpn").agg(
+        F.min(at).alias("ord"),
+        F.min_by(F.col("_first._base"), at).alias("_base"),
         F.sum("offers").alias("offers"),
-        *[F.min(f"_f_{c}").alias(f"_f_{c}") for c in fills],
-        F.transform(F.sort_array(named), lambda x: x["_source"]).alias("_values"),
+        *[F.min_by(F.col(f"_first._f_{c}"), F.when(F.col("_filled").bitwiseAND(F.lit(1 << i)) != 0, at)).alias(f"_f_{c}") for i, c in enumerate(fills)],
     )
+    # sources go another way, with nothing but their place
+    sources = _ordered_values(rows.where("_source <> ''").select("_brand", "_mpn", "_source", F.col("ord").alias("_at")), "_source")
+    groups = heads.join(sources, ["_brand", "_mpn"], "left").withColumn("_values", F.coalesce("_values", F.array().cast("array<string>")))
     out = groups.select(
         "_brand", "_mpn", "ord", "offers",
         *[F.col(f"_base.{c}").alias(c) for c in base_cols if c not in ("manufacturer", "brand")],
         F.col("_brand").alias("manufacturer"),
         F.col("_brand").alias("brand"),
-        *[F.col(f"_f_{c}.v").alias(c) for c in fills],
+        *[F.col(f"_f_{c}").alias(c) for c in fills],
         F.col("_values").alias("sources"),
         F.col("_base.brand_matched").alias("brand_matched"),
         F.col("_base.brand_missing").alias("brand_missing"),

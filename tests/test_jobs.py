@@ -213,3 +213,31 @@ def test_introduction_of_equal_order(spark):
     for texts in (["About a", "About b"], ["About b", "About a"]):
         raw = spark.createDataFrame([(0, "C0", t) for t in texts], "ord long, key string, introduction string").coalesce(1)
         assert [r["introduction"] for r in identity.own_introduction(df, raw, "cid", "mpn").collect()] == ["About b"]
+
+
+def test_merge_takes_first_filled_value_and_sources_by_place(spark):
+    """Each column from the first offer that has it, whichever others it lacks; sources in the order of a place of nested fields."""
+    rows = [(2, 1, "P", "a", "", "", "s2"), (1, 2, "P", "a", "", "k2", "s1"), (1, 1, "P", "a", "", "", "s3"), (3, 0, "P", "a", "d3", "k3", "s2"), (2, 2, "P", "a", "d2", "", ""), (1, 0, "Q", "b", "", "", "")]
+    df = spark.createDataFrame(rows, "x long, y long, mpn string, manufacturer string, description string, keywords string, source string")
+    df = df.withColumn("ord", F.struct(F.struct("x").alias("u"), "y")).drop("x", "y")
+    m = merge.merge_offers(df.repartition(3), spark.createDataFrame([("a", "A")], "raw string, canonical string")).groups
+    got = {r["mpn"]: (r["manufacturer"], r["offers"], r["description"], r["keywords"], list(r["sources"]), r["ord"]["y"]) for r in m.collect()}
+    assert got == {"P": ("A", 5, "d2", "k2", ["s3", "s1", "s2"], 1), "Q": ("b", 1, None, None, [], 0)}
+    # whole rows are grouped by what they have, not by source
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Aggregate" in line and "_filled" in line and "min_by" in line for line in plan.splitlines())
+    assert not any("Aggregate" in line and "_source" in line and "min_by" in line for line in plan.splitlines())
+
+
+def test_costly_rows_are_dealt_out(spark, sf):
+    """A table of one split is worked on by many tasks: the texts of families and the facts of pages."""
+    from catalogflow import bindings as b
+    from catalogflow.queries import family
+    from catalogflow.queries import jobs as job_queries
+
+    assert b.parts(spark, sf).rdd.getNumPartitions() == 1
+    assert b.tasks_for(b.parts(spark, sf), rows=2) == b.parts(spark, sf).count() // 2
+    least = 4 * spark.sparkContext.defaultParallelism
+    assert family.family_texts(spark, sf).rdd.getNumPartitions() == least
+    plan = job_queries.page_records(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2 and f", {least}" in plan
