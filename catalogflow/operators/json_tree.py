@@ -48,6 +48,11 @@ def json_levels(docs: DataFrame, doc: str, value: str, opens: Callable[[Column,
     return levels
 
 
+def _met(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """Join of rows of levels as a merge join: Spark takes a checkpointed level for as small as the file its texts came from, and would send all of it to the driver to broadcast it."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def rebuilt(levels: list[DataFrame]) -> DataFrame:
     """(doc, json): the texts of the nodes in ``levels``; what was filtered out of a level is left out of the text. Keys are in Variant's order."""
     built = None
@@ -56,7 +61,7 @@ def rebuilt(levels: list[DataFrame]) -> DataFrame:
         if built is None:
             texts = level.withColumn("json", F.coalesce(own, F.lit("null")))
         else:
-            texts = level.join(built, ["doc", "at"], "left").withColumn("json", F.coalesce("_json", own, F.lit("null"))).drop("_json")
+            texts = _met(level, built, ["doc", "at"]).withColumn("json", F.coalesce("_json", own, F.lit("null"))).drop("_json")
         name = F.to_json(F.array("key"))
         member = F.when(F.col("key").isNull(), F.col("json")).otherwise(F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), "json"))
         up = texts.where(F.size("at") > 0).select("doc", F.slice("at", F.lit(1), F.size("at") - 1).alias("_at"), F.element_at("at", -1).alias("pos"), member.alias("member"), F.col("key").isNull().alias("listed"))
@@ -84,12 +89,12 @@ def isolate_keys_in(df: DataFrame, c: str, out: str, forbidden: Sequence[str] =
         rows = level.where(inner).select("doc", "path", "key", F.to_json("value").alias("value"))
         taken = rows if taken is None else taken.unionByName(rows)
     public = rebuilt([level.where(~inner) for level in levels]).select(F.col("doc").alias("_doc"), F.col("json").alias("_public"))
-    joined = found.join(public, "_doc", "left")
+    joined = _met(found, public, "_doc")
     if taken is None:
         listed = joined.withColumn("_isolated", none)
     else:
         lists = taken.groupBy(F.col("doc").alias("_doc")).agg(F.array_sort(F.collect_list(F.struct("path", "key", "value"))).alias("_isolated"))
-        listed = joined.join(lists, "_doc", "left")
+        listed = _met(joined, lists, "_doc")
     parts = F.struct(F.coalesce("_public", F.col(c)).alias("public"), F.coalesce("_isolated", none).alias("isolated"))
     return clean.unionByName(listed.withColumn(out, parts).drop("_doc", "_public", "_isolated"))
 
@@ -130,7 +135,7 @@ def state_products(pages: DataFrame, page_id: str, html: str, code: str) -> Data
     for level in levels:
         of_level = level.where("opened").select("doc", "path", "at", "value", F.try_variant_get("value", f"$.{_CODE}", "string").alias("found")).where("found IS NOT NULL")
         nodes = of_level if nodes is None else nodes.unionByName(of_level)
-    asked = nodes.join(parsed.select(F.col("page_id").alias("doc"), "_code"), "doc")
+    asked = _met(nodes, parsed.select(F.col("page_id").alias("doc"), "_code"), "doc", "inner")
     ranked = Window.partitionBy("doc").orderBy((F.col("found") != F.col("_code")).cast("int"), (F.col("path") != _PLACE).cast("int"), F.size("at"), "at")
     best = asked.where(F.col("_code").isNotNull()).withColumn("_n", F.row_number().over(ranked)).where("_n = 1")
     good = F.col("found") == F.col("_code")
@@ -140,6 +145,6 @@ def state_products(pages: DataFrame, page_id: str, html: str, code: str) -> Data
         F.when(~F.col("_has"), "next_data_missing").when(F.col("_state").isNull(), "json_parse").when(empty, "data_is_null")
         .when(F.col("_good").isNull(), "main_product_not_found").when(~F.col("_good"), "c_number_mismatch").otherwise("")
     )
-    joined = parsed.join(product, "page_id", "left").withColumn("error", error)
+    joined = _met(parsed, product, "page_id").withColumn("error", error)
     usable = F.col("error") == ""
     return joined.select("page_id", "error", F.when(usable, F.col("path")).alias("path"), F.to_json("product").alias("product"), F.when(usable, blank).alias("notes"))

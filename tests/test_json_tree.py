@@ -97,3 +97,12 @@ def test_rebuilt_whole(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc long, s string").withColumn("v", F.parse_json("s"))
     got = {r["doc"]: json.loads(r["json"]) for r in json_tree.rebuilt(json_tree.json_levels(df, "doc", "v")).collect()}
     assert got == {i: json.loads(t) for i, t in enumerate(texts)}
+
+
+def test_nothing_is_broadcast(spark):
+    """Levels grow with the texts, and Spark takes them for as small as what they came from."""
+    texts = spark.range(2).select("id", F.concat(F.lit('{"a":{"costPrice":'), F.col("id").cast("string"), F.lit("}}")).alias("s"))
+    states = spark.range(2).select("id", F.lit("C1").alias("code"), F.lit('<script id="__NEXT_DATA__">{"x":{"productCode":"C1"}}</script>').alias("html"))
+    for out in (json_tree.isolate_keys_in(texts, "s", "out"), json_tree.state_products(states, "id", "html", "code")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
