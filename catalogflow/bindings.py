@@ -128,12 +128,24 @@ def aliases(spark: SparkSession, sf: str) -> DataFrame:
     ).distinct()
 
 
-def listings(spark: SparkSession, sf: str, where: str) -> DataFrame:
+def listing_tasks(spark: SparkSession, sf: str, rows: int = 500_000) -> int | None:
+    """Tasks for work on listings, each with those of about ``rows`` order lines; None as long as Spark's own number will do.
+
+    Left alone, Spark puts 64 MB into one task, which is millions of short rows.
+    """
+    tasks = -(-read(spark, sf, "lineitem").count() // rows)
+    return tasks if tasks > spark.sparkContext.defaultParallelism else None
+
+
+def listings(spark: SparkSession, sf: str, where: str, tasks: int | None = None) -> DataFrame:
     """One row per (part, supplier) from the order lines that satisfy ``where``.
 
-    MASTER, batch and snapshot tables are such listings over different lines.
+    MASTER, batch and snapshot tables are such listings over different lines. Many lines are dealt out before they are aggregated:
+    nearly every line is a pair of its own, so there is little to add up before.
     """
     li = read(spark, sf, "lineitem").where(where)
+    if n := tasks or listing_tasks(spark, sf):
+        li = dealt(li, "l_partkey", "l_suppkey", n=n)
     agg = li.groupBy("l_partkey", "l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("l_quantity").cast("long").alias("qty"),

@@ -241,3 +241,19 @@ def test_costly_rows_are_dealt_out(spark, sf):
     assert family.family_texts(spark, sf).rdd.getNumPartitions() == least
     plan = job_queries.page_records(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression") == 2 and f", {least}" in plan
+
+
+def test_listings_are_dealt_out_by_lines(spark, sf, monkeypatch):
+    """Tasks grow with the order lines, and the rows stay as they are."""
+    from catalogflow import bindings as b
+
+    lines = b.read(spark, sf, "lineitem").count()
+    assert b.listing_tasks(spark, sf) is None and b.listing_tasks(spark, sf, lines // 20) >= 20
+    few = b.master(spark, sf)
+    want = sorted(map(tuple, few.collect()))
+    tasks = b.listing_tasks
+    monkeypatch.setattr(b, "listing_tasks", lambda spark, sf: tasks(spark, sf, lines // 20))
+    many = b.master(spark, sf)
+    held = many.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+    assert sorted(map(tuple, many.collect())) == want
+    assert held[0] >= 18 and held[1] < len(want) / 8
