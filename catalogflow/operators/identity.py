@@ -22,12 +22,19 @@ MASS_DUPLICATE_MIN = 5
 
 # ---- lookups -------------------------------------------------------------------
 
-def enrich_by_code(df: DataFrame, raw: DataFrame, code: str, raw_code: str, cols: Sequence[str], ord: str = "ord") -> DataFrame:
+def enrich_by_code(df: DataFrame, raw: DataFrame, code: str, raw_code: str, cols: Sequence[str], ord: str = "ord", partitions: int | None = None) -> DataFrame:
     """Attach source facts by supplier code only; a part number may belong to clones. Of several
-    source rows of a code the first by ``ord`` counts."""
-    right = first_occurrence(with_order(raw, ord).where(nonblank(raw_code)), [key_upper(raw_code)], ord).select(
-        key_upper(raw_code).alias("_code"), *cols)
-    return df.withColumn("_c", key_upper(code)).join(right, F.col("_c") == F.col("_code"), "left").drop("_c", "_code")
+    source rows of a code the first by ``ord`` counts.
+
+    With ``partitions`` both sides are dealt into as many tasks by code. Without, Spark sizes them at run time, and
+    a code of many source rows is cut down to one row in every task before it is dealt.
+    """
+    coded = with_order(raw, ord).where(nonblank(raw_code)).select(key_upper(raw_code).alias("_code"), F.col(ord).alias("_at"), *cols)
+    left = df.withColumn("_c", key_upper(code))
+    if partitions:
+        coded, left = coded.repartition(partitions, "_code"), left.repartition(partitions, "_c")
+    right = first_occurrence(coded, ["_code"], "_at").drop("_at")
+    return left.join(right, F.col("_c") == F.col("_code"), "left").drop("_c", "_code")
 
 
 def lookup_with_fallback(

@@ -265,7 +265,7 @@ def enrich_by_code(spark, sf):
     raw = b.master(spark, sf).select("ord", F.col("supplier_reference").alias("rc"), F.col("lines").alias("known_lines"))
     # each code twice, in the other letter case and later with another count
     raw = raw.unionByName(raw.select(F.col("ord") + 10**12, F.lower("rc"), F.col("known_lines") + 1).toDF("ord", "rc", "known_lines"))
-    return identity.enrich_by_code(b.batch(spark, sf), raw, "supplier_reference", "rc", ["known_lines"]).select("ord", "known_lines")
+    return identity.enrich_by_code(b.batch(spark, sf), raw, "supplier_reference", "rc", ["known_lines"], partitions=b.listing_tasks(spark, sf)).select("ord", "known_lines")
 
 
 @query(b.sql("SELECT ord, mpn FROM batch_v WHERE mpn IN (SELECT mpn FROM master_v WHERE qty>40)", "batch_v", "master_v"))

@@ -257,3 +257,20 @@ def test_listings_are_dealt_out_by_lines(spark, sf, monkeypatch):
     held = many.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
     assert sorted(map(tuple, many.collect())) == want
     assert held[0] >= 18 and held[1] < len(want) / 8
+
+
+def test_enrich_by_code_deals_each_side_once(spark):
+    raw = spark.range(300).select(F.col("id").alias("ord"), F.concat(F.when(F.col("id") < 150, "c").otherwise(" C"), (F.col("id") % 100).cast("string")).alias("rc"), (F.col("id") * 7).alias("known"))
+    raw = raw.unionByName(spark.createDataFrame([(-1, " ", 5), (-2, None, 6)], "ord long, rc string, known long"))
+    df = spark.range(120).select(F.when(F.col("id") < 118, F.concat(F.lit("C"), F.col("id").cast("string"))).when(F.col("id") < 119, "").alias("code"))
+    want = sorted([(f"C{i}", i * 7 if i < 100 else None) for i in range(118)] + [("", None), (None, None)], key=str)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in (None, 23):
+            out = identity.enrich_by_code(df, raw, "code", "rc", ["known"], partitions=n)
+            assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+            assert sorted(map(tuple, out.collect()), key=str) == want
+        assert out.rdd.getNumPartitions() == 23
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
