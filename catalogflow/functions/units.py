@@ -245,6 +245,41 @@ def format_number(x: Column) -> Column:
     return F.regexp_replace(F.format_string("%.3f", x), r"\.?0+$", "")
 
 
+# The powers of ten that a double holds exactly; the factor that cuts a double into two halves of 26 bits.
+_POWERS, _HALVES = tuple(10.0**i for i in range(23)), 2.0**27 + 1
+
+
+def _product_less(u: Column, v: Column, w: Column) -> Column:
+    """u * v - w, whose sign is exact where the product is next to ``w``: the rounding error of the product is worked out from halves of both factors (Dekker)."""
+    high = lambda x: x * F.lit(_HALVES) - (x * F.lit(_HALVES) - x)
+    facts = F.struct(u.alias("u"), v.alias("v"), (u * v).alias("p"), high(u).alias("uh"), high(v).alias("vh"))
+
+    def less(x: Column) -> Column:
+        ul, vl = x["u"] - x["uh"], x["v"] - x["vh"]
+        error = ul * vl - (((x["p"] - x["uh"] * x["vh"]) - ul * x["vh"]) - x["uh"] * vl)
+        return (x["p"] - w) + error
+
+    return let(facts, less)
+
+
+def format_scientific(x: Column, digits: int = 9) -> Column:
+    """``%.9e`` as C and SQL write it, rounded from the double itself and at an exact half to an even digit.
+
+    Java rounds the shortest text of a double: 1000000.1235 lies below that half, but its text is rounded up. Only where that text ends on a half are the
+    double and the half compared, exactly from 1e-12 up to 1e33; beyond that Java's rounding stays.
+    """
+    longer = F.format_string(f"%.{digits + 1}e", x)
+
+    def rounded_down(t: Column) -> Column:
+        half = F.regexp_replace(F.substring_index(t, "e", 1), "[-.]", "").cast("double")
+        shift = F.lit(digits + 1) - F.substring_index(t, "e", -1).cast("int")
+        facts = F.struct(F.abs(x).alias("x"), half.alias("half"), shift.alias("shift"), F.get(F.array(*[F.lit(p) for p in _POWERS]), F.abs(shift)).alias("power"))
+        above = let(facts, lambda f: F.when(f["shift"] >= 0, _product_less(f["x"], f["power"], f["half"])).otherwise(-_product_less(f["half"], f["power"], f["x"])))
+        return (t.cast("double") == x) & let(above, lambda d: (d < 0) | ((d == 0) & t.rlike(r"[02468]\.?5e")))
+
+    return let(longer, lambda t: F.when(t.contains("5e") & rounded_down(t), F.replace(t, F.lit("5e"), F.lit("e"))).otherwise(F.format_string(f"%.{digits}e", x)))
+
+
 # Smallest number shown in a unit, the number one unit stands for, the unit.
 # The last row of a table is used for everything smaller.
 _SCALES = {

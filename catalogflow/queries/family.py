@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogflow import bindings as b
-from catalogflow.functions import classify
+from catalogflow.functions import classify, units
 from catalogflow.queries.registry import query
 
 # Of each family: source attributes (``#`` is the part's key), and the canonical keys with a number in SQL or a quoted text. Values cover first and
@@ -51,7 +51,7 @@ def _sources(spark, sf):
 
 
 def _shown(v):
-    return F.when(F.schema_of_variant(v) == "STRING", v.cast("string")).otherwise(F.format_string("%.9e", F.try_variant_get(v, "$", "double")))
+    return F.when(F.schema_of_variant(v) == "STRING", v.cast("string")).otherwise(units.format_scientific(F.try_variant_get(v, "$", "double")))
 
 
 @query(b.sql(_attributes_sql(), "parts_v"))

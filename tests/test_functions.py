@@ -179,3 +179,24 @@ def test_core_names(spark):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, core string, bits string, mpn string, want string")
     got = df.select("i", "want", classify.core_subcategory("core", "bits", "mpn").alias("got")).orderBy("i").collect()
     assert [r["got"] for r in got] == [r["want"] for r in got]
+
+
+def test_scientific_as_c_writes_it(spark):
+    """Numbers on a half of the last digit shown: the double lies below it, above it or on it. Java alone rounds all of them up."""
+    import random
+
+    draw = random.Random(4)
+    values = [1000000.1235, -1000000.1235, 1000000000.5, 1000000001.5, 0.0, 5e-12, 1e300, 123.0, float("inf")]
+    values += [float(f"{draw.choice('-+')}{draw.randrange(10**9, 10**10)}5e{draw.randrange(-22, 23)}") for _ in range(2000)]
+    values += [1000000 + i + 0.1235 for i in range(1000)]
+    df = spark.createDataFrame([(v, "Infinity" if v == float("inf") else f"{v:.9e}") for v in values], "v double, want string")
+    assert df.withColumn("got", units.format_scientific(F.col("v"))).where("got IS DISTINCT FROM want").collect() == []
+
+
+def test_family_attributes_of_large_keys(spark, tmp_path):
+    """A part whose voltage lies on a half of the tenth digit."""
+    from catalogflow.queries.family import family_attributes
+
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").limit(11).withColumn("p_partkey", F.col("p_partkey") % 11 + 1_000_000).write.parquet(f"{tmp_path}/part.parquet")
+    got = family_attributes(spark, str(tmp_path)).where("ord = 1000000 AND key = 'output_voltage_v'").collect()
+    assert [r["value"] for r in got] == ["1.000000123e+06"]
