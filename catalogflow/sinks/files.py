@@ -16,7 +16,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalogflow.functions.keys import text
@@ -39,27 +39,33 @@ class AppendResult:
 
 
 def append_problems(
-    old: DataFrame, projected: DataFrame, new: DataFrame, columns: Sequence[str] = MASTER_COLUMNS, allow_updates: DataFrame | None = None
+    old: DataFrame, projected: DataFrame, new: DataFrame, columns: Sequence[str] = MASTER_COLUMNS, allow_updates: DataFrame | None = None, appended: bool = False
 ) -> DataFrame:
     """K1s checks as one table (problem, n): old rows changed, rows lost, repeated identities,
-    new rows with a blank required column. Empty when the append is clean."""
-    row = F.sha2(F.concat_ws("\x1f", *[text(F.col(c)) for c in columns]), 256)
+    new rows with a blank required column. Empty when the append is clean.
+
+    ``appended``: ``projected`` is the stored rows of ``old`` and those of ``new``, so that none of ``old`` can be changed or lost; only the other two are looked for."""
     identity = [text("mpn").alias("mpn"), text("manufacturer").alias("manufacturer")]
+    problems = [
+        projected.groupBy(*identity).agg(F.count(F.lit(1)).alias("c")).where("c > 1").agg(
+            F.lit("duplicate identity").alias("problem"), F.count(F.lit(1)).alias("n")),
+        new.where(missing_required(REQUIRED_COLUMNS).isNotNull()).agg(
+            F.lit("new row lacks a required column").alias("problem"), F.count(F.lit(1)).alias("n")),
+    ]
+    if appended:
+        return reduce(DataFrame.unionByName, problems).where("n > 0")
+    row = F.sha2(F.concat_ws("\x1f", *[text(F.col(c)) for c in columns]), 256)
     before = old.select(*identity, row.alias("h"))
-    after = projected.select(*identity, row.alias("h"))
     if allow_updates is not None:
         allowed = allow_updates.select(F.upper(F.trim("mpn")).alias("_a")).distinct()
         before = before.join(allowed, F.upper("mpn") == F.col("_a"), "left_anti")
     # Bag comparison: a row that occurs twice in MASTER has to occur twice afterwards.
     b = before.groupBy("h").agg(F.count(F.lit(1)).alias("nb"))
-    a = after.groupBy("h").agg(F.count(F.lit(1)).alias("na"))
+    a = projected.groupBy(row.alias("h")).agg(F.count(F.lit(1)).alias("na"))
     changed = b.join(a, "h", "left").where(F.col("nb") > F.coalesce("na", F.lit(0)))
     problems = [
         changed.agg(F.lit("pre-existing rows modified").alias("problem"), F.count(F.lit(1)).alias("n")),
-        after.groupBy("mpn", "manufacturer").agg(F.count(F.lit(1)).alias("c")).where("c > 1").agg(
-            F.lit("duplicate identity").alias("problem"), F.count(F.lit(1)).alias("n")),
-        new.where(missing_required(REQUIRED_COLUMNS).isNotNull()).agg(
-            F.lit("new row lacks a required column").alias("problem"), F.count(F.lit(1)).alias("n")),
+        *problems,
         old.agg(F.count(F.lit(1)).alias("o")).crossJoin(projected.agg(F.count(F.lit(1)).alias("p"))).select(  # one row each
             F.lit("row count shrank").alias("problem"), F.greatest(F.col("o") - F.col("p"), F.lit(0)).alias("n")),
     ]
@@ -239,6 +245,17 @@ class Versions:
         rows.write.mode("errorifexists").parquet(f"{self._store}/data/{version}")
         return version
 
+    def stage_observed(self, rows: DataFrame, metrics: Sequence[Column]) -> tuple[dict, str]:
+        """``metrics`` of the rows that the writer was given, told in the same pass, and the version it wrote."""
+        handed = Observation()
+        version = self.stage(rows.observe(handed, *metrics))
+        return handed.get, version
+
+    def discard(self, version: str | None) -> None:
+        """Take away a version that was staged and will not be committed."""
+        if version is not None:
+            self._fs.delete(self._path(f"{self._store}/data/{version}"), True)
+
     def staged(self, version: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._store}/data/{version}")
 

@@ -125,3 +125,27 @@ def test_no_documents(spark, tmp_path):
     parts = spark.createDataFrame([], "part_id long, code string, mpn string, clean_mpn string, url string, source_url string, ord long")
     run = assets.asset_pipeline(spark, str(tmp_path / "none"), parts, "https://b")
     assert run.ledger.count() == 0 and run.totals.first()["total"] == 0 and run.totals.select(F.col("valid")).first()[0]
+
+
+def test_release_joins_nothing(spark, tmp_path, monkeypatch):
+    """An append is checked and compared by counts and sums; neither the table nor the new rows are joined with anything."""
+    v = Versions(spark, str(tmp_path / "m"))
+    assert release.release_version(v, "r1", rows(spark, "A", "B")).ok
+
+    def joined(*_, **__):
+        raise AssertionError("a join")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(v.current()), "join", joined)
+        assert release.release_version(v, "r2", rows(spark, "C")).ok
+        assert release.release_version(v, "r3", rows(spark, "C", "D", "D")).problems == ["duplicate identity: 2"]
+    assert mpns(v) == ["A", "B", "C"] and len(os.listdir(tmp_path / "m" / "data")) == 2  # new rows that were kept aside are gone
+
+
+@pytest.mark.parametrize("change", [lambda d: d.where("mpn <> 'B'"), lambda d: d.withColumn("description", F.lit("e")), lambda d: d.unionByName(d.limit(1))])
+def test_written_version_differs(spark, tmp_path, monkeypatch, change):
+    v = Versions(spark, str(tmp_path / "m"))
+    assert release.release_version(v, "r1", rows(spark, "A", "B")).ok
+    stage = v.stage
+    monkeypatch.setattr(v, "stage", lambda d: stage(change(d) if d.count() == 3 else d))
+    assert release.release_version(v, "r2", rows(spark, "C")).problems == ["written table differs from the plan"] and mpns(v) == ["A", "B"]
