@@ -224,20 +224,27 @@ class Versions:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self._store).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def log(self) -> DataFrame:
-        """The commits, oldest first; one row for each release."""
+    def _entries(self) -> DataFrame:
         folder = f"{self._store}/commits"
         if not self._fs.exists(self._path(folder)):
             return self._spark.createDataFrame([], self._LOG)
-        return self._spark.read.schema(self._LOG).json(folder).where("version IS NOT NULL").orderBy("commit")
+        return self._spark.read.schema(self._LOG).json(folder).where("version IS NOT NULL")
+
+    def log(self) -> DataFrame:
+        """The commits, oldest first; one row for each release."""
+        return self._entries().orderBy("commit")
 
-    def _last(self):
-        return self.log().orderBy(F.desc("commit")).first()
+    def standing(self, release: str | None = None, before: int | None = None) -> tuple:
+        """The last commit, the last one that names ``release`` and the last one before number ``before``; None for each that is not there. One job without a shuffle of the log."""
+        entries = self._entries()
+        entry, number = F.struct(*entries.columns), F.col("commit")
+        own, earlier = F.when(F.col("release") == F.lit(release), number), F.when(number < F.lit(before), number)
+        return tuple(entries.agg(F.max_by(entry, number).alias("last"), F.max_by(entry, own).alias("own"), F.max_by(entry, earlier).alias("earlier")).first())
 
     def current(self) -> DataFrame | None:
         """The current rows; None before the first commit."""
-        last = self._last()
-        return None if last is None else self._spark.read.parquet(f"{self._store}/data/{last['version']}")
+        last, *_ = self.standing()
+        return None if last is None else self.staged(last["version"])
 
     def stage(self, rows: DataFrame) -> str:
         """Write ``rows`` as a version that is not current yet."""
@@ -259,9 +266,9 @@ class Versions:
     def staged(self, version: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._store}/data/{version}")
 
-    def commit(self, action: str, release: str, version: str, after: int) -> int:
-        """Make ``version`` current as the commit after number ``after``; an error if that number is taken, and then nothing changes."""
-        entry = {"commit": after + 1, "action": action, "release": release, "version": version, "rows": self.staged(version).count()}
+    def commit(self, action: str, release: str, version: str, after: int, rows: int | None = None) -> int:
+        """Make ``version`` current as the commit after number ``after``; an error if that number is taken, and then nothing changes. Its rows are counted where the caller has not."""
+        entry = {"commit": after + 1, "action": action, "release": release, "version": version, "rows": self.staged(version).count() if rows is None else rows}
         out = self._fs.create(self._path(f"{self._store}/commits/{after + 1:08d}.json"), False)
         try:
             out.write(bytearray(json.dumps(entry).encode()))
@@ -271,20 +278,20 @@ class Versions:
 
     def number(self) -> int:
         """Number of the last commit, 0 before the first."""
-        last = self._last()
+        last, *_ = self.standing()
         return 0 if last is None else last["commit"]
 
     def released(self, release: str) -> bool:
         """Whether a release is in effect: the last commit that names it applied it."""
-        last = self.log().where(F.col("release") == release).orderBy(F.desc("commit")).first()
-        return last is not None and last["action"] == "apply"
+        own = self.standing(release)[1]
+        return own is not None and own["action"] == "apply"
 
     def rollback(self, release: str) -> int:
         """Make the version before the last ``apply`` of ``release`` current again; nothing happens when the release is not in effect."""
-        if not self.released(release):
-            return self.number()
-        applied = self.log().where((F.col("release") == release) & (F.col("action") == "apply")).agg(F.max("commit")).first()[0]
-        before = self.log().where(F.col("commit") < applied).orderBy(F.desc("commit")).first()
+        last, own, _ = self.standing(release)
+        if own is None or own["action"] != "apply":
+            return 0 if last is None else last["commit"]
+        before = self.standing(before=own["commit"])[2]
         if before is None:
             raise ValueError(f"{release} is the first release")
-        return self.commit("rollback", release, before["version"], self.number())
+        return self.commit("rollback", release, before["version"], last["commit"], before["rows"])

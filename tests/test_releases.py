@@ -149,3 +149,16 @@ def test_written_version_differs(spark, tmp_path, monkeypatch, change):
     stage = v.stage
     monkeypatch.setattr(v, "stage", lambda d: stage(change(d) if d.count() == 3 else d))
     assert release.release_version(v, "r2", rows(spark, "C")).problems == ["written table differs from the plan"] and mpns(v) == ["A", "B"]
+
+
+def test_log_is_read_once_a_release(spark, tmp_path, monkeypatch):
+    v = Versions(spark, str(tmp_path / "m"))
+    read, reads = type(spark.read).json, []
+    monkeypatch.setattr(type(spark.read), "json", lambda self, *a, **k: (reads.append(a), read(self, *a, **k))[1])
+    for i, name in enumerate("ABC"):
+        assert release.release_version(v, f"r{i}", rows(spark, name)).ok
+    assert len(reads) == 2  # there is no log before the first
+    assert release.release_version(v, "r2", rows(spark, "C")).rows == 3 and len(reads) == 3
+    assert v.rollback("r2") == 4 and len(reads) == 5 and v.rollback("r2") == 4 and mpns(v) == ["A", "B"]
+    assert [(r["commit"], r["action"], r["release"], r["rows"]) for r in v.log().collect()] == [
+        (1, "apply", "r0", 1), (2, "apply", "r1", 2), (3, "apply", "r2", 3), (4, "rollback", "r2", 2)]
