@@ -13,7 +13,7 @@ from catalogflow.functions import attrs, text as tx, units
 from catalogflow.functions.keys import key_upper, literal_map, nonblank, search_keys, slug_hyphen, text
 from catalogflow.operators import aggregates, gates, identity, merge
 from catalogflow.operators.ordering import paginate, with_order
-from catalogflow.session import cut
+from catalogflow.session import cut, stored
 
 FINGERPRINTS = ("renderer_v", "data_fp", "enrich_fp", "template_v", "asset_v", "dependency_fp")
 
@@ -144,14 +144,20 @@ def catalog_build(
     offers: DataFrame, alias: DataFrame, deployed: DataFrame, tops: DataFrame, l1: DataFrame, final: DataFrame | None = None,
     allowed_keys: DataFrame | None = None, site: str = "https://catalog.invalid",
 ) -> Catalog:
-    """Merge offers, attach final units, assign slugs, derive the published sets."""
-    merged = merge.merge_offers(offers, alias, allowed_keys)
+    """Merge offers, attach final units, assign slugs, derive the published sets.
+
+    Offers are merged once, step by step, and slugs are assigned to parts without their lists and texts.
+    """
+    merged = merge.merge_offers(offers, stored(alias), allowed_keys, keep=stored)  # Spark knows how small the aliases are only once they are stored
     groups = merged.groups.drop("_brand", "_mpn")
     if final is not None:
         groups = aggregates.attach_final(groups, final)
-    records = cut(identity.assign_stable_slugs(groups, deployed).drop("seed"))
-    records = gates.resolve_taxonomy(records, tops, l1)
-    records = cut(records.withColumn("product_url", F.concat(F.lit("products/"), F.col("url_slug"), F.lit("/"))))
+    groups = stored(groups.withColumn("_row", F.monotonically_increasing_id()))
+    named = groups.select(*[c for c in groups.columns if c in ("_row", "ord", "mpn", "manufacturer", "supplier_reference", "url_slug")])
+    slugs = identity.assign_stable_slugs(named, deployed).select("_row", "url_slug")
+    groups = groups.drop("url_slug").join(slugs, "_row").drop("_row")
+    records = gates.resolve_taxonomy(groups, tops, l1)
+    records = stored(records.withColumn("product_url", F.concat(F.lit("products/"), F.col("url_slug"), F.lit("/"))))
     makers, top_facets = aggregates.facet_counts(records, "top", "native_l1")
     listed = records.where("url_slug <> ''")
     search = search_entries(listed)

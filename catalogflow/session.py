@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +55,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result is stored once and survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The result as parquet in the shared folder: smaller than a checkpoint and read by column. The shuffle files of the write go when it ends."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = f"{shared_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}", spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)

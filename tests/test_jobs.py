@@ -274,3 +274,24 @@ def test_enrich_by_code_deals_each_side_once(spark):
         assert out.rdd.getNumPartitions() == 23
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_catalog_build_merges_once(spark):
+    """Offers are gone through once for the parts and once for their sources, not again for the slugs."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(name):
+        seen.add(1)
+        return name
+
+    offers = spark.createDataFrame([(1, "M-1", "maker", "s2", "C1"), (2, "m-1", "Maker", "s1", "C1"), (3, "M 1", "MAKER", "s2", "C3"), (4, "M-1", "other", "s1", "C4")],
+                                   "ord long, mpn string, manufacturer string, source string, supplier_reference string")
+    offers = offers.withColumn("manufacturer", F.udf(told)("manufacturer")).withColumns({"native_l1": F.lit("a"), "description": F.lit("d")})
+    alias = spark.createDataFrame([("maker", "Maker")], "raw string, canonical string")
+    none = spark.createDataFrame([], "code string, mpn string, manufacturer string, slug string")
+    tops = spark.createDataFrame([("t", "T", "active")], "slug string, name string, publish_status string")
+    l1 = spark.createDataFrame([("a", "t", "A", "active")], "slug string, top_scope string, en_display string, publish_status string")
+    records = publish.catalog_build(offers, alias, none, tops, l1).records
+    got = sorted((r["mpn"], r["manufacturer"], r["url_slug"], r["top"], r["offers"], r["sources"]) for r in records.collect())
+    assert got == [("M 1", "Maker", "m1-maker", "t", 1, ["s2"]), ("M-1", "Maker", "m1", "t", 2, ["s2", "s1"]), ("M-1", "other", "m1-other", "t", 1, ["s1"])]
+    assert seen.value <= 2 * 4
