@@ -44,17 +44,17 @@ class Merged:
     review: DataFrame
 
 
-def _ordered_values(rows: DataFrame, value: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _ordered_values(rows: DataFrame, value: str) -> DataFrame:
     """Distinct values per key in order of first appearance, as one array.
 
     Repeats collapse per (key, value) before anything is collected, so the array holds
     distinct values only, however many offers a part has. A place of several fields is
     laid out flat, since comparing structs inside structs takes most of the sort.
     """
-    firsts = keep(rows.groupBy("_brand", "_mpn", value).agg(F.min("_at").alias("_at")))
+    firsts = rows.groupBy("_brand", "_mpn", value).agg(F.min("_at").alias("_at"))
     place = _flat("_at", rows.schema["_at"].dataType)
     entry = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(place)], F.col(value).alias("_v"))
-    return keep(firsts.groupBy("_brand", "_mpn").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["_v"]).alias("_values")))
+    return firsts.groupBy("_brand", "_mpn").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["_v"]).alias("_values"))
 
 
 def _flat(name: str, kind: T.DataType) -> list[Column]:
@@ -71,8 +71,8 @@ def merge_offers(
     """A1: collapse offers by (canonical brand, part number without spaces).
 
     The first offer is the base row; blank columns are filled by the first offer that has
-    them; alternates and sources are unions in order of appearance. ``keep`` may store the steps
-    to the sources and alternates, so that the shuffles of one are gone before the next begins.
+    them; alternates and sources are unions in order of appearance. ``keep`` may store the
+    lists of sources and of alternates, so that the shuffles of one are gone before the next begins.
     """
     rows = canonicalize_brand(df.where(nonblank("mpn")), alias)
     if ord != "ord":
@@ -99,7 +99,7 @@ def merge_offers(
         *[F.min_by(F.col(f"_first._f_{c}"), F.when(F.col("_filled").bitwiseAND(F.lit(1 << i)) != 0, at)).alias(f"_f_{c}") for i, c in enumerate(fills)],
     )
     # sources go another way, with nothing but their place
-    sources = _ordered_values(rows.where("_source <> ''").select("_brand", "_mpn", "_source", F.col("ord").alias("_at")), "_source", keep)
+    sources = keep(_ordered_values(rows.where("_source <> ''").select("_brand", "_mpn", "_source", F.col("ord").alias("_at")), "_source"))
     groups = heads.join(sources, ["_brand", "_mpn"], "left").withColumn("_values", F.coalesce("_values", F.array().cast("array<string>")))
     out = groups.select(
         "_brand", "_mpn", "ord", "offers",
@@ -116,7 +116,7 @@ def merge_offers(
         exploded = rows.select(
             "_brand", "_mpn", "ord", F.posexplode(split_multi("alternative_parts")).alias("_p", "_alt")
         ).withColumn("_at", F.struct("ord", "_p"))
-        alts = _ordered_values(exploded, "_alt", keep).withColumnRenamed("_values", "_alts")
+        alts = keep(_ordered_values(exploded, "_alt")).withColumnRenamed("_values", "_alts")
         out = (
             out.drop("alternative_parts").join(alts, ["_brand", "_mpn"], "left")
             .withColumn("alternative_parts", F.coalesce(F.array_join("_alts", ";"), F.lit(""))).drop("_alts")
